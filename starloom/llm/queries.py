@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from starloom.llm.common import table
 from starloom.llm.decontaminate import contamination
+from starloom.llm.embeddings import near_duplicates
+from starloom.llm.langid import identify
 from starloom.llm.mixing import mix
 from starloom.llm.secrets import scan_secrets
 from starloom.llm.simhash import simhash_groups
@@ -20,6 +22,10 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -33,6 +39,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("hits").alias("h")).select("doc_id", "h.*")
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).drop("redacted")
 
@@ -43,9 +53,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op3_langid": op3_langid,
     "op5_toxicity": op5_toxicity,
     "op7_simhash": op7_simhash,
     "op8_decontaminate": op8_decontaminate,
+    "op9_embeddings": op9_embeddings,
     "op10_secrets": op10_secrets,
     "pipeline": pipeline,
 }
