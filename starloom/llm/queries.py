@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from starloom.llm.chaining import fuzzy_passages
 from starloom.llm.common import table
 from starloom.llm.decontaminate import contamination
 from starloom.llm.embeddings import near_duplicates
@@ -15,6 +16,7 @@ from starloom.llm.langid import identify
 from starloom.llm.mixing import mix
 from starloom.llm.secrets import scan_secrets
 from starloom.llm.simhash import simhash_groups
+from starloom.llm.suffix import repeated_passages
 from starloom.llm.toxicity import score_toxicity
 
 
@@ -26,10 +28,18 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op4_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -54,7 +64,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op3_langid": op3_langid,
+    "op4_chaining": op4_chaining,
     "op5_toxicity": op5_toxicity,
+    "op6_suffix": op6_suffix,
     "op7_simhash": op7_simhash,
     "op8_decontaminate": op8_decontaminate,
     "op9_embeddings": op9_embeddings,
