@@ -13,6 +13,7 @@ from starloom.llm.common import table
 from starloom.llm.decontaminate import contamination
 from starloom.llm.embeddings import near_duplicates
 from starloom.llm.langid import identify
+from starloom.llm.lm import pseudo_likelihood
 from starloom.llm.mixing import mix
 from starloom.llm.secrets import scan_secrets
 from starloom.llm.simhash import simhash_groups
@@ -24,6 +25,10 @@ def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
+    "op2_lm": op2_lm,
     "op3_langid": op3_langid,
     "op4_chaining": op4_chaining,
     "op5_toxicity": op5_toxicity,
