@@ -71,7 +71,7 @@ def mix(
     share: float = 1.5,
     most: float = 2.0,
     block_words: int = 32,
-    shard_words: int = 4_000_000,
+    shard_words: int = 250_000,
     seed: int = 17,
     keep: list[str] | None = None,
 ) -> DataFrame:
