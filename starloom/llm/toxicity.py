@@ -74,8 +74,8 @@ def train(
     labels: list[int],
     n_features: int = 4096,
     least_docs: int = 3,
-    rounds: int = 250,
-    rate: float = 0.1,
+    rounds: int = 120,
+    rate: float = 0.15,
     decay: float = 0.002,
     weight_of_clean: float = 1.0,
 ) -> Model:
@@ -101,14 +101,15 @@ def train(
     for t, label in zip(texts, labels):
         if not label:
             words = set(WORDS.findall((t or "").lower()))
-            for w in words - by_word.keys():
-                by_word[w] = [f for f in features(w) if f in toxic]
+            for w in words:
+                if w not in by_word:
+                    by_word[w] = [f for f in features(w) if f in toxic]
             clean.update(set().union(*(by_word[w] for w in words)))
     z = {}
     for f, a in toxic.items():
         p = (a + clean[f]) / (n0 + n1)
         z[f] = (a / n1 - clean[f] / n0) / np.sqrt(p * (1 - p) * (1 / n0 + 1 / n1) + 1e-12)
-    kept = sorted((f for f in z if z[f] > 4), key=lambda f: (-z[f], f))[:n_features]
+    kept = sorted((f for f in z if z[f] > 5), key=lambda f: (-z[f], f))[:n_features]
     number = {f: i for i, f in enumerate(kept)}
     numbers: dict[str, list[int]] = {}
     sent, feat, val, plain = [], [], [], np.zeros(len(y))
@@ -121,7 +122,8 @@ def train(
             for w in WORDS.findall((t or "")[s:e].lower()):
                 if w not in numbers:
                     numbers[w] = [number[f] for f in features(w) if f in number]
-                hit.update(numbers[w])
+                if numbers[w]:
+                    hit.update(numbers[w])
             if hit:
                 sent += [n_sent] * len(hit)
                 feat += hit.keys()
