@@ -175,7 +175,7 @@ def training_rows(
     n = {r["_y"]: r["n"] for r in marked.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).collect()}
     draw = F.pmod(F.xxhash64(F.lit(seed), "_id"), F.lit(1_000_000)) / 1_000_000.0
     part = F.when(F.col("_y") == 1, min(1.0, toxic / max(1, n.get(1, 0)))).otherwise(min(1.0, clean / max(1, n.get(0, 0))))
-    chosen = marked.where(draw < part)
+    chosen = F.broadcast(marked.where(draw < part))  # about toxic + clean rows, whatever the size of the tables
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     return sorted(texts.join(chosen, "_id").select("_id", "_text", "_y").collect(), key=lambda r: (r[0], r[1] or ""))
 
