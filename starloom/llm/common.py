@@ -1,65 +1,16 @@
-"""Helpers shared by the text operators: shared scratch tables, tables by name, components of a link graph."""
+"""Helpers shared by the text operators."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from starloom.operators.graph import connected_components
+from starloom.plans.scratch import cut, shared_dir
+
+__all__ = ["WORD", "connected_components", "cut", "shared_dir", "table"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="starloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage ends here and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """Components of an undirected graph by alternating large-star and small-star rounds.
-
-    edges: columns a, b (long). Returns node, root for every node that has a link to another, root being the
-    smallest node of its component (roots themselves have a row too). Self-links, repeated and null links are
-    ignored; an empty graph gives no rows. Each round is a partial aggregate and a join over the links left, and is
-    written to the shared folder, so hubs are pre-aggregated and AQE may split what is still skewed in the join.
-    """
-    def ordered(e: DataFrame) -> DataFrame:
-        return (
-            e.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-        )
-
-    e = cut(ordered(edges), "links")
-    seen = None
-    for _ in range(max_rounds):
-        stat = e.agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")).first()
-        if stat["n"] == 0 or (stat["n"], stat["x"]) == seen:
-            break
-        seen = (stat["n"], stat["x"])
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = ordered(both.where("v > u").join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b")))
-        low = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(low, "b").select(F.col("m").alias("a"), F.col("a").alias("b"))
-        e = cut(ordered(small.union(low.select("m", "b"))), "links")
-    return e.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
-        e.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct()
-    )
