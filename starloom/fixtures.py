@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions import mosaic
-from starloom.operators.pixels import to_arrays, to_pixels
+from starloom.operators.pixels import computed_once, to_arrays, to_pixels
 
 SIDE = 8
 
@@ -18,9 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """session (label), frame_id (vec_id), height, width, data: whole-number mosaics of 8 x 8 pixels."""
     adu = F.transform("embedding", lambda v: F.floor((v.cast("double") + 1) * 20000).cast("double"))
-    return table(spark, sf_dir, "embeddings").select(
+    rows = table(spark, sf_dir, "embeddings").select(
         F.col("label").alias("session"), F.col("vec_id").alias("frame_id"), F.lit(SIDE).alias("height"), F.lit(SIDE).alias("width"), adu.alias("data")
     )
+    return computed_once(rows, "data")
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:

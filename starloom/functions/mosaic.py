@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,27 +54,37 @@ def from_planes(r: Column, g1: Column, g2: Column, b: Column, half_h: Column, ha
     return over(half_h * 2 * width, value)
 
 
-def colour_at(y: Column, x: Column) -> Column:
-    return F.when((y % 2 == 0) & (x % 2 == 0), F.lit("r")).when((y % 2 == 1) & (x % 2 == 1), F.lit("b")).otherwise(F.lit("g"))
+def colour_planes(height: int, width: int, colour: str) -> np.ndarray:
+    """Where a colour is native."""
+    y, x = np.ogrid[:height, :width]
+    odd = (y % 2) + (x % 2)
+    return {"r": odd == 0, "b": odd == 2, "g": odd == 1}[colour]
+
+
+def window_means(image: np.ndarray, native: np.ndarray) -> np.ndarray:
+    """Native values, elsewhere the mean of the native ones in the 3 x 3 window (0 without any)."""
+    h, w = image.shape
+    value, count = np.pad(np.where(native, image, 0.0), 1), np.pad(native.astype(float), 1)
+    total = sum(value[i : i + h, j : j + w] for i in range(3) for j in range(3))
+    n = sum(count[i : i + h, j : j + w] for i in range(3) for j in range(3))
+    return np.where(native, image, total / np.maximum(n, 1))
 
 
 def bilinear(data: Column, height: Column, width: Column, colour: str) -> Column:
-    """A colour at full size: its own value where it is native, else the mean of that colour in the 3 x 3 window."""
+    """A colour at full size: its own value where it is native, else the mean of that colour in the 3 x 3 window.
 
-    def value(i: Column) -> Column:
-        y, x = F.floor(i / width).cast("int"), (i % width).cast("int")
-        near = []
-        for dy in (-1, 0, 1):
-            for dx in (-1, 0, 1):
-                v, u = y + dy, x + dx
-                inside = (v >= 0) & (v < height) & (u >= 0) & (u < width)
-                near.append(F.when(inside & (colour_at(v, u) == colour), F.get(data, v * width + u)))
-        got = F.array_compact(F.array(*near))
-        total = F.aggregate(got, F.lit(0.0).cast("double"), lambda s, v: s + v)
-        mean = F.when(F.size(got) > 0, total / F.nullif(F.size(got), F.lit(0))).otherwise(F.lit(0.0))
-        return F.when(colour_at(y, x) == colour, F.get(data, i)).otherwise(mean)
-
-    return over(height * width, value)
+    A vectorised function: array lambdas take about 0.1 ms a pixel for this window, numpy some nanoseconds.
+    """
+
+    @F.pandas_udf("array<double>")
+    def full(d: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
+        out = []
+        for a, rows, columns in zip(d, h, w):
+            image = None if a is None else np.asarray(a, float).reshape(int(rows), int(columns))
+            out.append(None if image is None else window_means(image, colour_planes(*image.shape, colour)).ravel())
+        return pd.Series(out)
+
+    return full(data, height, width)
 
 
 def luminance(data: Column, height: Column, width: Column, method: str = "weighted") -> Column:

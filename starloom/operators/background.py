@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,9 +148,6 @@ def plane_fit(levels: DataFrame, image: list[str]) -> DataFrame:
 
 def polynomial_fit(levels: DataFrame, image: list[str], order: int = 2) -> DataFrame:
     """image and coefs, the array of 3 or 6 coefficients: normal-equation sums per image, solved per image in a task."""
-    import numpy as np
-    import pandas as pd
-
     x = (F.col("xc") - F.col("width") / 2.0) / F.col("width")
     y = (F.col("yc") - F.col("height") / 2.0) / F.col("height")
     terms = _terms(x, y, order)

@@ -6,6 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def computed_once(df: DataFrame, *names: str) -> DataFrame:
+    """df with the named columns behind a generator, which the optimiser does not merge into what reads them.
+
+    An array expression that a lambda reads would otherwise be put into the lambda and computed for every element.
+    """
+    return df.select(*[c for c in df.columns if c not in names], F.inline(F.array(F.struct(*names)))).select(*df.columns)
+
+
 def to_pixels(frames: DataFrame, keys: list[str], values: dict[str, str], width: str | int = "width") -> DataFrame:
     """keys, pos, y, x and one column per entry of values (name -> array column); arrays of a row have one length."""
     w = F.col(width) if isinstance(width, str) else F.lit(width)
@@ -23,11 +31,8 @@ def to_arrays(pixels: DataFrame, keys: list[str], values: list[str], order: list
     """One row per key with an array per value, in row-major order; a frame must fit into one row."""
     order = order or ["y", "x"]
     packed = F.array_sort(F.collect_list(F.struct(*order, *values)))
-    return (
-        pixels.groupBy(*keys)
-        .agg(packed.alias("_p"), (F.max("y") + 1).alias("height"), (F.max("x") + 1).alias("width"))
-        .select(*keys, "height", "width", *[F.col(f"_p.{v}").alias(v) for v in values])
-    )
+    rows = pixels.groupBy(*keys).agg(packed.alias("_p"), (F.max("y") + 1).alias("height"), (F.max("x") + 1).alias("width"))
+    return computed_once(rows.select(*keys, "height", "width", *[F.col(f"_p.{v}").alias(v) for v in values]), *values)
 
 
 def tiles(frames: DataFrame, keys: list[str], data: str, rows: int = 64, columns: int = 480) -> DataFrame:

@@ -60,40 +60,55 @@ def shifted(pixels: DataFrame, frame: list[str], values: list[str], dy: Column,
     )
 
 
-def warped(data: Column, height: Column, width: Column, inverse: Column) -> Column:
-    """An array image resampled bilinearly: out(x, y) = in(inverse (x, y)); outside is 0. One row in, one row out."""
-    from starloom.functions.mosaic import over
+def source_places(shape: tuple[int, int], inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) in the source of each output pixel."""
+    y, x = np.indices(shape, dtype=float)
+    return inverse[1][0] * x + inverse[1][1] * y + inverse[1][2], inverse[0][0] * x + inverse[0][1] * y + inverse[0][2]
+
+
+def bilinear_at(image: np.ndarray, v: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """The image at fractional places; beyond it 0."""
+    h, w = image.shape
+    y0, x0 = np.floor(v).astype(int), np.floor(u).astype(int)
+    out = np.zeros(v.shape)
+    for dy in (0, 1):
+        for dx in (0, 1):
+            y, x = y0 + dy, x0 + dx
+            inside = (y >= 0) & (y < h) & (x >= 0) & (x < w)
+            part = (v - y0 if dy else 1 - v + y0) * (u - x0 if dx else 1 - u + x0)
+            out += np.where(inside, image[y.clip(0, h - 1), x.clip(0, w - 1)], 0.0) * part
+    return out
 
-    def value(i: Column) -> Column:
-        y, x = F.floor(i / width).cast("double"), (i % width).cast("double")
-        u = inverse[0][0] * x + inverse[0][1] * y + inverse[0][2]
-        v = inverse[1][0] * x + inverse[1][1] * y + inverse[1][2]
-        x0, y0 = F.floor(u), F.floor(v)
-        fx, fy = u - x0, v - y0
 
-        def tap(dy: int, dx: int) -> Column:
-            a, b = (y0 + dy).cast("int"), (x0 + dx).cast("int")
-            inside = (a >= 0) & (a < height) & (b >= 0) & (b < width)
-            return F.when(inside, F.get(data, a * width + b)).otherwise(F.lit(0.0))
+def warped(data: Column, height: Column, width: Column, inverse: Column) -> Column:
+    """An array image resampled bilinearly: out(x, y) = in(inverse (x, y)); outside is 0. One row in, one row out."""
 
-        top = tap(0, 0) * (1 - fx) + tap(0, 1) * fx
-        low = tap(1, 0) * (1 - fx) + tap(1, 1) * fx
-        return top * (1 - fy) + low * fy
+    @F.pandas_udf("array<double>")
+    def warp(d: pd.Series, h: pd.Series, w: pd.Series, m: pd.Series) -> pd.Series:
+        out = []
+        for a, rows, columns, inv in zip(d, h, w, m):
+            if a is None or inv is None:
+                out.append(None)
+                continue
+            image = np.asarray(a, float).reshape(int(rows), int(columns))
+            out.append(bilinear_at(image, *source_places(image.shape, np.stack(inv))).ravel())
+        return pd.Series(out)
 
-    return over(height * width, value)
+    return warp(data, height, width, inverse)
 
 
 def warp_mask(height: Column, width: Column, inverse: Column) -> Column:
     """1 where the nearest source pixel of a warp lies inside the image, else 0."""
-    from starloom.functions.mosaic import over
 
-    def value(i: Column) -> Column:
-        y, x = F.floor(i / width).cast("double"), (i % width).cast("double")
-        u = F.rint(inverse[0][0] * x + inverse[0][1] * y + inverse[0][2])
-        v = F.rint(inverse[1][0] * x + inverse[1][1] * y + inverse[1][2])
-        return F.when((u >= 0) & (u < width) & (v >= 0) & (v < height), 1.0).otherwise(0.0)
+    @F.pandas_udf("array<double>")
+    def mask(h: pd.Series, w: pd.Series, m: pd.Series) -> pd.Series:
+        out = []
+        for rows, columns, inv in zip(h, w, m):
+            v, u = (np.rint(p) for p in source_places((int(rows), int(columns)), np.stack(inv)))
+            out.append(((v >= 0) & (v < rows) & (u >= 0) & (u < columns)).astype(float).ravel())
+        return pd.Series(out)
 
-    return over(height * width, value)
+    return mask(height, width, inverse)
 
 
 def affine_inverse(matrix: Column) -> Column:

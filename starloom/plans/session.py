@@ -34,9 +34,10 @@ def aligned_pixels(frames: DataFrame, scores: DataFrame, align: bool) -> tuple[D
     ref = frames.join(best, SESSION).where("frame_id = reference").drop("reference")
     shifts = register.integer_shifts(kept, ref, SESSION)
     good = shifts.where("success").select(*keys, F.col("dy").alias("_dy"), F.col("dx").alias("_dx"))
-    pixels = to_pixels(kept, keys, {"v": "data"}).withColumn("w", F.lit(1.0)).join(good, keys)
-    moved = pixels.select(*keys, (F.col("y") + F.col("_dy")).alias("y"), (F.col("x") + F.col("_dx")).alias("x"), "v", "w")
-    return moved, shifts, best
+    pixels = to_pixels(kept.withColumnRenamed("height", "_h").withColumn("_w2", F.col("width")), [*keys, "_h", "_w2"], {"v": "data"})
+    moved = pixels.join(good, keys).withColumns({"y": F.col("y") + F.col("_dy"), "x": F.col("x") + F.col("_dx")})
+    inside = (F.col("y") >= 0) & (F.col("y") < F.col("_h")) & (F.col("x") >= 0) & (F.col("x") < F.col("_w2"))
+    return moved.where(inside).select(*keys, "y", "x", "v", F.lit(1.0).alias("w")), shifts, best
 
 
 def stacked_session(frames: DataFrame, settings: StackSettings | None = None, exposure: float = 15.0, align: bool = False) -> StackResult:

@@ -39,6 +39,6 @@ def rounded(*names: str, digits: int = 6) -> str:
     """SQL select list of names rounded alike (a name may be 'expression AS name')."""
     parts = []
     for n in names:
-        expr, _, alias = n.partition(" AS ")
-        parts.append(f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0::DOUBLE AS {alias or expr}")
+        expr, _, alias = n.rpartition(" AS ")
+        parts.append(f"round(CAST({expr or alias} AS DOUBLE), {digits}) + 0.0::DOUBLE AS {alias}")
     return ", ".join(parts)

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 BLOCK, CARD = 2880, 80
 # Sample types of FITS by BITPIX.
@@ -61,9 +64,7 @@ def read_fits(spark: SparkSession, path: str, pixels: bool = True, hdu: int = 0)
     content = F.col("content") if pixels else F.substring("content", 1, 1 << 20)
     src = files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), content.alias("content"))
 
-    def run(parts) -> Iterator:
-        import pyarrow as pa
-
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts:
             rows = []
             for p, n, raw in zip(*(b.column(i).to_pylist() for i in range(3))):
@@ -83,8 +84,6 @@ def read_fits(spark: SparkSession, path: str, pixels: bool = True, hdu: int = 0)
                 rows.append(row)
             yield pa.RecordBatch.from_pylist(rows, arrow)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     kind = T.StructType.fromDDL(SCHEMA)
     names, arrow = kind.names, to_arrow_schema(kind)
     return src.mapInArrow(run, kind)
@@ -114,10 +113,8 @@ def unit(shape: tuple[int, ...], data: np.ndarray, kind: str, header: dict, exte
 
 def fits_bytes(images: DataFrame, keys: list[str], planes: list[str], coverage: str | None = None) -> DataFrame:
     """keys, content: FITS of image rows (height, width and array columns), colour planar, coverage as MASKCOUNT unit."""
-    from pyspark.sql.pandas.functions import pandas_udf
-
-    @pandas_udf("binary")
-    def build(height, width, *arrays):
+    @F.pandas_udf("binary")
+    def build(height: pd.Series, width: pd.Series, *arrays: pd.Series) -> pd.Series:
         out = []
         for i, (h, w) in enumerate(zip(height, width)):
             own = [np.asarray(a.iloc[i], float) for a in arrays[: len(planes)]]
@@ -126,8 +123,6 @@ def fits_bytes(images: DataFrame, keys: list[str], planes: list[str], coverage:
             if coverage:
                 raw += unit((int(h), int(w)), np.asarray(arrays[-1].iloc[i]), ">i2", {}, "MASKCOUNT")
             out.append(raw)
-        import pandas as pd
-
         return pd.Series(out)
 
     return images.select(*keys, build("height", "width", *planes, *([coverage] if coverage else [])).alias("content"))
