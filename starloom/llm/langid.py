@@ -55,6 +55,8 @@ class Codes:
 
     def __init__(self, langs: list[str], counts: np.ndarray):
         self.langs, self.code = langs, codewords(len(langs))
+        if not langs:  # decode() never looks further
+            return
         p = (counts + 0.5) / (counts + 0.5).sum(axis=1, keepdims=True)
         weights = []
         for bit in self.code.T:

@@ -63,7 +63,7 @@ def novelty(candidate: str, around: str, identifiers: str = IDENTIFIERS) -> floa
 
 
 def novel_spans(
-    text: str, taken: list[tuple[int, int, str]], reach: int = 48, around: int = 400, at_least: float = 0.8
+    text: str, taken: list[tuple[int, int, str]], reach: int = 48, around: int = 400, at_least: float = 0.95
 ) -> list[tuple[int, int, str]]:
     """Incompressible tokens that start within `reach` characters after a credential word and overlap no taken span."""
     low = text.lower()
@@ -78,7 +78,7 @@ def novel_spans(
                 break
             s, e = m.span()
             cand = m.group()
-            mixed = any(x.isdigit() for x in cand) and any(x.isalpha() for x in cand)
+            mixed = sum(x.isdigit() for x in cand) >= 2 and sum(x.isalpha() for x in cand) >= 2
             if s in found or not mixed or any(s < y and x < e for x, y, _ in taken):
                 continue
             if novelty(cand, text[max(0, s - around) : s] + text[e : e + around]) >= at_least:
