@@ -97,14 +97,3 @@ def luminance(data: Column, height: Column, width: Column, method: str = "weight
     if method == "green":
         return zipped(lambda c, d: (c + d) / 2.0, g1, g2)
     raise ValueError(f"unknown luminance method {method}")
-
-
-def median_of(data: Column) -> Column:
-    """Median of an array, ends averaged; nulls and NaN left out; null if nothing is left."""
-    own = F.array_sort(F.filter(data, lambda v: v.isNotNull() & ~F.isnan(v)))
-    n = F.size(own)
-    return (F.get(own, F.floor((n - 1) / 2).cast("int")) + F.get(own, F.floor(n / 2).cast("int"))) / 2.0
-
-
-def mad_of(data: Column, centre: Column) -> Column:
-    return median_of(F.transform(data, lambda v: F.abs(v - centre)))
