@@ -10,7 +10,7 @@ so no block ever becomes a row.
 from __future__ import annotations
 
 import heapq
-from zlib import crc32
+from hashlib import md5
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -119,7 +119,7 @@ def mix(
     quota = sainte_lague(votes, round(sum(targets) / block_words), [int(most * n) for n in blocks])
     taken = spark.createDataFrame(
         [
-            (no, sh, q // n if n else 0, q % n if n else 0, max(n, 1), crc32(f"{seed}:{no}:{sh}".encode()) % max(n, 1))
+            (no, sh, q // n if n else 0, q % n if n else 0, max(n, 1), int(md5(f"{seed}:{no}:{sh}".encode()).hexdigest()[:8], 16) % max(n, 1))
             for (no, sh, _), n, q in zip(cells, blocks, quota)
         ],
         "_cell_no int, _cell_shard long, _passes long, _more long, _blocks long, _phase long",
