@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import bounded_batches
+
 WORDS = re.compile(r"\w+")
 ODD = np.uint64(0x9E3779B97F4A7C15)
 HITS = "array<struct<item_id:bigint,start_word:bigint,end_word:bigint,hamming:int,similarity:double>>"
@@ -201,5 +203,5 @@ def contamination(
                 cols = [b.column(0), b.column(1), pa.array(found, kind), *b.columns[3:]]
                 yield pa.RecordBatch.from_arrays(cols, b.schema.names)
 
-        out = out.mapInArrow(run, out.schema)
+        out = bounded_batches(out).mapInArrow(run, out.schema)
     return out.select("doc_id", "hits", *[F.col(f"_keep_{c}").alias(c) for c in keep])

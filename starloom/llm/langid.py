@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import bounded_batches
+
 LETTER = re.compile(r"[^\W\d_]")
 BUCKETS = 1 << 13
 MODULUS = 4
@@ -92,7 +94,7 @@ class Codes:
 def learned(docs: DataFrame, names: tuple[str, str, str]) -> Codes:
     """Two passes over all training rows: trigram counts by language, then the bits' hits by language."""
     id_col, text_col, lang_col = names
-    rows = docs.select(
+    rows = bounded_batches(docs).select(
         F.col(id_col).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"), F.col(lang_col).cast("string").alias("l")
     ).where(
         (F.coalesce(F.crc32(F.col("i").cast("string").cast("binary")), F.lit(0)) % MODULUS != HELD)
@@ -170,4 +172,4 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     number = F.col(id_col).cast("long")
     held = F.coalesce(F.crc32(number.cast("string").cast("binary")) % MODULUS == HELD, F.lit(False))
     src = docs.select(number.alias("doc_id"), held.alias("held_out"), F.col(text_col).cast("string").alias("t"))
-    return src.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
+    return bounded_batches(src).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")

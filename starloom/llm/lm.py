@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import bounded_batches
+
 WORDS = re.compile(r"\w+")
 GROUPS = 32
 CLASSES = GROUPS * GROUPS
@@ -235,7 +237,7 @@ def pseudo_likelihood(
     table gives an empty result; further columns are ignored.
     """
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    vocab, net = trained(src, words, sample_rows, warm_rounds, batch, rate)
+    vocab, net = trained(bounded_batches(src), words, sample_rows, warm_rounds, batch, rate)
     model = docs.sparkSession.sparkContext.broadcast((vocab, net))
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

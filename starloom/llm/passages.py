@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from starloom.llm.common import cut
+from starloom.llm.common import bounded_batches, cut
 from starloom.llm.decontaminate import shingle_hashes
 
 
@@ -214,4 +214,4 @@ def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str) ->
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, t of the rows that have both."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return src.where("doc_id is not null and t is not null")
+    return bounded_batches(src).where("doc_id is not null and t is not null")

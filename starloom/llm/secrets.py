@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.llm.common import bounded_batches
+
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -147,5 +149,5 @@ def scan_secrets(
         ]
     )
     names = schema.names
-    out = src.mapInArrow(run, schema)
+    out = bounded_batches(src).mapInArrow(run, schema)
     return out.select(*names[:8], *[F.col(f"_keep_{c}").alias(c) for c in keep or []])

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import connected_components, cut
+from starloom.llm.common import bounded_batches, connected_components, cut
 
 BITS = 64
 
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return src.mapInArrow(run, "doc_id long, fp long")
+    return bounded_batches(src).mapInArrow(run, "doc_id long, fp long")
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:

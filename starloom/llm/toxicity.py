@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.llm.common import bounded_batches
+
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORDS = re.compile(r"\w+")
 STEMS = range(4, 9)
@@ -43,7 +45,7 @@ class Model:
         if got is None:
             get = self.weights.get
             got = sum(get(f, 0.0) for f in features(w))
-            if len(self._words) > 200_000:
+            if len(self._words) > 50_000:
                 self._words.clear()
             self._words[w] = got
         return got
@@ -145,7 +147,7 @@ def train(
         no = np.bincount(sent_doc, np.logaddexp(0, s), len(y)) + plain * np.logaddexp(0, w[-1])
         # -log L: no for clean documents, -log(1 - exp(-no)) for toxic ones
         slope = pos * np.where(y == 1, -1 / np.expm1(np.clip(no, 1e-9, 50)), 1.0)
-        by_sent = slope[sent_doc] / (1 + np.exp(-s)) if n_sent else s
+        by_sent = slope[sent_doc] * np.exp(-np.logaddexp(0, -s)) if n_sent else s
         g = np.zeros_like(w)
         if n_sent:
             g[:-1] = np.bincount(feat, by_sent[sent] * val, len(kept))
@@ -235,5 +237,5 @@ def score_toxicity(
         ]
     )
     names = schema.names
-    out = src.mapInArrow(run, schema)
+    out = bounded_batches(src).mapInArrow(run, schema)
     return out.select(*names[:7], *[F.col(f"_keep_{c}").alias(c) for c in keep or []])
