@@ -86,20 +86,16 @@ def train(
     if not len(y) or y.min() == y.max():
         return Model({}, -12.0 if not len(y) or y.max() < 1 else 12.0)
     n1, n0 = int(y.sum()), int(len(y) - y.sum())
-    by_word: dict[str, list[str]] = {}
 
     def present(t: str | None) -> set[str]:
-        own: set[str] = set()
-        for w in set(WORDS.findall((t or "").lower())):
-            own.update(by_word.get(w) or by_word.setdefault(w, features(w)))
-        return own
+        return {f for w in set(WORDS.findall((t or "").lower())) for f in features(w)}
 
+    by_word: dict[str, list[str]] = {}
     toxic, clean = Counter(), Counter()
     for t, label in zip(texts, labels):
         if label:
             toxic.update(present(t))
     toxic = Counter({f: n for f, n in toxic.items() if n >= least_docs})
-    by_word.clear()
     for t, label in zip(texts, labels):
         if not label:
             words = set(WORDS.findall((t or "").lower()))
@@ -190,8 +186,8 @@ def score_toxicity(
     label_col: str = "toxic",
     threshold: float = 0.7,
     seed: int = 5,
-    toxic_rows: int = 4000,
-    clean_rows: int = 6000,
+    toxic_rows: int = 2000,
+    clean_rows: int = 3000,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """doc_id, held_out, score, predicted, worst_start, worst_end, worst_score (and keep) for every row of docs.
