@@ -34,10 +34,24 @@ def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     return np.unique(np.arange(len(views)) + views.argmin(axis=1))
 
 
-def selected_positions(docs: DataFrame, least_words: int, gram: int, window: int, reach: int) -> DataFrame:
+MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def strobes(h: np.ndarray, pos: np.ndarray, gram: int, span: int) -> np.ndarray:
+    """A hash of the `gram` words from each pos and of one of the `span` words after them, chosen by the gram."""
+    own = shingle_hashes(h, gram)[pos]
+    line = np.concatenate((h, np.full(span, h[-1], np.uint64)))
+    near = np.lib.stride_tricks.sliding_window_view(line, span)[pos + gram]
+    x = (near ^ own[:, None]) * MIX
+    x ^= x >> np.uint64(32)
+    return (own * MIX) ^ x.min(axis=1)
+
+
+def selected_positions(docs: DataFrame, least_words: int, gram: int, window: int, reach: int, span: int = 0) -> DataFrame:
     """key, doc_id, pos: the minimiser positions of each text of docs (doc_id, t) of least_words words or more.
 
-    key hashes the `reach` words from pos; positions with fewer words after them are left out.
+    key hashes the `reach` words from pos, or with a span the gram and a strobe; positions with fewer words after them
+    are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,7 +64,7 @@ def selected_positions(docs: DataFrame, least_words: int, gram: int, window: int
                 h = hashed(ws)
                 pos = minimisers(shingle_hashes(h, gram), window)
                 pos = pos[pos + reach <= len(h)]
-                keys.append(shingle_hashes(h, reach)[pos])
+                keys.append(strobes(h, pos, gram, span) if span else shingle_hashes(h, reach)[pos])
                 at.append(pos)
                 ids.append(np.full(len(pos), i, np.int64))
             if ids:
@@ -148,9 +162,9 @@ def sorted_neighbours(positions: DataFrame) -> DataFrame:
 
 
 def stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, pair, lo, words: the words lo..hi of each wanted stretch (doc_id, pair, lo, hi) of docs (doc_id, t).
+    """doc_id, pair, lo, words, more: the words lo..hi of each wanted stretch (doc_id, pair, lo, hi) of docs (doc_id, t).
 
-    wanted holds a bounded number of stretches per document (by its selected positions).
+    wanted holds a bounded number of stretches per document (by its selected positions); more tells that words follow.
     """
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("pair", "lo", "hi")).alias("asked"))
     joined = docs.join(lists, "doc_id").select("doc_id", "t", "asked")
@@ -166,31 +180,51 @@ def stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         pa.array([x["pair"] for x in asked], pa.string()),
                         pa.array(lows, pa.int64()),
                         pa.array([b" ".join(ws[lo : x["hi"]]) for lo, x in zip(lows, asked)], pa.binary()),
+                        pa.array([x["hi"] < len(ws) for x in asked], pa.bool_()),
                     ],
-                    ["doc_id", "pair", "lo", "words"],
+                    ["doc_id", "pair", "lo", "words", "more"],
                 )
 
-    return joined.mapInArrow(run, "doc_id long, pair string, lo long, words binary")
+    return joined.mapInArrow(run, "doc_id long, pair string, lo long, words binary, more boolean")
 
 
-def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str) -> DataFrame:
+def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, near: int = 2) -> DataFrame:
     """match(words of a, words of b, seeds) of every pair: rows (doc_id, start, end, other, other_start, other_end, ...).
 
     pairs: pair (unique), a, a_lo, a_hi, b, b_lo, b_hi, seeds (array of positions in a and b). match yields tuples of
-    start and end in a, start and end in b (relative to the stretches) and further values.
+    start and end in a, start and end in b (relative to the stretches) and further values. A pair with a match that
+    comes within `near` words of a stretch's edge, where the text goes on, is compared again over both whole texts.
     """
+    pairs = cut(pairs, "pairs")
+    found = cut(compared_once(docs, pairs, match, schema, near), "compared")
+    again = cut(pairs.join(found.where("again").select("pair").distinct(), "pair", "left_semi"), "again")
+    names = T.StructType.fromDDL(schema).names
+    out = found.where("not again").select(*names)
+    n = again.count()
+    if not n:
+        return out
+    everything = 1 << 40
+    whole = again.select(
+        "pair", "a", "b", "seeds", F.lit(0).alias("a_lo"), F.lit(everything).alias("a_hi"),
+        F.lit(0).alias("b_lo"), F.lit(everything).alias("b_hi"),
+    )
+    ids = again.select(F.col("a").alias("doc_id")).union(again.select(F.col("b").alias("doc_id"))).distinct()
+    own = docs.join(F.broadcast(ids) if n < 200_000 else ids, "doc_id", "left_semi")
+    return out.union(compared_once(own, whole, match, schema, near).select(*names))
+
+
+def compared_once(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, near: int) -> DataFrame:
+    """The rows of `compared` over the stretches as they are, with pair and again (a match reaches a stretch's edge)."""
     side_a = pairs.select(F.col("a").alias("doc_id"), "pair", F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi"))
     side_b = pairs.select(F.col("b").alias("doc_id"), "pair", F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi"))
     cuts = stretches(docs, side_a.union(side_b))
-    sides = pairs.select("pair", "a", "b", "seeds").join(
-        cuts.select("pair", "doc_id", "lo", "words"), "pair"
-    )
+    sides = pairs.select("pair", "a", "b", "seeds").join(cuts, "pair")
     both = sides.groupBy("pair").agg(
         F.first("a").alias("a"),
         F.first("b").alias("b"),
         F.first("seeds").alias("seeds"),
-        F.max(F.when(F.col("doc_id") == F.col("a"), F.struct("lo", "words"))).alias("wa"),
-        F.max(F.when(F.col("doc_id") == F.col("b"), F.struct("lo", "words"))).alias("wb"),
+        F.max(F.when(F.col("doc_id") == F.col("a"), F.struct("lo", "words", "more"))).alias("wa"),
+        F.max(F.when(F.col("doc_id") == F.col("b"), F.struct("lo", "words", "more"))).alias("wb"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,14 +235,22 @@ def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str) ->
                     continue
                 x, y = r["wa"]["words"].split(), r["wb"]["words"].split()
                 la, lb = r["wa"]["lo"], r["wb"]["lo"]
-                for s, e, u, v, *more in match(x, y, [(z["pa"] - la, z["pb"] - lb) for z in r["seeds"] or []]):
-                    rows.append((r["a"], la + s, la + e, r["b"], lb + u, lb + v, *more))
-                    rows.append((r["b"], lb + u, lb + v, r["a"], la + s, la + e, *more))
+                got = list(match(x, y, [(z["pa"] - la, z["pb"] - lb) for z in r["seeds"] or []]))
+                again = any(
+                    (la > 0 and s < near)
+                    or (lb > 0 and u < near)
+                    or (r["wa"]["more"] and e > len(x) - near)
+                    or (r["wb"]["more"] and v > len(y) - near)
+                    for s, e, u, v, *_ in got
+                )
+                for s, e, u, v, *more in got:
+                    rows.append((r["a"], la + s, la + e, r["b"], lb + u, lb + v, *more, r["pair"], again))
+                    rows.append((r["b"], lb + u, lb + v, r["a"], la + s, la + e, *more, r["pair"], again))
             yield pa.RecordBatch.from_pylist([dict(zip(names, x)) for x in rows], arrow)
 
-    kind = T.StructType.fromDDL(schema)
+    kind = T.StructType.fromDDL(f"{schema}, pair string, again boolean")
     names, arrow = kind.names, to_arrow_schema(kind)
-    return both.select("a", "b", "seeds", "wa", "wb").mapInArrow(run, kind)
+    return both.select("pair", "a", "b", "seeds", "wa", "wb").mapInArrow(run, kind)
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

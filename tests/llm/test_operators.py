@@ -536,3 +536,51 @@ def test_embeddings_of_no_rows(spark):
     assert rows(embeddings.near_duplicates(spark.createDataFrame([], VECTORS))) == []
     got = embeddings.near_duplicates(spark.createDataFrame([(None, [1.0], 1, "", ""), (4, [1.0], 1, "", "")], VECTORS)).collect()
     assert {(r.vec_id, r.n_links, r.component_id, r.kept) for r in got} == {(None, 0, None, False), (4, 0, 4, True)}
+
+
+# ---- sparse edits, long stretches
+
+
+def edited(words, rate, rng):
+    out = []
+    for w in words:
+        if rng.random() < rate:
+            out += rng.choice([[], [f"e{rng.random()}"], [w, f"e{rng.random()}"]])
+        else:
+            out.append(w)
+    return out
+
+
+def common_words(x, y):
+    row = [0] * (len(y) + 1)
+    for w in x:
+        before, row = row, [0]
+        for j, v in enumerate(y):
+            row.append(before[j] + 1 if v == w else max(before[j + 1], row[j]))
+    return row[-1]
+
+
+def test_chaining_recall_of_short_edited_passages(spark):
+    rng, texts, true = random.Random(12), [], set()
+    for n in range(240):
+        passage = [f"p{rng.randrange(1 << 30)}" for _ in range(rng.choice([44, 50, 60]))]
+        other = edited(passage, rng.choice([0.05, 0.1, 0.15]), rng)
+        if min(len(passage), len(other)) >= 40 and common_words(passage, other) >= 0.8 * max(len(passage), len(other)):
+            true.add(2 * n)
+        for part in (passage, other):
+            own = [[f"o{rng.randrange(1 << 30)}" for _ in range(30)] for _ in range(2)]
+            texts.append(" ".join(own[0] + part + own[1]))
+    found = {(r.doc_id, r.other_id) for r in chaining.fuzzy_passages(frame(spark, texts)).collect()}
+    recall = sum((i, i + 1) in found for i in true) / len(true)
+    print("recall", recall, len(true))
+    assert recall >= 0.97
+
+
+def test_passages_beyond_the_stretch_are_followed(spark):
+    run = [f"r{i}" for i in range(400)]
+    rows_ = [(i, f"{' '.join(own)} {' '.join(run)}") for i, own in enumerate((["a"], ["b"]))]
+    docs = passages.texts(spark.createDataFrame(rows_, "doc_id long, text string"), "doc_id", "text")
+    pairs = spark.createDataFrame([("0:1", 0, 1, 190, 240, 190, 240, [(200, 200)])], "pair string, a long, b long, a_lo long, a_hi long, b_lo long, b_hi long, seeds array<struct<pa:int,pb:int>>")
+    schema = "doc_id long, start_word long, end_word long, other_id long, other_start long, other_end long"
+    got = passages.compared(docs, pairs, lambda x, y, s: suffix.common_runs(x, y, s[0][0] - s[0][1], 20), schema).collect()
+    assert sorted(rows_2[:3] for rows_2 in map(tuple, got)) == [(0, 1, 401), (1, 1, 401)]
