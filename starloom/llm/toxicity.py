@@ -59,10 +59,16 @@ class Model:
 
     def score(self, text: str | None) -> tuple[float, int, int, float]:
         """Noisy-or over sentences; the span and score of the worst sentence."""
+        return self.located(text, 1.0)[:4]
+
+    def located(self, text: str | None, threshold: float) -> tuple[float, int, int, float, list[tuple[int, int, float]]]:
+        """score(), and the sentences whose own score reaches the threshold; the worst one if the document's does."""
         spans, z = self.sentence_logits(text)
-        p = 1 - np.exp(-np.logaddexp(0, z).sum())
+        p = float(1 - np.exp(-np.logaddexp(0, z).sum()))
+        own = np.exp(-np.logaddexp(0, -z))
         worst = int(np.argmax(z))
-        return float(p), *spans[worst], float(1 / (1 + np.exp(-z[worst])))
+        at = np.flatnonzero(own >= threshold).tolist() or ([worst] if p >= threshold else [])
+        return p, *spans[worst], float(own[worst]), [(*spans[i], float(own[i])) for i in at]
 
     def __getstate__(self):
         return self.weights, self.bias, self.most
@@ -190,12 +196,14 @@ def score_toxicity(
     clean_rows: int = 3000,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """doc_id, held_out, score, predicted, worst_start, worst_end, worst_score (and keep) for every row of docs.
+    """doc_id, held_out, score, predicted, worst_start, worst_end, worst_score, offending (and keep) for every row.
 
     Trained on at most about toxic_rows + clean_rows labelled rows whose crc32(id as text) mod 3 is not 1; scores use
     the text alone. Null and empty texts score as one sentence without words; a null id has held_out false; repeated
     rows score alike; no labels, or labels of one kind, give a constant score near 0 (or 1); an empty table gives an
-    empty result; further columns are ignored. worst_* locate the sentence that offends most, in code points.
+    empty result; further columns are ignored. worst_* locate the sentence that offends most, in code points;
+    offending lists start, end and score of every sentence whose own score reaches the threshold, and the worst one in
+    any document predicted toxic.
     """
     rows = training_rows(docs, labels, id_col, text_col, label_col, seed, toxic_rows, clean_rows)
     model = docs.sparkSession.sparkContext.broadcast(train([r[1] for r in rows], [r[2] for r in rows]))
@@ -203,7 +211,7 @@ def score_toxicity(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for b in batches:
-            got = [own.score(t) for t in b.column(2).to_pylist()]
+            got = [own.located(t, threshold) for t in b.column(2).to_pylist()]
             score = np.array([g[0] for g in got], float).clip(0, 1)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -214,6 +222,7 @@ def score_toxicity(
                     pa.array([g[1] for g in got], pa.int64()),
                     pa.array([g[2] for g in got], pa.int64()),
                     pa.array([g[3] for g in got], pa.float64()),
+                    pa.array([[dict(zip(("start", "end", "score"), x)) for x in g[4]] for g in got], offences),
                     *b.columns[3:],
                 ],
                 names,
@@ -229,9 +238,11 @@ def score_toxicity(
             *(T.StructField(n, k) for n, k in (("score", T.DoubleType()), ("predicted", T.IntegerType()))),
             *(T.StructField(n, k) for n, k in (("worst_start", T.LongType()), ("worst_end", T.LongType()))),
             T.StructField("worst_score", T.DoubleType()),
+            T.StructField("offending", T.ArrayType(T.StructType.fromDDL("start long, `end` long, score double"))),
             *src.schema.fields[3:],
         ]
     )
     names = schema.names
+    offences = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
     out = bounded_batches(src).mapInArrow(run, schema)
-    return out.select(*names[:7], *[F.col(f"_keep_{c}").alias(c) for c in keep or []])
+    return out.select(*names[:8], *[F.col(f"_keep_{c}").alias(c) for c in keep or []])

@@ -584,3 +584,20 @@ def test_passages_beyond_the_stretch_are_followed(spark):
     schema = "doc_id long, start_word long, end_word long, other_id long, other_start long, other_end long"
     got = passages.compared(docs, pairs, lambda x, y, s: suffix.common_runs(x, y, s[0][0] - s[0][1], 20), schema).collect()
     assert sorted(rows_2[:3] for rows_2 in map(tuple, got)) == [(0, 1, 401), (1, 1, 401)]
+
+
+def test_every_offending_sentence_is_located(spark):
+    m = toxicity.Model({"bad": 6.0}, -2.0)
+    text = "bad one. fine. bad two"
+    assert [text[s:e] for s, e, _ in m.located(text, 0.7)[4]] == ["bad one", " bad two"]
+    assert m.located("fine. fine", 0.7)[4] == []
+    weak = toxicity.Model({"hm": 2.0}, -2.0)
+    assert [x[:2] for x in weak.located("hm. hm. hm", 0.7)[4]] == [(0, 2)]  # the sentences offend only together
+    texts, labels = marked()
+    lab = spark.createDataFrame([(i, y) for i, y in enumerate(labels)], "doc_id long, toxic int")
+    texts.append("this is grumbo zinkers grumbo. calm words. that is grumbo zinkord grumbo. calm again")
+    got = toxicity.score_toxicity(frame(spark, texts), lab).collect()
+    assert all(bool(r.offending) == bool(r.predicted) for r in got)
+    assert all((r.worst_start, r.worst_end) in {(o.start, o.end) for o in r.offending} for r in got if r.predicted)
+    twice = next(r for r in got if r.doc_id == len(texts) - 1)
+    assert [texts[-1][o.start : o.end].strip()[:9] for o in twice.offending] == ["this is g", "that is g"]
