@@ -36,7 +36,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         large = ordered(both.where("v > u").join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b")))
         low = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(low, "b").select(F.col("m").alias("a"), F.col("a").alias("b"))
-        e = cut(ordered(small.union(low.select("m", "b"))), "links")
+        e = cut(ordered(small.union(low.select("m", "b"))), "links", done=(e,))
     else:
         raise RuntimeError("the components did not settle")
     return e.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
