@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators.graph import connected_components
-from starloom.plans.scratch import cut, shared_dir
+from starloom.plans.scratch import cut, remove, shared_dir
 
-__all__ = ["WORD", "bounded_batches", "connected_components", "cut", "shared_dir", "table"]
+__all__ = ["WORD", "bounded_batches", "connected_components", "cut", "remove", "shared_dir", "table"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 

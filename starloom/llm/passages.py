@@ -6,14 +6,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from starloom.llm.common import bounded_batches, cut
-from starloom.llm.decontaminate import shingle_hashes
+from starloom.llm.common import bounded_batches, cut, remove
+
+BLANK = np.zeros(256, bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
+BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
+INVERSE = pow(BASE, -1, 1 << 64)
+PIECE = 1 << 20  # bytes of text that are hashed at a time, or one longer text
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -21,239 +26,400 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
-def hashed(words: list[bytes]) -> np.ndarray:
-    h = xxhash.xxh64_intdigest
-    return np.array([h(w, 11) for w in words], np.uint64)
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def powers(x: int, n: int) -> np.ndarray:
+    out = np.full(n, x, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Spans:
+    """Hashes of runs of a sequence from its prefix sums of values times powers: equal runs hash alike wherever they lie."""
+
+    _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+    def __init__(self, values: np.ndarray):
+        n = len(values) + 1
+        if len(Spans._powers[0]) < n:
+            size = max(n, PIECE + 1)
+            Spans._powers = tuple(powers(x, size) for x in (BASE, INVERSE))
+        self.back = Spans._powers[1]
+        self.sums = np.zeros(n, np.uint64)
+        np.cumsum(values * Spans._powers[0][: n - 1], out=self.sums[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
+
+
+def hashed_words(part: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Hashes of the words part[start:stop], over about PIECE bytes at a time (or one longer word)."""
+    out, i = np.zeros(len(starts), np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(stops, starts[i] + PIECE, side="right")))
+        low = starts[i]
+        values = part[low : stops[j - 1]].astype(np.uint64) + np.uint64(1)
+        out[i:j] = Spans(values).of(starts[i:j] - low, stops[i:j] - low)
+        i = j
+    return out
+
+
+def pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, word hashes, word offsets by row) for runs of rows of about PIECE bytes; null texts have no words."""
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = pc.fill_null(column, b"")
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    row = 0
+    while row < len(column):
+        last = max(row + 1, int(np.searchsorted(ends, ends[row] + PIECE, side="right")) - 1)
+        cuts = ends[row : last + 1] - ends[row]
+        part = raw[ends[row] : ends[last]]
+        border = np.zeros(len(part) + 1, bool)
+        border[cuts] = True  # a text ends where the next begins
+        inside = np.concatenate(([False], ~BLANK[part], [False]))
+        starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | border[:-1]))
+        stops = np.flatnonzero(inside[1:-1] & (~inside[2:] | border[1:])) + 1
+        yield row, hashed_words(part, starts, stops), np.searchsorted(starts, cuts)
+        row = last
 
 
 def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the least gram of each window of consecutive grams (the first of equals); at least one, if any."""
-    if len(grams) <= window:
-        return np.array([int(grams.argmin())]) if len(grams) else np.zeros(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(grams, window)
-    return np.unique(np.arange(len(views)) + views.argmin(axis=1))
-
-
-MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def strobes(h: np.ndarray, pos: np.ndarray, gram: int, span: int) -> np.ndarray:
-    """A hash of the `gram` words from each pos and of one of the `span` words after them, chosen by the gram."""
-    own = shingle_hashes(h, gram)[pos]
-    line = np.concatenate((h, np.full(span, h[-1], np.uint64)))
-    near = np.lib.stride_tricks.sliding_window_view(line, span)[pos + gram]
-    x = (near ^ own[:, None]) * MIX
-    x ^= x >> np.uint64(32)
-    return (own * MIX) ^ x.min(axis=1)
-
-
-def selected_positions(docs: DataFrame, least_words: int, gram: int, window: int, reach: int, span: int = 0) -> DataFrame:
-    """key, doc_id, pos: the minimiser positions of each text of docs (doc_id, t) of least_words words or more.
-
-    key hashes the `reach` words from pos, or with a span the gram and a strobe; positions with fewer words after them
-    are left out.
+    """Sorted positions of the least gram of each window of consecutive grams (the first of equals)."""
+    n = len(grams)
+    if n < window:
+        return np.zeros(0, np.int64)
+    low = np.uint64((1 << 24) - 1)
+    out = []
+    for i in range(0, n - window + 1, 1 << 23):
+        part = grams[i : i + (1 << 23) + window - 1]
+        least = (part & ~low) | np.arange(len(part), dtype=np.uint64)  # positions break ties
+        size = 1
+        while size < window:
+            step = min(size, window - size)
+            least = np.minimum(least[: len(least) - step], least[step:])
+            size += step
+        out.append((least & low).astype(np.int64) + i)
+    at = np.concatenate(out)
+    return at[np.concatenate(([True], at[1:] != at[:-1]))]
+
+
+def packed(spans: Spans, start: np.ndarray, ends: list[np.ndarray], bits: int) -> np.ndarray:
+    """One number that orders places by up to four stretches between consecutive borders, the first one first."""
+    out = np.zeros(len(start), np.uint64)
+    for end in ends:
+        low, high = np.minimum(start, end), np.maximum(start, end)
+        out = (out << np.uint64(bits)) | (spans.of(low, high) >> np.uint64(64 - bits))
+        start = end
+    return out
+
+
+def selected_positions(
+    docs: DataFrame, least_words: int, gram: int, window: int, reach: int, right: tuple, left: tuple
+) -> DataFrame:
+    """key, r, l, unit, pos: the minimiser positions of each text of docs (unit, t) of least_words words or more.
+
+    key hashes the `reach` words from pos. r and l order positions of one key by what follows and what precedes: each
+    packs the hashes of four stretches, the borders of which (in words from pos) are in right and left. Positions with
+    fewer than `reach` words after them are left out; stretches end with the text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, keys, at = [], [], []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ws = words_of(t)
-                if len(ws) < least_words:
+            units = b.column(0).to_numpy(zero_copy_only=False)
+            for first, h, at in pieces(b.column(1)):
+                if len(h) < least_words:
+                    continue
+                spans = Spans(h)
+                n = len(h) - gram + 1
+                grams = spans.of(np.arange(n), np.arange(gram, n + gram))
+                size = np.diff(at)
+                row = np.repeat(np.arange(len(size)), size)
+                start, end = at[:-1][row], at[1:][row]
+                #: a window that runs on into the next text must not select: each text on its own
+                pos = np.concatenate(
+                    [minimisers(grams[s : e - gram + 1], window) + s for s, e in zip(at[:-1].tolist(), at[1:].tolist()) if e - s >= least_words]
+                    or [np.zeros(0, np.int64)]
+                )
+                pos = pos[pos + reach <= end[pos]]
+                if not len(pos):
                     continue
-                h = hashed(ws)
-                pos = minimisers(shingle_hashes(h, gram), window)
-                pos = pos[pos + reach <= len(h)]
-                keys.append(strobes(h, pos, gram, span) if span else shingle_hashes(h, reach)[pos])
-                at.append(pos)
-                ids.append(np.full(len(pos), i, np.int64))
-            if ids:
+                s, e = start[pos], end[pos]
+                after = packed(spans, pos + reach, [np.minimum(pos + x, e) for x in right], 16)
+                before = packed(spans, pos, [np.maximum(pos - x, s) for x in left], 16)
+                cols = [spans.of(pos, pos + reach), after, before]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.concatenate(keys).view(np.int64), pa.int64()),
-                        pa.array(np.concatenate(ids), pa.int64()),
-                        pa.array(np.concatenate(at).astype(np.int32), pa.int32()),
+                        *(pa.array(c.view(np.int64), pa.int64()) for c in cols),
+                        pa.array(units[first + row[pos]], pa.int64()),
+                        pa.array((pos - s).astype(np.int32), pa.int32()),
                     ],
-                    ["key", "doc_id", "pos"],
+                    ["key", "r", "l", "unit", "pos"],
                 )
 
-    return docs.select("doc_id", "t").mapInArrow(run, "key long, doc_id long, pos int")
+    return docs.select("unit", F.col("t").cast("binary")).mapInArrow(run, "key long, r long, l long, unit long, pos int")
 
 
 PAIR = ["a", "pa", "b", "pb"]
+FOUND = "kind int, key long, r long, l long, a long, pa int, b long, pb int"
+PAIRED, END, KIND = 0, 1, 2
+
 
+def same_blocks(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of the four leading 16-bit stretches of x and y are equal."""
+    apart = x.view(np.uint64) ^ y.view(np.uint64)
+    return sum((apart >> np.uint64(s) == 0).astype(np.int64) for s in (48, 32, 16, 0))
 
-def sorted_neighbours(positions: DataFrame) -> DataFrame:
-    """a, pa, b, pb (a < b): each position with the neighbouring document's first position under the same key.
 
-    Positions are sorted by key, document and place over range partitions, so a key that many documents share is spread
-    over tasks. Within a key, a document's positions pair with the document before it, the first document's with the
-    next one's; that is linear in the positions. The ends of partitions are paired in a second step over a few rows
-    per partition.
+def neighbours_in_order(ordered: DataFrame, possible: Callable | None, kinds: bool) -> DataFrame:
+    """FOUND rows of positions that follow one another in the order (key, r, unit, pos) within each partition.
+
+    Each position pairs with the nearest rows of other texts before and after it under its key, if possible(r blocks in
+    common, l blocks in common) says that it may come to something; r and l of a PAIRED row are these counts. Rows of the
+    kind END are the ends of the partition,
+    from which pairs across partitions are made. With kinds, the rows that the other order has to look at are told as
+    KIND: of keys that several texts hold (or that reach the partition's end), those but for rows in the middle of a run
+    of equal r and l, which have partners alike on both sides.
     """
-    table = cut(positions, "positions")
-    ordered = table.repartitionByRange("key", "doc_id", "pos").sortWithinPartitions("key", "doc_id", "pos")
 
-    def pairs(key: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> list[np.ndarray]:
+    def pairs(c: list[np.ndarray]) -> list[np.ndarray]:
+        """Index pairs of rows: the nearest of another text before each row, and after the rows of a repeated text."""
+        key, _, _, unit, _ = c
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (unit[1:] != unit[:-1])))
+        at = np.flatnonzero(new)
+        run = np.cumsum(new) - 1
+        stop = np.concatenate((at[1:], [len(key)]))
+        rows = np.flatnonzero(run > 0)
+        back = at[run[rows]] - 1
+        rows, back = rows[key[rows] == key[back]], back[key[rows] == key[back]]
+        many = np.flatnonzero((stop - at)[run] > 1)
+        ahead = stop[run[many]]
+        many, ahead = many[ahead < len(key)], ahead[ahead < len(key)]
+        many, ahead = many[key[many] == key[ahead]], ahead[key[many] == key[ahead]]
+        return [np.concatenate((rows, many)), np.concatenate((back, ahead))]
+
+    def record(kind: int, c: list[np.ndarray], i: np.ndarray, j: np.ndarray | None = None, same=None) -> pa.RecordBatch:
+        key, r, l_, unit, pos = c
+        zero = np.zeros(len(i), np.int64)
+        if j is None:
+            cols = [key[i], r[i], l_[i], unit[i], pos[i], zero, zero]
+        else:
+            flip = unit[i] > unit[j]
+            x, y = np.where(flip, j, i), np.where(flip, i, j)
+            cols = [zero, *same, unit[x], pos[x], unit[y], pos[y]]
+        types = [pa.int64()] * 4 + [pa.int32(), pa.int64(), pa.int32()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(i), kind, np.int32)), *(pa.array(x.astype(t.to_pandas_dtype()), t) for x, t in zip(cols, types))],
+            ["kind", "key", "r", "l", "a", "pa", "b", "pb"],
+        )
+
+    def told(c: list[np.ndarray], edge: np.ndarray) -> np.ndarray:
+        key, r, l_, unit, _ = c
         new_key = np.concatenate(([True], key[1:] != key[:-1]))
-        new_doc = new_key | np.concatenate(([True], doc[1:] != doc[:-1]))
-        at = np.flatnonzero(new_doc)  # first row of each document under a key
-        group = np.cumsum(new_doc) - 1
-        heads = new_key[at]
-        tails = np.concatenate((heads[1:], [True]))
-        other = np.where(heads, np.where(tails, -1, np.arange(len(at)) + 1), np.arange(len(at)) - 1)[group]
-        rows = np.flatnonzero(other >= 0)
-        mate = at[other[rows]]
-        flip = doc[rows] > doc[mate]
-        x, y = np.where(flip, mate, rows), np.where(flip, rows, mate)
-        return [doc[x], pos[x], doc[y], pos[y]]
+        new = new_key | np.concatenate(([True], unit[1:] != unit[:-1]))
+        group = np.cumsum(new_key) - 1
+        several = (np.bincount(group, new) > 1)[group] | np.isin(key, edge)
+        other = new_key | np.concatenate(([True], (r[1:] != r[:-1]) | (l_[1:] != l_[:-1])))
+        return np.flatnonzero(several & (other | np.concatenate((other[2:] & ~other[1:-1], [False, False]))[: len(key)]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
-        first = True
-
-        def out(cols: list[np.ndarray], ends: list[np.ndarray] | None = None) -> pa.RecordBatch:
-            key, doc, pos = ends or [np.zeros(0, np.int64)] * 3
-            n, m = len(cols[0]), len(key)
-            blank = np.zeros(m, np.int64)
-            data = [np.concatenate((c, e)) for c, e in zip(cols, (doc, pos, blank, blank))]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c.astype(np.int64)) for c in data]
-                + [pa.array(np.concatenate((np.zeros(n, np.int64), key))), pa.array(np.arange(n + m) >= n)],
-                [*PAIR, "key", "end"],
-            )
-
+        first_key = None
+
+        def done(c: list[np.ndarray], known: int, edge: list) -> Iterator[pa.RecordBatch]:
+            """The rows from `known` on, which have not been paired with what comes before them."""
+            i, j = pairs(c)
+            fresh = np.maximum(i, j) >= known
+            i, j = i[fresh], j[fresh]
+            same = [same_blocks(c[1][i], c[1][j]), same_blocks(c[2][i], c[2][j])]
+            if possible is not None and len(i):
+                good = possible(*same)
+                i, j, same = i[good], j[good], [x[good] for x in same]
+            yield record(PAIRED, c, i, j, same)
+            if kinds:
+                at = told(c, np.array(edge, np.int64))
+                yield record(KIND, c, at[at >= known])
+
+        known = 0
         for b in batches:
-            new = [b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
+            new = [b.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(5)]
             if not len(new[0]):
                 continue
-            if first:
-                yield out([np.zeros(0, np.int64)] * 4, [c[:1] for c in new])
-                first = False
+            if first_key is None:
+                first_key = int(new[0][0])
+                other = np.flatnonzero((new[3] != new[3][0]) | (new[0] != new[0][0]))[:1]
+                yield record(END, new, np.concatenate(([0], other)).astype(np.int64))
             held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
-            key, doc, pos = held
-            last = np.flatnonzero(key != key[-1])
-            if len(last):
-                edge = last[-1] + 1
-            elif len(key) > 1 << 20:  # a key of many rows: its documents so far, but for the last one
-                same = np.flatnonzero(doc != doc[-1])
-                edge = same[-1] + 1 if len(same) else 0
-            else:
-                edge = 0
-            if edge:
-                yield out(pairs(key[:edge], doc[:edge], pos[:edge]))
-                keep = edge
-                if key[edge - 1] == key[-1]:  # the next document pairs with the one before it
-                    keep = int(np.flatnonzero(doc[:edge] != doc[edge - 1])[-1]) + 1 if (doc[:edge] != doc[edge - 1]).any() else 0
+            key, unit = held[0], held[3]
+            before = np.flatnonzero(key != key[-1])
+            edge = int(before[-1]) + 1 if len(before) else 0
+            if edge > known:
+                part = [c[:edge] for c in held]
+                yield from done(part, known, [first_key])
+                held, known = [c[edge:] for c in held], 0
+            elif len(key) > 1 << 20:  # a key of many rows: pair what there is, keep the last two texts
+                yield from done(held, known, [first_key, int(key[-1])])
+                changes = np.flatnonzero(unit[1:] != unit[:-1]) + 1
+                keep = int(changes[-2]) if len(changes) > 1 else 0
+                known = len(key) - keep
                 held = [c[keep:] for c in held]
         if held is not None and len(held[0]):
-            yield out(pairs(*held), [c[-1:] for c in held])
-
-    found = cut(ordered.mapInArrow(run, "a long, pa long, b long, pb long, key long, `end` boolean"), "neighbours")
-    ends = found.where("`end`").select("key", F.col("a").alias("doc_id"), F.col("pa").alias("pos"))
-    by_key = Window.partitionBy("key").orderBy("doc_id", "pos")
-    across = (
-        ends.withColumn("b", F.lead("doc_id").over(by_key))
-        .withColumn("pb", F.lead("pos").over(by_key))
-        .where("b is not null and b <> doc_id")
-        .select(F.col("doc_id").alias("a"), F.col("pos").alias("pa"), "b", "pb")
-    )
-    return found.where("not `end`").select(*PAIR).union(across)
+            yield from done(held, known, [first_key, int(held[0][-1])])
+            n = len(held[0])
+            other = np.flatnonzero(held[3] != held[3][-1])[-1:]
+            yield record(END, held, np.concatenate((other, [n - 1])).astype(np.int64))
+
+    return ordered.mapInArrow(run, FOUND)
+
+
+def across(found: DataFrame) -> DataFrame:
+    """Pairs over the borders of partitions, from the END rows (a few for each partition)."""
+    by_key = Window.partitionBy("key").orderBy("r", "a", "pa")
+    ends = found.where(F.col("kind") == END).select("key", "r", "l", "a", "pa").distinct()
+    steps = []
+    for k in (1, 2, 3):
+        steps.append(ends.select("a", "pa", F.lead("a", k).over(by_key).alias("b"), F.lead("pa", k).over(by_key).alias("pb")))
+    both = steps[0].union(steps[1]).union(steps[2]).where("b is not null and b <> a")
+    flip = F.col("a") > F.col("b")
+    return both.select(
+        F.lit(4).alias("alike"),
+        F.when(flip, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(flip, F.col("pb")).otherwise(F.col("pa")).alias("pa"),
+        F.when(flip, F.col("a")).otherwise(F.col("b")).alias("b"), F.when(flip, F.col("pa")).otherwise(F.col("pb")).alias("pb"),
+    )
 
 
-def stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, pair, lo, words, more: the words lo..hi of each wanted stretch (doc_id, pair, lo, hi) of docs (doc_id, t).
+def sorted_neighbours(positions: DataFrame, possible: Callable | None = None, both_ways: bool = True) -> DataFrame:
+    """alike, a, pa, b, pb (a < b, units): each position with its neighbours of other texts in suffix order.
 
-    wanted holds a bounded number of stretches per document (by its selected positions); more tells that words follow.
+    alike is the number of equal stretches before and after the positions' keys (4 where pairs span two partitions).
+
+    Positions of a key are sorted by the words that follow, equal ones by text, over range partitions of the whole
+    order, so a key that many texts hold is spread over tasks; what stands next to a position shares the longest stretch
+    with it. Both ways: a second order sorts by the words before, of rows whose neighbours are not alike on both sides.
+    All is linear in the positions.
     """
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("pair", "lo", "hi")).alias("asked"))
-    joined = docs.join(lists, "doc_id").select("doc_id", "t", "asked")
+    table = cut(positions, "positions")
+    order = ["key", "r", "unit", "pos"]
+    found = cut(neighbours_in_order(table.repartitionByRange(*order).sortWithinPartitions(*order), possible, both_ways), "neighbours", done=(table,))
+    paired = [F.expr("cast(r + l as int)").alias("alike"), *PAIR]
+    out = found.where(F.col("kind") == PAIRED).select(*paired).union(across(found))
+    if both_ways:
+        kinds = found.where(F.col("kind") == KIND).select("key", F.col("l").alias("r"), F.col("r").alias("l"), F.col("a").alias("unit"), F.col("pa").alias("pos"))
+        turned = None if possible is None else lambda r, l_: possible(l_, r)
+        more = cut(neighbours_in_order(kinds.repartitionByRange(*order).sortWithinPartitions(*order), turned, False), "turned-neighbours")
+        out = out.union(more.where(F.col("kind") == PAIRED).select(*paired)).union(across(more))
+    return out
+
+
+def stretches(docs: DataFrame, wanted: DataFrame, extra: T.StructType) -> DataFrame:
+    """The words lo..hi of each wanted stretch (unit, pair, side, lo, hi, extra) of docs (unit, doc_id, t).
+
+    Rows: pair, side, doc_id, lo, words, more (words follow), extra. wanted holds a bounded number of stretches per text
+    (by its selected positions).
+    """
+    lists = wanted.groupBy("unit").agg(F.collect_list(F.struct("pair", "side", "lo", "hi", "extra")).alias("asked"))
+    joined = docs.join(lists, "unit").select("doc_id", F.col("t").cast("binary"), "asked")
+    kind = T.StructType.fromDDL("pair long, side int, doc_id long, lo long, words binary, more boolean").add("extra", extra)
+    arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, t, asked in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-                ws = words_of(t)
-                lows = [max(0, x["lo"]) for x in asked]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([i] * len(asked), pa.int64()),
-                        pa.array([x["pair"] for x in asked], pa.string()),
-                        pa.array(lows, pa.int64()),
-                        pa.array([b" ".join(ws[lo : x["hi"]]) for lo, x in zip(lows, asked)], pa.binary()),
-                        pa.array([x["hi"] < len(ws) for x in asked], pa.bool_()),
-                    ],
-                    ["doc_id", "pair", "lo", "words", "more"],
-                )
-
-    return joined.mapInArrow(run, "doc_id long, pair string, lo long, words binary, more boolean")
+            lists = b.column(2)
+            ends, every = lists.offsets.to_numpy().tolist(), lists.values.flatten()
+            low = np.maximum(every[2].to_numpy(zero_copy_only=False), 0)
+            high = every[3].to_numpy(zero_copy_only=False)
+            docs_, words, more, size, first = [], [], [], 0, ends[0]
+
+            def out(first: int, last: int) -> pa.RecordBatch:
+                part = [c.slice(first, last - first) for c in every]
+                cols = [part[0], part[1], pa.array(docs_, pa.int64()), pa.array(low[first:last]), pa.array(words, pa.binary()), pa.array(more), part[4]]
+                return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow)], schema=arrow)
+
+            for k, (i, t) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                ws = t.split()
+                for x, y in zip(low[ends[k] : ends[k + 1]].tolist(), high[ends[k] : ends[k + 1]].tolist()):
+                    words.append(b" ".join(ws[x:y]))
+                    docs_.append(i)
+                    more.append(y < len(ws))
+                    size += len(words[-1])
+                if size > 1 << 23:
+                    yield out(first, ends[k + 1])
+                    docs_, words, more, size, first = [], [], [], 0, ends[k + 1]
+            yield out(first, ends[-1])
+
+    return joined.mapInArrow(run, kind)
 
 
 def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, near: int = 2) -> DataFrame:
-    """match(words of a, words of b, seeds) of every pair: rows (doc_id, start, end, other, other_start, other_end, ...).
+    """match(words of a, words of b, extra) of every pair: rows (doc_id, start, end, other, other_start, other_end, ...).
 
-    pairs: pair (unique), a, a_lo, a_hi, b, b_lo, b_hi, seeds (array of positions in a and b). match yields tuples of
-    start and end in a, start and end in b (relative to the stretches) and further values. A pair with a match that
-    comes within `near` words of a stretch's edge, where the text goes on, is compared again over both whole texts.
+    pairs: pair (unique long), a, a_lo, a_hi, b, b_lo, b_hi, extra (a struct). match yields tuples of start and end in
+    a, start and end in b (relative to the stretches) and further values; match(x, y, extra, lo_a, lo_b) gets where the
+    stretches begin. A pair with a match that comes within `near` words of a stretch's edge, where the text goes on, is
+    compared again over both whole texts.
     """
     pairs = cut(pairs, "pairs")
     found = cut(compared_once(docs, pairs, match, schema, near), "compared")
     again = cut(pairs.join(found.where("again").select("pair").distinct(), "pair", "left_semi"), "again")
     names = T.StructType.fromDDL(schema).names
     out = found.where("not again").select(*names)
-    n = again.count()
-    if not n:
+    if again.isEmpty():
         return out
-    everything = 1 << 40
+    remove(pairs)
+    everything = F.lit(1 << 40)
     whole = again.select(
-        "pair", "a", "b", "seeds", F.lit(0).alias("a_lo"), F.lit(everything).alias("a_hi"),
-        F.lit(0).alias("b_lo"), F.lit(everything).alias("b_hi"),
-    )
-    ids = again.select(F.col("a").alias("doc_id")).union(again.select(F.col("b").alias("doc_id"))).distinct()
-    own = docs.join(F.broadcast(ids) if n < 200_000 else ids, "doc_id", "left_semi")
+        "pair", "a", "b", "extra", F.lit(0).alias("a_lo"), everything.alias("a_hi"), F.lit(0).alias("b_lo"), everything.alias("b_hi")
+    )
+    ids = again.select(F.col("a").alias("unit")).union(again.select(F.col("b").alias("unit"))).distinct()
+    own = docs.join(ids, "unit", "left_semi")
     return out.union(compared_once(own, whole, match, schema, near).select(*names))
 
 
 def compared_once(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, near: int) -> DataFrame:
     """The rows of `compared` over the stretches as they are, with pair and again (a match reaches a stretch's edge)."""
-    side_a = pairs.select(F.col("a").alias("doc_id"), "pair", F.col("a_lo").alias("lo"), F.col("a_hi").alias("hi"))
-    side_b = pairs.select(F.col("b").alias("doc_id"), "pair", F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi"))
-    cuts = stretches(docs, side_a.union(side_b))
-    sides = pairs.select("pair", "a", "b", "seeds").join(cuts, "pair")
-    both = sides.groupBy("pair").agg(
-        F.first("a").alias("a"),
-        F.first("b").alias("b"),
-        F.first("seeds").alias("seeds"),
-        F.max(F.when(F.col("doc_id") == F.col("a"), F.struct("lo", "words", "more"))).alias("wa"),
-        F.max(F.when(F.col("doc_id") == F.col("b"), F.struct("lo", "words", "more"))).alias("wb"),
-    )
+    extra = pairs.schema["extra"].dataType
+    side_a = pairs.select(F.col("a").alias("unit"), "pair", F.lit(0).alias("side"), F.col("a_lo").cast("long").alias("lo"), F.col("a_hi").cast("long").alias("hi"), "extra")
+    side_b = pairs.select(F.col("b").alias("unit"), "pair", F.lit(1).alias("side"), F.col("b_lo").cast("long").alias("lo"), F.col("b_hi").cast("long").alias("hi"), "extra")
+    both = stretches(docs, side_a.union(side_b), extra).repartition("pair").sortWithinPartitions("pair", "side")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = None
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                if r["wa"] is None or r["wb"] is None:
+            more = batch.column(6)
+            for i, (pair, side, doc, lo, words, goes_on) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(6)))):
+                if side == 0:  # a repeated row brings its stretch again
+                    left = (pair, doc, lo, words, goes_on)
+                    seen = False
+                    continue
+                if left is None or left[0] != pair or seen:
                     continue
-                x, y = r["wa"]["words"].split(), r["wb"]["words"].split()
-                la, lb = r["wa"]["lo"], r["wb"]["lo"]
-                got = list(match(x, y, [(z["pa"] - la, z["pb"] - lb) for z in r["seeds"] or []]))
+                seen = True
+                _, doc_a, la, wa, more_a = left
+                x, y, lb = wa.split(), words.split(), lo
+                for s, e, u, v, *rest in (got := list(match(x, y, more[i].as_py(), la, lb))):
+                    rows.append((doc_a, la + s, la + e, doc, lb + u, lb + v, *rest, pair))
+                    rows.append((doc, lb + u, lb + v, doc_a, la + s, la + e, *rest, pair))
                 again = any(
-                    (la > 0 and s < near)
-                    or (lb > 0 and u < near)
-                    or (r["wa"]["more"] and e > len(x) - near)
-                    or (r["wb"]["more"] and v > len(y) - near)
+                    (la > 0 and s < near) or (lb > 0 and u < near) or (more_a and e > len(x) - near) or (goes_on and v > len(y) - near)
                     for s, e, u, v, *_ in got
                 )
-                for s, e, u, v, *more in got:
-                    rows.append((r["a"], la + s, la + e, r["b"], lb + u, lb + v, *more, r["pair"], again))
-                    rows.append((r["b"], lb + u, lb + v, r["a"], la + s, la + e, *more, r["pair"], again))
-            yield pa.RecordBatch.from_pylist([dict(zip(names, x)) for x in rows], arrow)
+                if got:
+                    rows[-2 * len(got) :] = [(*r, again) for r in rows[-2 * len(got) :]]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t.type) for k, t in enumerate(arrow)], schema=arrow)
 
-    kind = T.StructType.fromDDL(f"{schema}, pair string, again boolean")
-    names, arrow = kind.names, to_arrow_schema(kind)
-    return both.select("pair", "a", "b", "seeds", "wa", "wb").mapInArrow(run, kind)
+    kind = T.StructType.fromDDL(f"{schema}, pair long, again boolean")
+    arrow = to_arrow_schema(kind)
+    return both.mapInArrow(run, kind)
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, t of the rows that have both."""
+    """unit, doc_id, t of the rows that have both; a unit is a text under an id, so rows that repeat both are one."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return bounded_batches(src).where("doc_id is not null and t is not null")
+    return bounded_batches(src).where("doc_id is not null and t is not null").select(F.xxhash64("doc_id", "t").alias("unit"), "doc_id", "t")

@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -457,10 +458,10 @@ def test_suffixes_match_brute_force(spark, odd, none):
 def test_a_passage_in_many_documents_stays_linear(spark):
     passage = prose(80, 11)
     docs = frame(spark, [f"{prose(30, i, WORDS + [f'u{i}'])} {passage} {prose(30, 900 + i, WORDS + [f'u{i}'])}" for i in range(300)])
-    got = suffix.repeated_passages(docs).collect()
-    assert {r.doc_id for r in got} == set(range(300)) and len(got) < 4 * 300
-    fuzzy = chaining.fuzzy_passages(docs).collect()
-    assert {r.doc_id for r in fuzzy} == set(range(300)) and len(fuzzy) < 6 * 300
+    for find in (suffix.repeated_passages, chaining.fuzzy_passages):
+        got, half = find(docs).collect(), find(docs.where("doc_id < 150")).collect()
+        assert {r.doc_id for r in got} == set(range(300)) and {r.doc_id for r in half} == set(range(150))
+        assert len(got) < 2.4 * len(half) and len(got) < 20 * 300
 
 
 def test_chaining_finds_fuzzy_passages(spark, odd, none):
@@ -477,22 +478,116 @@ def test_best_chain_matches_all_predecessors():
     rng = random.Random(8)
     for _ in range(100):
         k, cost = 5, 0.05
-        seeds = sorted({(rng.randrange(60), rng.randrange(60)) for _ in range(rng.randrange(1, 40))})
-        disjoint = [s for s in seeds if s[0] % 5 == 0 and s[1] % 5 == 0] or seeds[:1]
+        seeds = sorted({(rng.randrange(12) * k, rng.randrange(12) * k, k) for _ in range(rng.randrange(1, 40))})
         best = {}
-        for p, q in disjoint:  # seeds that do not overlap, for which the score is the plain sum
-            before = [best[s] - cost * (p - s[0] + q - s[1]) for s in disjoint if s[0] < p and s[1] < q]
-            best[p, q] = k + max([0.0, *before])
-        assert chaining.best_chain(disjoint, k, cost)[0] == pytest.approx(max(best.values()))
+        for p, q, n in seeds:  # matches that do not overlap, for which the score is the plain sum
+            before = [best[s] - cost * (p - s[0] - s[2] + q - s[1] - s[2]) for s in seeds if s[0] < p and s[1] < q]
+            best[p, q, n] = k + max([0.0, *before])
+        assert chaining.best_chain(seeds, cost)[0] == pytest.approx(max(best.values()))
+
+
+def test_shared_runs_match_all_places():
+    rng = random.Random(9)
+    for _ in range(60):
+        x, y = ([rng.choice(b"a b c d e f".split()) for _ in range(rng.randrange(0, 40))] for _ in range(2))
+        got = chaining.shared_runs(x, y, 3, often=99)
+        places = {(p + i, q + i) for p, q, n in got for i in range(n - 2)}
+        assert places == {(p, q) for p in range(len(x) - 2) for q in range(len(y) - 2) if x[p : p + 3] == y[q : q + 3]}
+        some = {(p + i, q + i) for p, q, n in chaining.shared_runs(x, y, 3, often=1) for i in range(n - 2)}
+        assert some <= places and {p for p, _ in some} <= {p for p, _ in places}
+    x = [b"w"] * 5000
+    assert chaining.shared_runs(x, x[:-9], 4) == [(9, 0, 4991), (0, 0, 4991)] or len(chaining.shared_runs(x, x[:-9], 4)) == 2
+
+
+def test_subsequences_match_plain_tables():
+    rng = random.Random(10)
+    for _ in range(100):
+        x, y = ([rng.choice(b"a b c d".split()) for _ in range(rng.randrange(0, 30))] for _ in range(2))
+        assert chaining.common(x, y) == common_words(x, y)
+        for i, j, same in chaining.frontier(x, y, 0, 0, 1, 48):
+            assert common_words(x[:i], y[:j]) == same
+        assert max(m for _, _, m in chaining.frontier(x, y, len(x) - 1, len(y) - 1, -1, 48)) == common_words(x, y)
 
 
 def test_minimisers_are_shared():
     rng = np.random.default_rng(3)
-    run = rng.integers(0, 1 << 60, 40).astype(np.uint64)
-    a = np.concatenate((rng.integers(0, 1 << 60, 17).astype(np.uint64), run))
-    b = np.concatenate((rng.integers(0, 1 << 60, 90).astype(np.uint64), run, rng.integers(0, 1 << 60, 9).astype(np.uint64)))
+    run = rng.integers(0, 1 << 60, 40).astype(np.uint64) << np.uint64(3)
+    a = np.concatenate((rng.integers(0, 1 << 60, 17).astype(np.uint64) << np.uint64(3), run))
+    b = np.concatenate((rng.integers(0, 1 << 60, 90).astype(np.uint64) << np.uint64(3), run, rng.integers(0, 1 << 60, 9).astype(np.uint64)))
     x, y = passages.minimisers(a, 20), passages.minimisers(b, 20)
     assert {p - 17 for p in x if p >= 17 + 19} & {p - 90 for p in y}
+    for window in (1, 2, 7, 20):
+        plain = sorted({i + min(range(window), key=lambda j: (int(a[i + j]) >> 24, j)) for i in range(len(a) - window + 1)})
+        assert passages.minimisers(a, window).tolist() == plain
+
+
+def test_words_of_a_batch_are_those_of_each_text(monkeypatch):
+    texts = [t for t in ODD if t is not None] + ["tail", "", "ends here", "begins\vthere", "a"]
+    column = pa.array([None, *texts, None], pa.string())
+    for piece in (1 << 20, 64, 1):
+        monkeypatch.setattr(passages, "PIECE", piece)
+        got = {}
+        for first, h, at in passages.pieces(column):
+            for i, (s, e) in enumerate(zip(at[:-1], at[1:])):
+                got[first + i] = h[s:e].tolist()
+        by_word = {}
+        assert len(got) == len(column) and got[0] == [] == got[len(column) - 1]
+        for i, t in enumerate(texts, 1):
+            words = passages.words_of(t)
+            assert len(words) == len(got[i])
+            assert all(by_word.setdefault(w, h) == h for w, h in zip(words, got[i]))
+        assert len(set(by_word.values())) == len(by_word)
+
+
+def excerpts(spark, shared, size, n, seed):
+    """Documents 1 and 99 share `shared` words; n documents between them hold excerpts of `size` words."""
+    rng = random.Random(seed)
+    passage = [f"p{rng.randrange(1 << 30)}" for _ in range(shared)]
+    rows_ = []
+    for i in [1, 99, *rng.sample(range(2, 99), n)]:
+        at = rng.randrange(0, shared - size + 1)
+        part = passage if i in (1, 99) else passage[at : at + size]
+        own = [[f"o{rng.randrange(1 << 30)}" for _ in range(rng.randrange(5, 60))] for _ in range(2)]
+        rows_.append((i, " ".join(own[0] + part + own[1])))
+    return spark.createDataFrame(rows_, "doc_id long, text string"), dict(rows_), passage
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_passages_are_found_among_excerpts(spark, seed):
+    docs, by_id, passage = excerpts(spark, 60, 45, 16, seed)
+    got = {(r.doc_id, r.other_id): r for r in suffix.repeated_passages(docs).collect()}
+    assert set(got) == {(1, 99), (99, 1)}
+    assert by_id[1].split()[got[1, 99].start_word : got[1, 99].end_word] == passage
+    docs, _, _ = excerpts(spark, 60, 30, 31, seed)
+    fuzzy = {(r.doc_id, r.other_id) for r in chaining.fuzzy_passages(docs).collect()}
+    assert {(1, 99), (99, 1)} <= fuzzy
+
+
+def test_covered_words_match_brute_force_over_mixed_passages(spark):
+    rng = random.Random(21)
+    long_runs = [[f"p{rng.randrange(1 << 30)}" for _ in range(90)] for _ in range(3)]
+    texts = []
+    for i in range(120):
+        line = long_runs[i % 3]
+        at = rng.randrange(0, 60)
+        part = line[at : at + rng.randrange(25, 75)]
+        texts.append(" ".join([f"o{rng.randrange(1 << 30)}" for _ in range(rng.randrange(0, 40))] + part + [f"o{rng.randrange(1 << 30)}" for _ in range(20)]))
+    words = [t.split() for t in texts]
+    seen = {}
+    for i, w in enumerate(words):
+        for j in range(len(w) - 49):
+            seen.setdefault(tuple(w[j : j + 50]), set()).add(i)
+    want = {(i, p) for s, ds in seen.items() if len(ds) > 1 for i in ds for j in range(len(words[i]) - 49) if tuple(words[i][j : j + 50]) == s for p in range(j, j + 50)}
+    got = suffix.repeated_passages(frame(spark, texts)).collect()
+    assert {(r.doc_id, p) for r in got for p in range(r.start_word, r.end_word)} == want
+
+
+def test_rows_with_one_id_and_different_texts(spark):
+    texts, _ = planted()
+    docs = spark.createDataFrame([(7, texts[0]), (7, texts[3]), (8, texts[1]), (8, texts[1])], "doc_id long, text string")
+    got = suffix.repeated_passages(docs).collect()
+    assert {(r.doc_id, r.other_id) for r in got} == {(7, 8), (8, 7)} and len(got) == 2
+    assert {(r.doc_id, r.other_id) for r in chaining.fuzzy_passages(docs).collect()} == {(7, 8), (8, 7)}
 
 
 # ---- 9 embeddings
@@ -572,7 +667,6 @@ def test_chaining_recall_of_short_edited_passages(spark):
             texts.append(" ".join(own[0] + part + own[1]))
     found = {(r.doc_id, r.other_id) for r in chaining.fuzzy_passages(frame(spark, texts)).collect()}
     recall = sum((i, i + 1) in found for i in true) / len(true)
-    print("recall", recall, len(true))
     assert recall >= 0.97
 
 
@@ -580,9 +674,10 @@ def test_passages_beyond_the_stretch_are_followed(spark):
     run = [f"r{i}" for i in range(400)]
     rows_ = [(i, f"{' '.join(own)} {' '.join(run)}") for i, own in enumerate((["a"], ["b"]))]
     docs = passages.texts(spark.createDataFrame(rows_, "doc_id long, text string"), "doc_id", "text")
-    pairs = spark.createDataFrame([("0:1", 0, 1, 190, 240, 190, 240, [(200, 200)])], "pair string, a long, b long, a_lo long, a_hi long, b_lo long, b_hi long, seeds array<struct<pa:int,pb:int>>")
+    unit = {r.doc_id: r.unit for r in docs.collect()}
+    pairs = spark.createDataFrame([(5, unit[0], unit[1], 190, 240, 190, 240, (0,))], "pair long, a long, b long, a_lo long, a_hi long, b_lo long, b_hi long, extra struct<diagonal:long>")
     schema = "doc_id long, start_word long, end_word long, other_id long, other_start long, other_end long"
-    got = passages.compared(docs, pairs, lambda x, y, s: suffix.common_runs(x, y, s[0][0] - s[0][1], 20), schema).collect()
+    got = passages.compared(docs, pairs, lambda x, y, e, la, lb: suffix.common_runs(x, y, e["diagonal"] - la + lb, 20), schema).collect()
     assert sorted(rows_2[:3] for rows_2 in map(tuple, got)) == [(0, 1, 401), (1, 1, 401)]
 
 
