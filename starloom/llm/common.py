@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(df: DataFrame, rows: int = 2000) -> DataFrame:
+def bounded_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     """df, with the session's Arrow batches held to `rows`: a batch holds whole texts, and tasks hold some batches."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= rows:

@@ -18,7 +18,7 @@ BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse
 INVERSE = pow(BASE, -1, 1 << 64)
-PIECE = 1 << 20  # bytes of text that are hashed at a time, or one longer text
+PIECE = 1 << 18  # bytes of text that are hashed at a time, or one longer text
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -46,7 +46,7 @@ class Spans:
     def __init__(self, values: np.ndarray):
         n = len(values) + 1
         if len(Spans._powers[0]) < n:
-            size = max(n, PIECE + 1)
+            size = max(n, 1 << 18)
             Spans._powers = tuple(powers(x, size) for x in (BASE, INVERSE))
         self.back = Spans._powers[1]
         self.sums = np.zeros(n, np.uint64)
@@ -68,8 +68,14 @@ def hashed_words(part: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.
     return out
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, word hashes, word offsets by row) for runs of rows of about PIECE bytes; null texts have no words."""
+def pieces(
+    column: pa.Array, blank: np.ndarray = BLANK, as_byte: np.ndarray | None = None, size: int = 0
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, word hashes, word offsets by row) for runs of rows of about `size` bytes; null texts have no words.
+
+    Words are runs of bytes that are not blank; as_byte says as what each byte counts.
+    """
+    size = size or PIECE
     column = column.cast(pa.large_binary())
     if column.null_count:
         column = pc.fill_null(column, b"")
@@ -78,15 +84,15 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     row = 0
     while row < len(column):
-        last = max(row + 1, int(np.searchsorted(ends, ends[row] + PIECE, side="right")) - 1)
+        last = max(row + 1, int(np.searchsorted(ends, ends[row] + size, side="right")) - 1)
         cuts = ends[row : last + 1] - ends[row]
         part = raw[ends[row] : ends[last]]
         border = np.zeros(len(part) + 1, bool)
         border[cuts] = True  # a text ends where the next begins
-        inside = np.concatenate(([False], ~BLANK[part], [False]))
+        inside = np.concatenate(([False], ~blank[part], [False]))
         starts = np.flatnonzero(inside[1:-1] & (~inside[:-2] | border[:-1]))
         stops = np.flatnonzero(inside[1:-1] & (~inside[2:] | border[1:])) + 1
-        yield row, hashed_words(part, starts, stops), np.searchsorted(starts, cuts)
+        yield row, hashed_words(part if as_byte is None else as_byte[part], starts, stops), np.searchsorted(starts, cuts)
         row = last
 
 
