@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded_batches
+from starloom.llm.common import bounded_batches, cut
 
 WORDS = re.compile(r"\w+")
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -54,18 +54,25 @@ def signs(hashes: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """The items of one slice: shingles with weights, and per item length the fingerprints and their block tables."""
+    """The items of one slice: shingles with weights, and per item length the fingerprints and their block tables.
 
-    def __init__(self, items: list[tuple[int | None, str | None]], width: int, radius: int, at_least: float):
+    The weights follow from in how many of all n_items items a shingle occurs (seen), so they are the same in any slice.
+    """
+
+    def __init__(
+        self, items: list[tuple[int | None, str | None]], width: int, radius: int, at_least: float,
+        n_items: int | None = None, seen: dict[int, int] | None = None,
+    ):
         self.width, self.radius, self.at_least = width, radius, at_least
         parsed = [(i, tokens(t)) for i, t in items]
         self.items = [(i, np.array([word_hash(w) for w in ws], np.uint64)) for i, ws in parsed if ws]
         self.words = {w: word_hash(w) for _, ws in parsed for w in ws}
         self.shingles = [shingle_hashes(h, min(width, len(h))) for _, h in self.items]
-        seen = Counter(s for h in self.shingles for s in set(h.tolist()))
+        if seen is None:  # these are all items
+            n_items, seen = len(self.items), Counter(s for h in self.shingles for s in set(h.tolist()))
         #: whole numbers, so that sums over a window are exact however they are formed
-        self.rare = round(1000 * log(1 + max(1, len(self.items))))
-        self.weight = {s: round(1000 * log(1 + len(self.items) / n)) for s, n in seen.items()}
+        self.rare = round(1000 * log(1 + max(1, n_items)))
+        self.weight = {s: round(1000 * log(1 + n_items / n)) for s, n in seen.items()}
         self.counts = [Counter(h.tolist()) for h in self.shingles]
         by_size: dict[int, list[int]] = {}
         for k, (_, h) in enumerate(self.items):
@@ -137,10 +144,14 @@ class Index:
             prints = np.packbits(sums[last] - sums[s] > 0, axis=1, bitorder="little").view(np.uint64).ravel()
             blocks = prints.view(np.uint8).reshape(-1, 8)
             ks, table = self.by_size[n], self.tables[n]
-            near = np.zeros((len(s), len(ks)), bool)
-            for b in range(8):
-                near |= table[b, blocks[:, b]]
-            row, col = np.nonzero(near)
+            met = []
+            for i in range(0, len(s), step := max(1, (1 << 22) // len(ks))):  # bounded, however many windows and items
+                near = np.zeros((len(s[i : i + step]), len(ks)), bool)
+                for b in range(8):
+                    near |= table[b, blocks[i : i + step, b]]
+                r, c = np.nonzero(near)
+                met.append((r + i, c))
+            row, col = (np.concatenate(x) for x in zip(*met))
             apart = np.bitwise_count(prints[row] ^ self.prints[ks[col]])
             windows: dict[int, Counter] = {}
             for r, c, d in zip(row[apart <= self.radius], col[apart <= self.radius], apart[apart <= self.radius]):
@@ -173,7 +184,8 @@ def contamination(
 
     A hit names the item, the window's word range, the fingerprint distance and the similarity. The benchmark is read
     in slices of about slice_chars characters (by a hash of the item), each of them broadcast, so its size is bounded
-    by the parameter and a larger benchmark means more passes. Items without words are left out, items with fewer words
+    by the parameter and a larger benchmark means more passes. Weights come from all items, so hits are the same for any
+    slice_chars. Items without words are left out, items with fewer words
     than the width are one shingle; null and empty texts have no hits; null ids, repeated rows and repeated items pass
     through (equal items once); an empty benchmark gives no hits; an empty table gives an empty result.
     """
@@ -192,10 +204,12 @@ def contamination(
     kind = pa.list_(
         pa.struct([("item_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("hamming", pa.int32()), ("similarity", pa.float64())])
     )
+    counts, n_items = item_counts(bench, width, slices)
     for n in range(slices):
         own = bench.where(F.pmod(F.xxhash64("i", "t"), F.lit(slices)) == n)
         items = sorted(((r["i"], r["t"]) for r in own.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
-        index = spark.sparkContext.broadcast(Index(items, width, radius, at_least))
+        seen = {r["s"] % (1 << 64): r["n"] for r in counts.where(F.col("slice") == n).select("s", "n").collect()}
+        index = spark.sparkContext.broadcast(Index(items, width, radius, at_least, n_items, seen))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -203,5 +217,29 @@ def contamination(
                 cols = [b.column(0), b.column(1), pa.array(found, kind), *b.columns[3:]]
                 yield pa.RecordBatch.from_arrays(cols, b.schema.names)
 
+        if n:  # one index at a time: what the slices before have found is a table
+            out = cut(out, "hits", done=(out,))
         out = bounded_batches(out).mapInArrow(run, out.schema)
     return out.select("doc_id", "hits", *[F.col(f"_keep_{c}").alias(c) for c in keep])
+
+
+def item_counts(bench: DataFrame, width: int, slices: int) -> tuple[DataFrame, int]:
+    """slice, s, n: of the shingles of each slice, in how many of all items (i, t) they occur; the number of items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            part, own = [], []
+            for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                words = np.array([word_hash(w) for w in tokens(t)], np.uint64)
+                h = np.unique(shingle_hashes(words, min(width, len(words)))) if len(words) else words
+                own.append(h)
+                part.append(np.full(len(h), k, np.int32))
+            if own:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part), pa.int32()), pa.array(np.concatenate(own).view(np.int64), pa.int64())], ["slice", "s"])
+
+    in_slice = F.pmod(F.xxhash64("i", "t"), F.lit(slices)).cast("int")
+    shingles = bench.select("t", in_slice.alias("slice")).mapInArrow(run, "slice int, s long")
+    total = shingles.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    return shingles.distinct().join(total, "s"), bench.where(F.col("t").rlike(r"(?U)\w")).count()
+
+

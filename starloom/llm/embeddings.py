@@ -9,6 +9,7 @@ which takes a difference of twice the margin along one direction (of at most sqr
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from starloom.llm.common import connected_components, cut
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled by the largest component first, so that squares neither overflow nor vanish."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -38,7 +41,7 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 9) ->
         total = np.zeros_like(centres)
         np.add.at(total, home, x)
         bare = np.flatnonzero(np.linalg.norm(total, axis=1) < 1e-9)
-        total[bare] = x[np.argsort(fit.max(axis=1))[: len(bare)]]
+        total[bare] = x[np.resize(np.argsort(fit.max(axis=1)), len(bare))]
         centres = unit(total)
     return centres
 
@@ -60,10 +63,9 @@ def near_duplicates(
     label_col: str = "label",
     vector_col: str = "embedding",
     at_least: float = 0.93,
-    margin: float = 0.1,
-    cell_rows: int = 1000,
+    margin: float = 0.05,
+    cell_rows: int | None = None,
     sample_rows: int = 20_000,
-    max_cells: int = 1024,
     block_rows: int = 2048,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of vectors.
@@ -72,13 +74,15 @@ def near_duplicates(
     that is null, empty, zero or holds null or non-finite components, or whose label or id is null, links with nothing:
     n_links 0, its own component, kept (a null id: null component, not kept). Repeated rows count as further vectors;
     an empty table gives an empty result; further columns are ignored. Cells larger than block_rows are compared as
-    pairs of chunks in separate tasks. The sample for the centres is the sample_rows vectors or so that a hash picks.
+    pairs of chunks in separate tasks. A label of n different vectors gets cells of about sqrt(n) vectors (or cell_rows),
+    so both the centres that a task holds and the vectors that one is compared with grow as the square root. The centres
+    are fitted on the sample_rows vectors or so that a hash picks, or 8 for each cell where that is more.
     """
     spark = vectors.sparkSession
     v = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
         F.col(label_col).cast("string").alias("label"),
-        F.col(vector_col).cast("array<double>").alias("e"),
+        F.transform(F.col(vector_col).cast("array<double>"), lambda x: x + F.lit(0.0)).alias("e"),  # -0.0 is 0.0
     )
     bad = F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fit = F.coalesce(
@@ -93,8 +97,9 @@ def near_duplicates(
     ).collect()
     centres = {}
     for r in sizes:
-        k = int(min(max_cells, max(1, -(-r["most"] // cell_rows))))
-        draw = F.pmod(F.xxhash64("rep", "label"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample_rows / r["all"]))
+        k = max(1, -(-r["most"] // (cell_rows or ceil(sqrt(r["most"])))))
+        share = min(1.0, max(sample_rows, 8 * k) / r["all"])
+        draw = F.pmod(F.xxhash64("rep", "label"), F.lit(1 << 40)) < int((1 << 40) * share)
         rows = classes.where((F.col("dim") == r["dim"]) & draw).select("e").collect() if k > 1 else []
         picked = unit(np.array(sorted(x["e"] for x in rows))) if rows else np.ones((1, r["dim"]))
         centres[r["dim"]] = spherical_kmeans(picked, k)
@@ -187,6 +192,7 @@ def near_duplicates(
     found = cut(
         dealt.groupBy("label", "dim", "cell", "c", "d").applyInArrow(compare, "a long, b long, n long"), "found-links"
     )
+    hashes = (F.xxhash64("e"), F.xxhash64(F.lit(1), "e"))  # 128 bits stand for the vector, so that none is shuffled again
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     roots = connected_components(found.where("b is not null").select("a", "b"))
     told = (
@@ -194,12 +200,13 @@ def near_duplicates(
         .join(roots, F.col("rep") == F.col("node"), "left")
         .select(
             F.col("label").alias("of_label"),
-            F.col("e").alias("of_e"),
+            *(h.alias(f"of_{i}") for i, h in enumerate(hashes)),
             (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n_links"),
             F.coalesce("root", "rep").alias("component"),
         )
     )
-    linked = v.where("fit").join(told, (F.col("label") == F.col("of_label")) & (F.col("e") == F.col("of_e")))
+    mine = v.where("fit").select("vec_id", "label", *(h.alias(f"h_{i}") for i, h in enumerate(hashes)))
+    linked = mine.join(told, (F.col("label") == F.col("of_label")) & (F.col("h_0") == F.col("of_0")) & (F.col("h_1") == F.col("of_1")))
     alone = v.where("not fit").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return (
         linked.select("vec_id", "n_links", F.col("component").alias("component_id"))

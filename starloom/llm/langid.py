@@ -7,7 +7,6 @@ reliable each bit proved on each language, and takes the nearest codeword; near
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import product
 from math import ceil, log2
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import bounded_batches
 
-LETTER = re.compile(r"[^\W\d_]")
 BUCKETS = 1 << 13
 MODULUS = 4
 HELD = 2
@@ -34,6 +32,10 @@ def trigrams(text: str) -> np.ndarray:
     return ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(19)
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def codewords(n: int, seed: int = 3) -> np.ndarray:
     """n codewords of +1 and -1: all splits of up to 6 languages; beyond, the best of seeded draws by least distance."""
     if n < 2:
@@ -82,7 +84,7 @@ class Codes:
         self.trust = use / use.sum(axis=1, keepdims=True)
 
     def decode(self, text: str | None) -> tuple[str, float, bool]:
-        if not self.langs or not text or not LETTER.search(text):
+        if not self.langs or not text or not has_letter(text):
             return "und", 0.0, True
         loss = (self.trust * np.logaddexp(0, -self.code * self.margins(text))).sum(axis=1)
         share = np.exp(-3 * (loss - loss.min()))
@@ -122,7 +124,7 @@ def learned(docs: DataFrame, names: tuple[str, str, str]) -> Codes:
         return got
 
     def counts(t: str, lang: str):
-        return np.bincount(trigrams(t), minlength=BUCKETS) if LETTER.search(t) else None
+        return np.bincount(trigrams(t), minlength=BUCKETS) if has_letter(t) else None
 
     got = summed(counts, BUCKETS)
     langs = sorted(got)
@@ -132,7 +134,7 @@ def learned(docs: DataFrame, names: tuple[str, str, str]) -> Codes:
         place = {x: i for i, x in enumerate(langs)}
 
         def hits(t: str, lang: str):
-            if lang not in place or not LETTER.search(t):
+            if lang not in place or not has_letter(t):
                 return None
             own = shared.value
             return np.append(own.margins(t) * own.code[place[lang]] > 0, True).astype(np.int64)

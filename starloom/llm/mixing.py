@@ -72,25 +72,32 @@ def mix(
     most: float = 2.0,
     block_words: int = 32,
     shard_words: int = 250_000,
+    most_shards: int = 50_000,
     seed: int = 17,
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """doc_id, size, source_size, target, taken (and the columns named in keep) for every row of docs.
+    """doc_id, size, source_size, target, taken, passes, ranges (and the columns named in keep) for every row of docs.
+
+    The mix takes the whole document `passes` times and once more the words of `ranges` (start, end; the end excluded), so
+    taken = passes * size + the words of the ranges.
 
     Sources in code point order, null last, take the weights in turn. Null and empty texts have size 0 and give 0
-    words; a null source is a source of its own; rows with a null id and repeated rows each count as rows; ties of the
-    seeded order are broken by id and size, so reruns agree up to rows that are equal; an empty table gives an empty
-    result. The driver holds one row per (source, shard); shards grow with the table so that there are at most about
-    50,000 besides one per source.
+    words; a null source is a source of its own; rows with a null id and repeated rows each count as rows. The seeded
+    order, which also deals rows to shards, is by a hash of id and text, so rows without an id or with one id are spread
+    as well; reruns agree up to rows that are equal in both. An empty table gives an empty result. A shard has about
+    max(shard_words, all words / most_shards) words at every size; the driver holds one row per shard and per source.
     """
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+    own = [F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")), F.coalesce(F.md5(F.col(text_col)), F.lit(""))]
+    order = F.md5(F.concat(F.lit(f"{seed}:"), own[0], F.lit(":"), own[1]))
     keep = keep or []
     sized = cut(
         docs.select(
             F.col(id_col).cast("long").alias("_id"),
             F.col(source_col).alias("_source"),
             size.alias("_size"),
+            order.alias("_order"),
             *[F.col(c).alias(f"_keep_{c}") for c in keep],
         ),
         "sized",
@@ -100,16 +107,14 @@ def mix(
     sizes = [s for _, s in per]
     given = [weights[i % len(weights)] for i in range(len(per))]
     targets = filled_targets(sizes, given, share, most) if per else []
-    per_shard = max(shard_words, sum(sizes) // 50_000)
+    per_shard = max(shard_words, sum(sizes) // most_shards)
     shards = [max(1, -(-s // per_shard)) for s in sizes]
     names = spark.createDataFrame(
         [(i, n, s, float(t), k) for i, ((n, s), t, k) in enumerate(zip(per, targets, shards))],
         "_no int, _name string, _source_size long, _target double, _shards long",
     )
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_id").cast("string"), F.lit(""))))
     placed = (
         sized.join(names, sized["_source"].eqNullSafe(names["_name"]))
-        .withColumn("_order", order)
         .withColumn("_shard", F.conv(F.substring("_order", 1, 8), 16, 10).cast("long") % F.col("_shards"))
     )
     cells = placed.groupBy("_no", "_shard").agg(F.sum("_size").alias("s")).collect()
@@ -132,6 +137,11 @@ def mix(
         after = f"((({x} div {block_words} + 1) * _more + _phase) div _blocks)"
         return F.expr(f"{before} * {block_words} + ({x} % {block_words}) * ({after} - {before})")
 
+    # blocks from the first to the last of the stretch that are taken once more, as words of the document
+    block = f"""transform(filter(sequence(_start div {block_words}, (_end - 1) div {block_words}),
+        j -> ((j + 1) * _more + _phase) div _blocks > (j * _more + _phase) div _blocks),
+        j -> named_struct('start', greatest(j * {block_words}, _start) - _start, 'end', least((j + 1) * {block_words}, _end) - _start))"""
+    none = "cast(array() as array<struct<start:bigint,end:bigint>>)"
     on = (F.col("_no") == F.col("_cell_no")) & (F.col("_shard") == F.col("_cell_shard"))
     return (
         placed.withColumn("_end", end)
@@ -143,6 +153,8 @@ def mix(
             F.col("_source_size").alias("source_size"),
             F.col("_target").alias("target"),
             (F.col("_passes") * F.col("_size") + words_before("_end") - words_before("_start")).alias("taken"),
+            F.col("_passes").alias("passes"),
+            F.expr(f"if(_size > 0 and _more > 0, {block}, {none})").alias("ranges"),
             *[F.col(f"_keep_{c}").alias(c) for c in keep],
         )
     )

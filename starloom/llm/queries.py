@@ -22,7 +22,7 @@ from starloom.llm.toxicity import score_toxicity
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 MIX_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size,
-         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+         md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(md5(text), '')) AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS ss, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM d GROUP BY source),
 w AS (SELECT *, CASE no % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END::DOUBLE AS w, 2.0::DOUBLE * ss AS cap,
              1.5::DOUBLE * sum(ss) OVER () AS total FROM s),

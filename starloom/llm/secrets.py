@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -27,7 +29,7 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ with 16 characters or more
 CONTEXT_WORDS = (*ASSIGN_WORDS, "credential", "private_key", "private key", "access_key", "access key", "bearer", "authorization")
-CONTEXT = re.compile("|".join(map(re.escape, CONTEXT_WORDS)))
+CONTEXT = re.compile("|".join(map(re.escape, CONTEXT_WORDS)), re.IGNORECASE | re.ASCII)
 TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 IDENTIFIERS = (
     "access account address admin api application authorization auth base bearer bucket cache certificate class client "
@@ -54,38 +56,59 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(s, e, KINDS[k]) for s, e, k in sorted(spans, key=lambda x: (x[0], x[2]))]
 
 
-def novelty(candidate: str, around: str, identifiers: str = IDENTIFIERS) -> float:
-    """Marginal compressed bytes of the candidate, per byte, primed with the identifiers and the text around it."""
-    raw = candidate.encode("utf-8", "surrogatepass")
+def novelty(candidate: str, around: str, identifiers: str = IDENTIFIERS, piece: int = 48) -> float:
+    """Marginal compressed bytes of the candidate, per byte, primed with the identifiers and the text around it.
+
+    Long candidates are measured in pieces: beyond some 60 bytes zstandard codes the letters themselves by frequency,
+    which would measure the alphabet instead of what is known. Other copies of the candidate do not count as context.
+    """
     primer = zstandard.ZstdCompressionDict(
-        f"{identifiers} {around}".encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
+        f"{identifiers} {around.replace(candidate, ' ')}".encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
     )
     press = zstandard.ZstdCompressor(level=12, dict_data=primer)
-    return (len(press.compress(raw)) - len(press.compress(b""))) / max(1, len(raw))
+    raw = candidate.encode("utf-8", "surrogatepass")
+    n = max(1, -(-len(raw) // piece))
+    cuts = [len(raw) * i // n for i in range(n + 1)]
+    bare = len(press.compress(b""))
+    return sum(len(press.compress(raw[x:y])) - bare for x, y in zip(cuts, cuts[1:])) / max(1, len(raw))
+
+
+def kind_changes(s: str) -> int:
+    """How often a capital, a small letter and a digit stand next to one of another kind."""
+    kinds = [0 if c.isdigit() else 1 if c.islower() else 2 for c in s if c.isalnum()]
+    return sum(x != y for x, y in zip(kinds, kinds[1:]))
 
 
 def novel_spans(
-    text: str, taken: list[tuple[int, int, str]], reach: int = 48, around: int = 400, at_least: float = 0.95
+    text: str, taken: list[tuple[int, int, str]], reach: int = 48, around: int = 400, at_least: float = 0.95, changes: int = 3
 ) -> list[tuple[int, int, str]]:
-    """Incompressible tokens that start within `reach` characters after a credential word and overlap no taken span."""
-    low = text.lower()
-    if len(low) != len(text) or not any(w in low for w in CONTEXT_WORDS):
-        low = text if len(low) != len(text) else low
-        if not any(w in low for w in CONTEXT_WORDS):
-            return []
-    found: dict[int, tuple[int, int, str]] = {}
-    for c in CONTEXT.finditer(low):
-        for m in TOKEN.finditer(text, c.end(), min(len(text), c.end() + reach + 4096)):
-            if m.start() > c.end() + reach:
-                break
-            s, e = m.span()
-            cand = m.group()
-            mixed = sum(x.isdigit() for x in cand) >= 2 and sum(x.isalpha() for x in cand) >= 2
-            if s in found or not mixed or any(s < y and x < e for x, y, _ in taken):
+    """Incompressible tokens that start within `reach` characters after a credential word and overlap no taken span.
+
+    A token that the credential word is itself a part of counts from behind its last one. Tokens with fewer than
+    `changes` changes between digits, capitals and small letters are words or names.
+    """
+    ends = [m.end() for m in CONTEXT.finditer(text)]
+    if not ends:
+        return []
+    starts, stops = [x for x, _, _ in taken], list(accumulate((y for _, y, _ in taken), max))
+    found = []
+    for m in TOKEN.finditer(text):
+        s, e = m.span()
+        i = bisect_right(ends, e - 1)
+        if i and ends[i - 1] > s:  # the last credential word that ends within the token
+            s = ends[i - 1]
+            s += len(text[s:e]) - len(text[s:e].lstrip("=/+_.-"))
+            if e - s < 16:
                 continue
-            if novelty(cand, text[max(0, s - around) : s] + text[e : e + around]) >= at_least:
-                found[s] = (s, e, "novel")
-    return list(found.values())
+        elif not i or s > ends[i - 1] + reach:
+            continue
+        j = bisect_right(starts, e - 1)
+        if j and stops[j - 1] > s:
+            continue
+        cand = text[s:e]
+        if kind_changes(cand) >= changes and novelty(cand, text[max(0, s - around) : s] + text[e : e + around]) >= at_least:
+            found.append((s, e, "novel"))
+    return found
 
 
 def all_spans(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:

@@ -166,7 +166,8 @@ def training_rows(
 ) -> list:
     """About `toxic` and `clean` labelled rows outside the held-out third, chosen by a hash of the id (all, if fewer).
 
-    A document with several labels counts as toxic if any says so; null labels and ids are left out.
+    A document with several labels counts as toxic if any says so, an id with several texts gives the least of them; null
+    labels and ids are left out.
     """
     use = (F.crc32(F.col("_id").cast("string").cast("binary")) % 3) != 1
     marked = (
@@ -181,7 +182,8 @@ def training_rows(
     part = F.when(F.col("_y") == 1, min(1.0, toxic / max(1, n.get(1, 0)))).otherwise(min(1.0, clean / max(1, n.get(0, 0))))
     chosen = F.broadcast(marked.where(draw < part))  # about toxic + clean rows, whatever the size of the tables
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return sorted(texts.join(chosen, "_id").select("_id", "_text", "_y").collect(), key=lambda r: (r[0], r[1] or ""))
+    one = texts.join(chosen, "_id").groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_y").alias("_y"))
+    return sorted(one.collect(), key=lambda r: r[0])
 
 
 def score_toxicity(
