@@ -194,6 +194,11 @@ def interpolated(x: Column, stops) -> Rgb:
     return channel(0), channel(1), channel(2)
 
 
+def palette_names(external: tuple[str, ...] = ()) -> list[str]:
+    """The names of all palettes, and of those that an external library offers, once each, in order."""
+    return sorted({*PALETTES, *external})
+
+
 def colormap(x: Column, low: Column, high: Column, palette: str = "cool") -> Rgb:
     if palette not in PALETTES:
         raise ValueError(f"unknown palette {palette}")

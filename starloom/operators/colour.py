@@ -161,10 +161,13 @@ def picked_stars(stars: DataFrame, image: list[str], n_stars: int) -> DataFrame:
 
 
 def aperture_fluxes(
-    stars: DataFrame, df: DataFrame, image: list[str], radius: int = 4, inner: int = 6, outer: int = 10
+    stars: DataFrame, df: DataFrame, image: list[str], radius: int = 4, inner: int = 6, outer: int = 10, least_area: int = 5, least_ring: int = 15
 ) -> DataFrame:
     """image, y, x, r_flux, g_flux, b_flux: aperture sums less the clipped annulus median; rejected stars are left out.
 
+    Rejected are stars near the border, with too faint a flux, or with fewer pixels than least_area and least_ring in the
+    aperture and the annulus.
+
     Stars meet pixels by blocks of the image (an equi-join on image and block), never by a range join.
     """
     block = 2 * outer + 1
@@ -190,13 +193,15 @@ def aperture_fluxes(
     net = long.withColumn("_kept", kept).groupBy(*keys, "channel").agg(
         F.sum(F.when(F.col("_d") <= radius, F.col("v"))).alias("flux"),
         F.count(F.when(F.col("_d") <= radius, 1)).alias("area"),
+        F.count(F.when(F.col("_d") >= inner, 1)).alias("ring"),
         F.when(F.count("_kept") > 10, F.median("_kept")).otherwise(F.max("_m")).alias("sky"),
     )
     net = net.withColumn("net", F.col("flux") - F.col("area") * F.col("sky"))
     wide = net.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("channel") == c, F.col("net"))).alias(f"{c}_flux") for c in RGB], F.max("area").alias("_area")
+        *[F.max(F.when(F.col("channel") == c, F.col("net"))).alias(f"{c}_flux") for c in RGB], F.max("area").alias("_area"), F.max("ring").alias("_ring")
     )
-    good = wide.where(F.least("r_flux", "g_flux", "b_flux") >= 0.5 * F.col("_area"))
+    enough = (F.col("_area") >= least_area) & (F.col("_ring") >= least_ring)
+    good = wide.where(enough & (F.least("r_flux", "g_flux", "b_flux") >= 0.5 * F.col("_area")))
     return good.select(*image, F.col("sy").alias("y"), F.col("sx").alias("x"), "r_flux", "g_flux", "b_flux")
 
 
@@ -241,12 +246,29 @@ def corner_box_balance(df: DataFrame, image: list[str], rows: tuple[int, int], c
     return own.withColumn("g", F.col("g") * F.coalesce("_gain", F.lit(1.0))).drop("_gain")
 
 
+def script_stretched(df: DataFrame, image: list[str], low: float = 0.05, high: float = 0.999, a: float = 0.1) -> DataFrame:
+    """df with r, g, b stretched alike: from the low to the high percentile of luma > 0, asinh, over the greatest value."""
+    luma = tone.luma(*cols())
+    marks = df.groupBy(*image).agg(*[F.percentile(F.when(luma > 0, luma), p).alias(n) for n, p in (("_low", low), ("_high", high))])
+    scale = F.asinh(F.lit(1.0 / a))
+    own = df.join(marks, image)
+    own = with_rgb(own, tuple(F.asinh(F.greatest((c - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0)), F.lit(0.0)) / a) / scale for c in cols()))
+    top = own.groupBy(*image).agg(F.nullif(F.max(F.greatest(*RGB)), F.lit(0.0)).alias("_top"))
+    own = own.join(top, image)
+    return with_rgb(own, tuple(F.coalesce(F.least(c / F.col("_top"), F.lit(1.0)), F.lit(0.0)) for c in cols())).drop("_low", "_high", "_top")
+
+
 def combined_lrgb(lum: DataFrame, rgb: DataFrame, image: list[str], method: str = "lab", weight: float = 1.0, chroma: float = 1.0) -> DataFrame:
-    """image, y, x, r, g, b: luminance l joined to colour by place; each over its maximum where that exceeds 1."""
+    """image, y, x, r, g, b: luminance l joined to colour by place; each over its maximum where that exceeds 1.
+
+    Images of different sizes are an error: a place that one of the two lacks fails the query.
+    """
     w = Window.partitionBy(*image)
     top_l = F.greatest(F.max("l").over(w), F.lit(1.0))
     own = lum.select(*image, "y", "x", (F.col("l") / top_l).alias("l"))
     top = F.greatest(image_max(rgb, image), F.lit(1.0))
     scaled = with_rgb(rgb.withColumn("_top", top), tuple(c / F.col("_top") for c in cols())).drop("_top")
-    joined = own.join(scaled.select(*image, "y", "x", *RGB), [*image, "y", "x"])
-    return joined.select(*image, "y", "x", *[c.alias(n) for n, c in zip(RGB, tone.lrgb(F.col("l"), cols(), method, weight, chroma))])
+    sides = own.withColumn("_a", F.lit(1)), scaled.select(*image, "y", "x", *RGB, F.lit(1).alias("_b"))
+    joined = sides[0].join(sides[1], [*image, "y", "x"], "full")
+    alike = F.when(F.col("_a").isNull() | F.col("_b").isNull(), F.raise_error(F.lit("luminance and colour differ in size")).cast("int")).otherwise(F.col("y"))
+    return joined.select(*image, alike.alias("y"), "x", *[c.alias(n) for n, c in zip(RGB, tone.lrgb(F.col("l"), cols(), method, weight, chroma))])

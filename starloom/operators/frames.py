@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.schema import FAILED_PREFIX, NATIVE_BITPIX, NATIVE_HEIGHT, NATIVE_WIDTH, STACKED_PREFIX, TRANSFORM
@@ -120,6 +120,20 @@ def same_names(a: DataFrame, b: DataFrame, name: str = "name") -> DataFrame:
     return left.join(right, name, "full").agg((F.count_if(F.col("_a").isNull() | F.col("_b").isNull()) == 0).alias("same"))
 
 
+def same_order(a: DataFrame, b: DataFrame, session: list[str], name: str = "name", order: str = "frame_id") -> DataFrame:
+    """session, same: whether two lists hold the same names at the same places in their order; a missing list differs.
+
+    Places are row numbers, so two long lists meet row by row and are never gathered.
+    """
+    line = Window.partitionBy(*session).orderBy(order)
+
+    def placed(df: DataFrame, to: str) -> DataFrame:
+        return df.select(*session, F.row_number().over(line).alias("_i"), F.col(name).alias(to))
+
+    both = placed(a, "_a").join(placed(b, "_b"), [*session, "_i"], "full")
+    return both.groupBy(*session).agg((F.count_if(~F.col("_a").eqNullSafe(F.col("_b"))) == 0).alias("same"))
+
+
 def transforms_json(transforms: DataFrame, session: list[str]) -> DataFrame:
     """session, n_transforms, n_successful, json: the transforms of a session, by source path, as one JSON text."""
     fields = [f.split()[0] for f in TRANSFORM.split(", ")]

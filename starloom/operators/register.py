@@ -8,6 +8,8 @@ helpers work on one pair at a time.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from math import comb, factorial
 
 import numpy as np
 import pandas as pd
@@ -80,6 +82,46 @@ def bilinear_at(image: np.ndarray, v: np.ndarray, u: np.ndarray) -> np.ndarray:
     return out
 
 
+def bspline(t: np.ndarray, order: int) -> np.ndarray:
+    """The centred B-spline of an order: alternating truncated powers."""
+    half = (order + 1) / 2
+    total = sum((-1) ** k * comb(order + 1, k) * np.maximum(t + half - k, 0.0) ** order for k in range(order + 2))
+    return np.where(np.abs(t) < half, total / factorial(order), 0.0)
+
+
+@lru_cache(maxsize=16)
+def spline_filter(n: int, order: int) -> np.ndarray:
+    """The matrix that turns n samples, mirrored at the ends, into the coefficients of the spline through them."""
+    reach, at = order // 2, np.arange(n)
+    basis, period = np.zeros((n, n)), max(2 * (n - 1), 1)
+    for k in range(-reach, reach + 1):
+        place = np.abs(at + k) % period
+        np.add.at(basis, (at, np.minimum(place, period - place) if n > 1 else at), bspline(np.array(float(k)), order))
+    return np.linalg.inv(basis)
+
+
+def spline_at(order: int):
+    """A function like bilinear_at that interpolates with splines of the order; mirrored at the ends, beyond them 0."""
+
+    def at(image: np.ndarray, v: np.ndarray, u: np.ndarray) -> np.ndarray:
+        h, w = image.shape
+        coefficients = spline_filter(h, order) @ image @ spline_filter(w, order).T
+        middle = (np.rint(v), np.rint(u)) if order % 2 == 0 else (np.floor(v), np.floor(u))
+        low, high = (-(order // 2), order // 2) if order % 2 == 0 else (-(order // 2), order // 2 + 1)
+        sides = []
+        for place, centre, n in zip((v, u), middle, (h, w)):
+            period, steps = max(2 * (n - 1), 1), []
+            for k in range(low, high + 1):
+                i = np.abs(centre.astype(int) + k) % period
+                steps.append((np.minimum(i, period - i) if n > 1 else 0 * i, bspline(place - centre - k, order)))
+            sides.append(steps)
+        out = sum(wy * sum(wx * coefficients[y, x] for x, wx in sides[1]) for y, wy in sides[0])
+        inside = (v >= 0) & (v <= h - 1) & (u >= 0) & (u <= w - 1)
+        return np.where(inside, out, 0.0)
+
+    return at
+
+
 def warped(data: Column, height: Column, width: Column, inverse: Column) -> Column:
     """An array image resampled bilinearly: out(x, y) = in(inverse (x, y)); outside is 0. One row in, one row out."""
 
@@ -196,7 +238,7 @@ def matched_transform(a: np.ndarray, b: np.ndarray, tolerance: float = 2.0, roun
     pairs = np.argwhere(off < 0.05)
     pairs = pairs[np.argsort(off[tuple(pairs.T)], kind="stable")][:2000]
     rng = np.random.default_rng(seed)
-    best, most = None, 0
+    best, most, closest = None, 0, 0.0
     for k in rng.permutation(len(pairs))[:rounds]:
         i, j = pairs[k]
         m = similarity(a[oa[i]], b[ob[j]])
@@ -204,9 +246,19 @@ def matched_transform(a: np.ndarray, b: np.ndarray, tolerance: float = 2.0, roun
         gap = np.linalg.norm(moved[:, None] - b[None], axis=2)
         near = gap.argmin(axis=1)
         agree = np.flatnonzero(gap[np.arange(len(a)), near] < tolerance)
-        if len(agree) > most and len(set(near[agree])) >= 3:
-            most, best = len(agree), similarity(a[agree], b[near[agree]])
-    return (best, most) if most >= 3 else (None, 0)
+        fit = (1 - gap[agree, near[agree]] / tolerance).sum()  # close pairs count more than those that happen to be near
+        if fit > closest and len(set(near[agree])) >= 3:
+            most, closest, best = len(agree), fit, similarity(a[agree], b[near[agree]])
+    if most < 3:
+        return None, 0
+    for finer in (tolerance / 2, tolerance / 4):  # pairs that only happen to lie close drop out
+        gap = np.linalg.norm((a @ best[:2, :2].T + best[:2, 2])[:, None] - b[None], axis=2)
+        near = gap.argmin(axis=1)
+        agree = np.flatnonzero(gap[np.arange(len(a)), near] < finer)
+        if len(set(near[agree])) < 3:
+            break
+        best, most = similarity(a[agree], b[near[agree]]), len(agree)
+    return best, most
 
 
 def star_transforms(stars: DataFrame, references: DataFrame, session: list[str]) -> DataFrame:

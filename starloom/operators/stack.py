@@ -177,6 +177,20 @@ def stack_statistics(stacked: DataFrame, image: list[str], value: str, n_frames:
     )
 
 
+def joint_statistics(rgb: DataFrame, image: list[str], n_frames: str, exposure: float, clipped: float = 0.03) -> DataFrame:
+    """image, n_frames, total_exposure_s, mean_clipped_fraction (as given), snr_proxy over all channels' values as one.
+
+    The medians are grouped aggregates over the values, joined back, so no image is gathered in one window.
+    """
+    long = rgb.select(*image, F.col(n_frames).alias("_n"), F.explode(F.array("r", "g", "b")).alias("_v"))
+    middle = long.groupBy(*image).agg(F.median("_v").alias("_m"), F.max("_n").alias("n_frames"))
+    off = long.join(middle.select(*image, "_m"), image).groupBy(*image).agg((1.4826 * F.median(F.abs(F.col("_v") - F.col("_m")))).alias("_noise"))
+    return middle.join(off, image).select(
+        *image, "n_frames", (F.col("n_frames") * exposure).alias("total_exposure_s"), F.lit(clipped).alias("mean_clipped_fraction"),
+        F.when(F.col("_noise") > 0, F.col("_m") / F.nullif(F.col("_noise"), F.lit(0.0))).otherwise(F.lit(0.0)).alias("snr_proxy"),
+    )
+
+
 def coverage_bounds(stacked: DataFrame, image: list[str], share: float = 0.8) -> DataFrame:
     """image, y0, y1, x0, x1 (ends excluded): the box of coverage >= share * greatest; everything if nothing is covered."""
     w = Window.partitionBy(*image)

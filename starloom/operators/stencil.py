@@ -7,6 +7,7 @@ from math import ceil, exp, hypot
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.functions.tone import luma
 from starloom.operators.graph import connected_components
 
 
@@ -183,6 +184,16 @@ def object_mask(
     )
 
 
+def extended_mask(
+    df: DataFrame, image: list[str], star_sigma: float = 5.0, sigma: float = 1.5, smooth: float = 50.0, star_grow: int = 5, grow: int = 20
+) -> DataFrame:
+    """image, y, x, m from r, g, b: bright pixels of any area, and what stands out of the smoothed luma, both grown."""
+    own = df.select(*image, "y", "x", luma(*(F.col(c) for c in "rgb")).alias("_l"))
+    stars = dilated(threshold_mask(own, image, "_l", star_sigma), image, "m", star_grow)
+    wide = dilated(threshold_mask(gaussian(own, image, "_l", smooth), image, "_l", sigma), image, "m", grow)
+    return united(stars, wide, image)
+
+
 def filled(mask: DataFrame, image: list[str], flag: str) -> DataFrame:
     """Holes set: unset components that do not reach the border of the image."""
     edges = _extent(mask, image)

@@ -44,3 +44,17 @@ def markdown(scores: DataFrame, rejected: DataFrame, stats: DataFrame, session:
         F.when(F.col("bottom") != "", F.concat(F.lit("## Worst\n"), F.col("bottom"))),
     )
     return own.select(*session, text.alias("report"))
+
+
+def write_all_reports(
+    scores: DataFrame, rejected: DataFrame, stats: DataFrame, session: list[str], name: str, settings_hash: str, path: str
+) -> dict[str, str]:
+    """Manifests, statistics and Markdown reports of all sessions below path, a file per session; report -> folder."""
+    tables = {
+        "manifest": manifests(scores, rejected, session, name, settings_hash).withColumnRenamed("manifest", "value"),
+        "json": stats.select(*session, F.to_json(F.struct(*[c for c in stats.columns if c not in session])).alias("value")),
+        "markdown": markdown(scores, rejected, stats, session, name).withColumnRenamed("report", "value"),
+    }
+    for kind, rows in tables.items():
+        rows.select(*session, "value").write.mode("overwrite").partitionBy(*session).text(f"{path}/{kind}")
+    return {kind: f"{path}/{kind}" for kind in tables}

@@ -225,13 +225,13 @@ _NET = [f"sum({c}) FILTER (WHERE d <= 1) - 5 * median({c}) FILTER (WHERE d >= 2)
 def aperture_photometry(spark, sf):
     own = fx.rgb_frames(spark, sf)
     stars = own.where("y = 4 and x = 4").select("session", "frame_id", "y", "x")
-    return tidy(co.aperture_fluxes(stars, own, ["session", "frame_id"], 1, 2, 2))
+    return tidy(co.aperture_fluxes(stars, own, ["session", "frame_id"], 1, 2, 2, least_ring=1))
 
 
-SHIFT = "LEFT JOIN px b ON a.frame_id = b.frame_id AND b.y = a.y - (a.frame_id % 5 - 2) AND b.x = a.x - (a.frame_id % 3 - 1)"
+SHIFTED = "mv AS MATERIALIZED (SELECT frame_id, y + (frame_id % 5 - 2) AS y, x + (frame_id % 3 - 1) AS x, v FROM px)"
 
 
-@query("integer_shift", f"WITH {fx.PX} SELECT a.frame_id, a.y, a.x, coalesce(b.v, 0) AS v FROM px a {SHIFT}")
+@query("integer_shift", f"WITH {fx.PX}, {SHIFTED} SELECT px.frame_id, px.y, px.x, coalesce(mv.v, 0) AS v FROM px LEFT JOIN mv ON px.frame_id = mv.frame_id AND px.y = mv.y AND px.x = mv.x")
 def integer_shift(spark, sf):
     return tidy(rg.shifted(fx.pixels(spark, sf), FRAME, ["v"], F.col("frame_id") % 5 - 2, F.col("frame_id") % 3 - 1))
 
