@@ -154,7 +154,11 @@ def trained(texts: DataFrame, own: list[int], sample_rows: int, warm_rounds: int
     """The network: a warm start on sample_rows texts (the first by a hash), then one pass of every partition, averaged."""
     spark = texts.sparkSession
     order = F.xxhash64(F.lit(3), "doc_id", "t")
-    sample = texts.where("t is not null").orderBy(order, "doc_id").limit(sample_rows).select(F.col("t").cast("binary")).collect()
+    hashed = texts.where("t is not null").withColumn("_h", order)
+    least = hashed.select("_h").orderBy("_h").limit(sample_rows).collect()  # no texts yet: every task sends its first ones
+    last = max((r["_h"] for r in least), default=None)
+    sample = hashed.where(F.col("_h") <= F.lit(last).cast("long")).select("_h", F.col("t").cast("binary")).limit(sample_rows).collect()
+    sample.sort(key=lambda r: (r["_h"], r["t"]))
     classes, net = Classes(own), Network()
 
     def batches_of(column: pa.Array, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
