@@ -124,12 +124,45 @@ def filled_holes(spark, sf):
     return tidy(sc.filled(own, FRAME, "m"))
 
 
-@query("object_masks")
+def lit_sql(source: str, value: str, sigma: float, out: str) -> str:
+    """CTEs up to out (session, y, x, m): value over median + sigma * 1.4826 MAD of the session's image."""
+    return (
+        f"{out}0 AS (SELECT *, median({value}) OVER (PARTITION BY session) AS med FROM {source}), {out}1 AS (SELECT *, 1.4826::DOUBLE * median(abs({value} - med)) OVER (PARTITION BY session) AS s FROM {out}0), "
+        f"{out} AS (SELECT session, y, x, s >= 1e-6 AND {value} > med + {sigma}::DOUBLE * s AS m FROM {out}1)"
+    )
+
+
+def grown_sql(source: str, out: str) -> str:
+    """CTE out: source (session, y, x, m) grown by one pixel."""
+    return f"{out} AS (SELECT a.session, a.y, a.x, bool_or(b.m) AS m FROM {source} a JOIN {source} b ON a.session = b.session AND abs(a.y - b.y) + abs(a.x - b.x) <= 1 GROUP BY ALL)"
+
+
+@query(
+    "object_masks",
+    f"WITH {fx.MASTER}, {lit_sql('mos', 'v', 2.0, 'sl')}, {grown_sql('sl', 'sg')}, {gauss_sql('mos', 'session', 'v', 1.0, 'sm')}, {lit_sql('sm', 'v', 1.0, 'el')}, {grown_sql('el', 'eg')} "
+    "SELECT sg.session::BIGINT AS session, y, x, sg.m OR eg.m AS m FROM sg JOIN eg USING (session, y, x)",
+)
 def object_masks(spark, sf):
     return tidy(sc.object_mask(fx.master(spark, sf), IMAGE, "v", 2.0, 1.0, 1, 1.0, 1, 1))
 
 
-@query("galaxy_masks")
+def _galaxy_sql() -> str:
+    parts, names = [], []
+    for i, scale in enumerate((1.0, 2.0)):
+        parts.append(gauss_sql("mos", "session", "v", scale, f"sm{i}").replace("gy_sm", "gy_gm"))
+        parts.append(f"br{i} AS (SELECT session, y, x, sm{i}.v > sky + 1.0::DOUBLE * noise AS m FROM sm{i} JOIN lv USING (session)), sh{i} AS (SELECT *, avg(m::INT) OVER (PARTITION BY session) AS share FROM br{i})")
+        names.append(f"sh{i}")
+    return (
+        f"WITH RECURSIVE {fx.MASTER}, co AS (SELECT session, v, median(v) OVER (PARTITION BY session) AS m FROM mos WHERE y IN (0, 7) AND x IN (0, 7)), "
+        "lv AS (SELECT session, any_value(m) AS sky, 1.4826::DOUBLE * median(abs(v - m)) AS noise FROM co GROUP BY 1), "
+        f"{', '.join(parts)}, un AS (SELECT session, y, x, (sh0.m AND sh0.share >= 0.01) OR (sh1.m AND sh1.share >= 0.01) AS m FROM sh0 JOIN sh1 USING (session, y, x)), {grown_sql('un', 'gr')}, "
+        "off_ AS MATERIALIZED (SELECT session, y, x FROM gr WHERE NOT m), re AS (SELECT session, y, x FROM off_ WHERE y IN (0, 7) OR x IN (0, 7) UNION SELECT o.session, o.y, o.x FROM re "
+        "JOIN off_ o ON re.session = o.session AND abs(re.y - o.y) + abs(re.x - o.x) = 1) "
+        "SELECT g.session::BIGINT AS session, g.y, g.x, re.y IS NULL AS m FROM gr g LEFT JOIN re ON g.session = re.session AND g.y = re.y AND g.x = re.x"
+    )
+
+
+@query("galaxy_masks", _galaxy_sql())
 def galaxy_masks(spark, sf):
     return tidy(sc.galaxy_mask(fx.master(spark, sf), IMAGE, "v", 1.0, (1.0, 2.0), 1))
 
@@ -151,6 +184,17 @@ def local_contrast(spark, sf):
     return tidy(sc.local_contrast(own, IMAGE, "v", 2.0, 0.5))
 
 
+_SOFT = f"mk AS (SELECT session, y, x, CASE WHEN v > 20050 THEN 1.0 ELSE 0.0 END::DOUBLE AS soft FROM mos), {gauss_sql('mk', 'session', 'soft', 1.0, 'so')}"
+_CALM = {
+    "median": "o AS (SELECT a.session, a.y, a.x, least(greatest(a.y + dy.d, 0), 7) AS sy, least(greatest(a.x + dx.d, 0), 7) AS sx FROM mos a, range(-1, 2) dy(d), range(-1, 2) dx(d)), "
+    "calm AS (SELECT o.session, o.y, o.x, median(b.v) AS v FROM o JOIN mos b ON o.session = b.session AND sy = b.y AND sx = b.x GROUP BY ALL)",
+    "gaussian": gauss_sql("mos", "session", "v", 1.5, "calm"),
+    "bilateral": "md AS (SELECT *, median(v) OVER (PARTITION BY session) AS med FROM mos), sg AS (SELECT *, 2 * 1.4826::DOUBLE * median(abs(v - med)) OVER (PARTITION BY session) AS s FROM md), "
+    "wt AS (SELECT a.session, a.y, a.x, b.v, exp(-((a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x)) / 18.0::DOUBLE) * CASE WHEN a.s > 0 THEN exp(-(b.v - a.v) * (b.v - a.v) / (2 * a.s * a.s)) ELSE 1 END AS w "
+    "FROM sg a JOIN sg b ON a.session = b.session AND abs(a.y - b.y) <= 2 AND abs(a.x - b.x) <= 2), calm AS (SELECT session, y, x, sum(v * w) / sum(w) AS v FROM wt GROUP BY ALL)",
+}
+
+
 for _method in ("median", "gaussian", "bilateral"):
 
     def _calm(spark, sf, method=_method):
@@ -158,7 +202,10 @@ for _method in ("median", "gaussian", "bilateral"):
         mask = own.withColumn("m", F.col("v") > 20050)
         return tidy(sc.background_denoised(own, IMAGE, "v", method, 3, mask, 1.0))
 
-    query(f"denoised_{_method}")(_calm)
+    query(
+        f"denoised_{_method}",
+        f"WITH {fx.MASTER}, {_SOFT}, {_CALM[_method]} SELECT m.session::BIGINT AS session, m.y, m.x, {rounded('so.soft * m.v + (1 - so.soft) * calm.v AS v')} FROM mos m JOIN so USING (session, y, x) JOIN calm USING (session, y, x)",
+    )(_calm)
 
 
 CELLS = (
@@ -200,16 +247,38 @@ def background_polynomial(spark, sf):
     return tidy(bg.estimated(fx.pixels(spark, sf), FRAME, "v", 4).select("frame_id", "y", "x", "background"), 4)
 
 
+_COEFS = (
+    "cf AS (SELECT frame_id, (b0 * (a11 * a22 - a12 * a12) - a01 * (b1 * a22 - a12 * b2) + a02 * (b1 * a12 - a11 * b2)) / d AS c0, (a00 * (b1 * a22 - a12 * b2) - b0 * (a01 * a22 - a12 * a02) + a02 * (a01 * b2 - b1 * a02)) / d AS c1, "
+    "(a00 * (a11 * b2 - b1 * a12) - a01 * (a01 * b2 - b1 * a02) + b0 * (a01 * a12 - a11 * a02)) / d AS c2 FROM dt), bk AS (SELECT px.frame_id, px.y, px.x, px.v, c0 + c1 * (px.x - 4) / 8 + c2 * (px.y - 4) / 8 AS k FROM px JOIN cf USING (frame_id))"
+)
+_LESS = {
+    "subtract": "v - k - min(v - k) OVER (PARTITION BY frame_id) AS v",
+    "divide": "v / greatest(k, 1) * median(k) OVER (PARTITION BY frame_id) AS v",
+}
+
+
 for _mode in ("subtract", "divide"):
 
     def _less(spark, sf, mode=_mode):
         own = bg.estimated(fx.pixels(spark, sf), FRAME, "v", 4, 1)
         return tidy(bg.without_background(own, FRAME, "v", mode).select("frame_id", "y", "x", "v"), 4)
 
-    query(f"background_{_mode}")(_less)
+    query(f"background_{_mode}", f"WITH {PLANE}, {_COEFS} SELECT frame_id, y, x, {rounded(_LESS[_mode], digits=4)} FROM bk")(_less)
+
+
+_STARS = (
+    f"WITH RECURSIVE {fx.PX}, {fx.bilinear_sql('px', 'session, frame_id', 'bl')}, q0 AS (SELECT *, 0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b AS l FROM bl), "
+    "q1 AS (SELECT *, median(l) OVER (PARTITION BY frame_id) AS med, max(greatest(r, g, b)) OVER (PARTITION BY frame_id) AS top FROM q0), q2 AS (SELECT *, 1.4826::DOUBLE * median(abs(l - med)) OVER (PARTITION BY frame_id) AS s FROM q1), "
+    "on_ AS MATERIALIZED (SELECT *, y * 8 + x AS id FROM q2 WHERE s >= 1e-6 AND l > med + 1.0 * s), "
+    "nb AS MATERIALIZED (SELECT a.frame_id, a.id, b.id AS other FROM on_ a JOIN on_ b ON a.frame_id = b.frame_id AND abs(a.y - b.y) + abs(a.x - b.x) <= 1), "
+    "re AS (SELECT frame_id, id, id AS low FROM on_ UNION SELECT re.frame_id, nb.other, re.low FROM re JOIN nb ON re.frame_id = nb.frame_id AND re.id = nb.id WHERE re.low < nb.other), "
+    "lab AS (SELECT frame_id, id, min(low) AS label FROM re GROUP BY 1, 2), "
+    "sr AS (SELECT session, frame_id, label, floor(avg(y))::BIGINT AS y, floor(avg(x))::BIGINT AS x, sum(r) AS r_flux, sum(g) AS g_flux, sum(b) AS b_flux, max(greatest(r, g, b)) AS peak, max(top) AS top "
+    "FROM on_ JOIN lab USING (frame_id, id) GROUP BY ALL HAVING count(*) BETWEEN 2 AND 40) "
+)
 
 
-@query("reference_stars")
+@query("reference_stars", f"{_STARS} SELECT session::BIGINT AS session, frame_id, y, x, {rounded('r_flux', 'g_flux', 'b_flux')} FROM sr WHERE peak <= 0.99::DOUBLE * top AND least(r_flux, g_flux, b_flux) >= 1")
 def reference_stars(spark, sf):
     return tidy(co.reference_stars(fx.rgb_frames(spark, sf), ["session", "frame_id"], 1.0, 2, 40, 0.99, 50))
 

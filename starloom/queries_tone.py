@@ -44,7 +44,22 @@ def soft_stretch(spark, sf):
     return tidy(co.soft_stretched(fx.master(spark, sf), IMAGE, "v", 19000.0, 100.0))
 
 
-@query("two_stage_stretch")
+def _two_stage_sql() -> str:
+    from starloom.queries_stencil import gauss_sql
+
+    def soft(a: str) -> str:
+        return f"asinh(n / {a}::DOUBLE) / asinh(1 / {a}::DOUBLE)"
+
+    return (
+        f"WITH {fx.MASTER}, p AS (SELECT *, quantile_cont(v, 0.005::DOUBLE) OVER (PARTITION BY session) AS lo, quantile_cont(v, 0.999::DOUBLE) OVER (PARTITION BY session) AS hi FROM mos), "
+        "nm AS (SELECT session, y, x, least(greatest((v - lo) / (hi - lo), 0), 1) AS n FROM p), th AS (SELECT *, quantile_cont(n, 0.995::DOUBLE) OVER (PARTITION BY session) AS t FROM nm), "
+        f"st AS (SELECT session, y, x, {soft('0.05')} / max({soft('0.05')}) OVER (PARTITION BY session) AS f, {soft('0.5')} / max({soft('0.5')}) OVER (PARTITION BY session) AS c, "
+        "least(greatest((n - t) / (0.1::DOUBLE * t + 1e-6), 0), 1)::DOUBLE AS b FROM th), "
+        f"{gauss_sql('st', 'session', 'b', 1.0, 'sm')} SELECT st.session::BIGINT AS session, st.y, st.x, {rounded('(1 - sm.b) * st.f + sm.b * st.c AS v')} FROM st JOIN sm USING (session, y, x)"
+    )
+
+
+@query("two_stage_stretch", _two_stage_sql())
 def two_stage_stretch(spark, sf):
     return tidy(co.two_stage_stretched(fx.master(spark, sf), IMAGE, "v", smooth=1.0))
 
@@ -163,7 +178,14 @@ def hsv_saturation(spark, sf):
     return tidy(co.with_rgb(fx.unit_rgb(spark, sf), tone.hsv_to_rgb((h, tone.clip(s * 1.4), v))))
 
 
-@query("saturated_over_max")
+_TOP = f"{fx.RGB_MASTER}, tp AS (SELECT *, max(greatest(r, g, b)) OVER (PARTITION BY session) AS top FROM rgbm), u AS (SELECT session, y, x, r / top AS r, g / top AS g, b / top AS b FROM tp)"
+
+
+@query(
+    "saturated_over_max",
+    f"WITH {_TOP}, {HSV.removeprefix(fx.UNIT_RGB + ', ')}, {_rgb_sql('hsv', 'least(s * 1.4::DOUBLE, 1.0)', 'v')} "
+    f"SELECT {HEAD}, {rounded('r * top AS r', 'g * top AS g', 'b * top AS b')} FROM rgb2 JOIN (SELECT DISTINCT session, top FROM tp) USING (session)",
+)
 def saturated_over_max(spark, sf):
     u = fx.rgb_master(spark, sf).withColumn("top", co.image_max(None, IMAGE))
     return tidy(co.with_rgb(u, tone.saturated(co.cols(), F.col("top"), 1.4)).drop("top"))
