@@ -56,10 +56,10 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(s, e, KINDS[k]) for s, e, k in sorted(spans, key=lambda x: (x[0], x[2]))]
 
 
-def novelty(candidate: str, around: str, identifiers: str = IDENTIFIERS, piece: int = 48) -> float:
+def novelty(candidate: str, around: str, identifiers: str = IDENTIFIERS, piece: int = 32) -> float:
     """Marginal compressed bytes of the candidate, per byte, primed with the identifiers and the text around it.
 
-    Long candidates are measured in pieces: beyond some 60 bytes zstandard codes the letters themselves by frequency,
+    Long candidates are measured in pieces: beyond some 35 bytes zstandard codes the letters themselves by frequency,
     which would measure the alphabet instead of what is known. Other copies of the candidate do not count as context.
     """
     primer = zstandard.ZstdCompressionDict(
@@ -82,7 +82,7 @@ def kind_changes(s: str) -> int:
 def novel_spans(
     text: str, taken: list[tuple[int, int, str]], reach: int = 48, around: int = 400, at_least: float = 0.95, changes: int = 3
 ) -> list[tuple[int, int, str]]:
-    """Incompressible tokens that start within `reach` characters after a credential word and overlap no taken span.
+    """Incompressible tokens that start within `reach` characters after a credential word and lie in no taken span.
 
     A token that the credential word is itself a part of counts from behind its last one. Tokens with fewer than
     `changes` changes between digits, capitals and small letters are words or names.
@@ -102,9 +102,9 @@ def novel_spans(
                 continue
         elif not i or s > ends[i - 1] + reach:
             continue
-        j = bisect_right(starts, e - 1)
-        if j and stops[j - 1] > s:
-            continue
+        j = bisect_right(starts, s)
+        if j and stops[j - 1] >= e:
+            continue  # a fixed pattern holds all of it
         cand = text[s:e]
         if kind_changes(cand) >= changes and novelty(cand, text[max(0, s - around) : s] + text[e : e + around]) >= at_least:
             found.append((s, e, "novel"))
