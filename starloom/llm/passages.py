@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from starloom.llm.common import bounded_batches, cut, remove
+from starloom.llm.common import bounded_batches, cut
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -368,23 +368,23 @@ def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, ne
     pairs: pair (unique long), a, a_lo, a_hi, b, b_lo, b_hi, extra (a struct). match yields tuples of start and end in
     a, start and end in b (relative to the stretches) and further values; match(x, y, extra, lo_a, lo_b) gets where the
     stretches begin. A pair with a match that comes within `near` words of a stretch's edge, where the text goes on, is
-    compared again over both whole texts.
+    compared again over wider stretches, at last over both whole texts.
     """
-    pairs = cut(pairs, "pairs")
-    found = cut(compared_once(docs, pairs, match, schema, near), "compared")
-    again = cut(pairs.join(found.where("again").select("pair").distinct(), "pair", "left_semi"), "again")
     names = T.StructType.fromDDL(schema).names
-    out = found.where("not again").select(*names)
-    if again.isEmpty():
-        return out
-    remove(pairs)
-    everything = F.lit(1 << 40)
-    whole = again.select(
-        "pair", "a", "b", "extra", F.lit(0).alias("a_lo"), everything.alias("a_hi"), F.lit(0).alias("b_lo"), everything.alias("b_hi")
-    )
-    ids = again.select(F.col("a").alias("unit")).union(again.select(F.col("b").alias("unit"))).distinct()
-    own = docs.join(ids, "unit", "left_semi")
-    return out.union(compared_once(own, whole, match, schema, near).select(*names))
+    out = None
+    for wider in (500, 8000, 1 << 40):
+        pairs = cut(pairs, "pairs")
+        found = cut(compared_once(docs, pairs, match, schema, near), "compared")
+        good = found.where("not again").select(*names)
+        out = good if out is None else out.union(good)
+        again = found.where("again").select("pair").distinct()
+        if again.isEmpty():
+            return out
+        low, high = ((lambda c: F.col(c) - wider), (lambda c: F.col(c) + wider))
+        pairs = pairs.join(again, "pair", "left_semi").select(
+            "pair", "a", "b", "extra", *(f(c).alias(c) for c, f in (("a_lo", low), ("a_hi", high), ("b_lo", low), ("b_hi", high)))
+        )
+    return out.union(compared_once(docs, pairs, match, schema, near).select(*names))
 
 
 def compared_once(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, near: int) -> DataFrame:
