@@ -7,7 +7,7 @@ each and shuffle nothing but star lists. Warped frames become pixel rows for the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import mosaic, tone
-from starloom.operators import quality, register, stack, stencil
+from starloom.operators import colour, quality, register, stack, stencil
 from starloom.operators.pixels import to_arrays, to_pixels
+from starloom.plans.scratch import cut
 from starloom.schema import StackSettings
 
 SESSION = ["session"]
@@ -256,3 +257,38 @@ def aligned_session(frames: DataFrame, settings: StackSettings | None = None) ->
     else:
         master = rgb_stack(own, transforms, s.debayer, s.sigma, s.maxiters)
     return AlignedSession(scores, references, transforms, master)
+
+
+@dataclass
+class ProcessedSession:
+    scores: DataFrame
+    linear: DataFrame
+    calibrated: DataFrame
+    stretched: DataFrame
+    statistics: DataFrame
+
+
+def process_session(
+    frames: DataFrame, settings: StackSettings | None = None, exposure: float = 15.0, cached: DataFrame | None = None, balance: str = "gray_world", least: int = 100
+) -> ProcessedSession:
+    """A session from frames to a stretched colour image: score, align, plane stack, calibrate, stretch, count.
+
+    cached transforms (session, frame_id, success, error_message, matrix, n_matches), if given, stand in for a search; only
+    those of kept frames count. The statistics name the clipped share of a plane stack as given, as the scripts do.
+    """
+    s = replace(settings or StackSettings(), debayer="planes").validate()
+    if cached is None:
+        got = aligned_session(frames, s)
+        scores, linear, transforms = got.scores, got.master, got.transforms
+    else:
+        scores = aligned_session(frames, replace(s, align="none")).scores
+        kept = scores.where("kept").select(*KEYS)
+        references = quality.reference_frame(scores.where("kept"), SESSION, "frame_id", s.reference)
+        transforms = cached.join(kept, KEYS, "left_semi")
+        linear = plane_stack(frames.join(kept, KEYS, "left_semi"), transforms, references, s.sigma)
+    linear = cut(linear, "linear")  # read by all that follows
+    n = transforms.where("success").groupBy(*SESSION).agg(F.count(F.lit(1)).alias("n_stacked"))
+    calibrated = colour.calibrated(linear, SESSION, balance, least=least)
+    return ProcessedSession(
+        scores, linear, calibrated, colour.script_stretched(calibrated, SESSION), stack.joint_statistics(linear.join(n, SESSION), SESSION, "n_stacked", exposure)
+    )

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,20 +78,21 @@ def encoded(images: DataFrame, keys: list[str], channels: list[str], kind: str =
 
 
 def write_files(contents: DataFrame, folder: str, name: Column) -> int:
-    """Write each row's content to folder/name with Spark's file system layer, one task per row's partition.
+    """Write each row's content to folder/name in the task that holds the row; returns the number of files.
 
-    Returns the number of files. Rows that meet in a retried task overwrite their own file only.
+    folder is a path or an address that pyarrow's file systems know, in a place that all nodes share. A retried task
+    overwrites its own files only.
     """
-    spark = contents.sparkSession
-    rows = contents.select(name.alias("name"), "content")
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(folder)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(target)
-    n = 0
-    for r in rows.toLocalIterator():  # one master image per session: a row at a time
-        out = fs.create(hadoop.Path(target, r["name"]), True)
-        out.write(bytearray(r["content"]))
-        out.close()
-        n += 1
-    return n
+    address = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        target, root = fs.FileSystem.from_uri(address)
+        target.create_dir(root)
+        for b in batches:
+            for n, content in zip(b.column(0).to_pylist(), b.column(1)):
+                with target.open_output_stream(f"{root}/{n}") as out:
+                    out.write(content.as_buffer())
+            yield pa.RecordBatch.from_arrays([pa.array([len(b)], pa.int64())], ["n"])
+
+    rows = contents.select(name.alias("name"), "content").mapInArrow(write, "n long")
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 
 def live_moments(frames: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """keys, n, total, squares of a stream of pixel rows: sums that Spark keeps as state and merges per micro-batch."""
+    """keys, n, mean, m2 of a stream of pixel rows: central moments that Spark keeps as state and merges per micro-batch.
+
+    Sums of squares would cancel at the levels of a camera; the moments about the mean do not.
+    """
     v = F.col(value).cast("double")
-    return frames.groupBy(*keys).agg(F.count(v).alias("n"), F.sum(v).alias("total"), F.sum(v * v).alias("squares"))
+    return frames.groupBy(*keys).agg(F.count(v).alias("n"), F.avg(v).alias("mean"), (F.var_pop(v) * F.count(v)).alias("m2"))
 
 
 def windowed_flux(events: DataFrame, time: str = "ts", value: str = "value", width: str = "10 minutes", late: str = "30 minutes") -> DataFrame:
@@ -23,6 +26,5 @@ def windowed_flux(events: DataFrame, time: str = "ts", value: str = "value", wid
 
 
 def mean_and_deviation(moments: DataFrame, keys: list[str]) -> DataFrame:
-    mean = F.col("total") / F.nullif(F.col("n"), F.lit(0))
-    spread = F.greatest(F.col("squares") / F.nullif(F.col("n"), F.lit(0)) - mean * mean, F.lit(0.0))
-    return moments.select(*keys, "n", mean.alias("mean"), F.sqrt(spread).alias("deviation"))
+    """keys, n, mean, deviation (of the population)."""
+    return moments.select(*keys, "n", "mean", F.sqrt(F.col("m2") / F.nullif(F.col("n"), F.lit(0))).alias("deviation"))

@@ -175,6 +175,23 @@ def test_plane_stack_is_full_size_and_close_to_the_reference(spark, moved):
     assert np.corrcoef(g[inner].ravel(), images[0][inner].ravel())[0, 1] > 0.95
 
 
+def test_a_whole_session_is_processed(spark, moved):
+    own, _, _ = moved
+    got = align.process_session(own, StackSettings(keep_fraction=1.0))
+    lit = got.stretched.agg(F.min(F.least("r", "g", "b")), F.max(F.greatest("r", "g", "b")), F.count(F.lit(1))).first()
+    assert lit[0] >= 0 and lit[1] == 1 and lit[2] == SIDE * SIDE
+    stats = got.statistics.first()
+    assert stats.n_frames == 4 and stats.total_exposure_s == 60 and stats.snr_proxy > 0 and stats.mean_clipped_fraction == 0.03
+    best = got.scores.orderBy(F.desc("composite_score"), "frame_id").first().frame_id
+    lists = align.star_lists(own)
+    ref = spark.createDataFrame([(1, best)], "session int, reference long")
+    extra = spark.createDataFrame([(1, 99, True, "", [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]], 0)], align.transforms_by_stars(lists, ref).schema)
+    again = align.process_session(own, StackSettings(keep_fraction=1.0), cached=align.transforms_by_stars(lists, ref).union(extra))
+    assert again.statistics.first().n_frames == 4
+    a = {(r.y, r.x): r.g for r in got.linear.collect()}
+    assert all(abs(a[r.y, r.x] - r.g) < 1e-6 for r in again.linear.collect())
+
+
 def test_settings_choose_by_phase(spark):
     image = field()
     own = frames(spark, [image, np.roll(image, (4, -6), (0, 1))])
