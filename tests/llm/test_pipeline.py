@@ -10,7 +10,7 @@ DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES and set(ORACLE) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES and set(ORACLE) <= set(QUERIES)
 
 
 def test_stages_keep_the_columns_and_decide(spark, data):
