@@ -181,12 +181,88 @@ def modelled(pixels: DataFrame, fit: DataFrame, image: list[str], order: int = 2
     return pixels.join(fit.join(edges, image), image).withColumn("background", value).drop("coefs", "_h", "_w")
 
 
+def cubic_pieces(n: int) -> np.ndarray:
+    """(n - 1, 4, n): coefficients, lowest power first, of the spline through n values at 0, 1, ..., by piece and value.
+
+    The interpolating cubic spline whose third derivative is continuous at the second and the last but one place as well.
+    The system of its second derivatives has a row a place, so it is solved once for all unit vectors.
+    """
+    system, right = np.zeros((n, n)), np.zeros((n, n))
+    for i in range(1, n - 1):
+        system[i, i - 1 : i + 2] = 1, 4, 1
+        right[i, i - 1 : i + 2] = 6, -12, 6
+    system[0, :3] = system[-1, -3:] = 1, -2, 1
+    bend, unit = np.linalg.solve(system, right), np.eye(n)
+    slope = unit[1:] - unit[:-1] - (2 * bend[:-1] + bend[1:]) / 6
+    return np.stack([unit[:-1], slope, bend[:-1] / 2, (bend[1:] - bend[:-1]) / 6], axis=1)
+
+
+def _centres(size: Column, cell: int) -> Column:
+    return F.greatest(F.lit(4), F.floor(size / cell)).cast("int")
+
+
+def spline_patches(levels: DataFrame, image: list[str], cell: int) -> DataFrame:
+    """image, sy, sx, patch: the 16 coefficients of the tensor-product spline through the cells' levels, by piece.
+
+    A cell without a level has the median of the others. One row of levels an image, as many as it has cells, is all that
+    a task needs; pixels meet the pieces in a join.
+    """
+    grid = levels.groupBy(*image).agg(
+        F.collect_list(F.struct("cy", "cx", "level")).alias("cells"), F.median("level").alias("median"),
+        F.max(_centres(F.col("height"), cell)).alias("ny"), F.max(_centres(F.col("width"), cell)).alias("nx"),
+    )
+
+    @F.pandas_udf("array<struct<sy:int,sx:int,patch:array<double>>>")
+    def solve(cells_: pd.Series, median: pd.Series, ny: pd.Series, nx: pd.Series) -> pd.Series:
+        out = []
+        for own, fill, h, w in zip(cells_, median, ny, nx):
+            g = np.full((int(h), int(w)), float(fill))
+            for c in own:
+                g[c["cy"], c["cx"]] = c["level"]
+            patches = np.einsum("sai,tbj,ij->stab", cubic_pieces(int(h)), cubic_pieces(int(w)), g)
+            out.append([{"sy": i, "sx": j, "patch": p.ravel().tolist()} for i, row in enumerate(patches) for j, p in enumerate(row)])
+        return pd.Series(out)
+
+    return grid.select(*image, F.inline(solve("cells", "median", "ny", "nx")))
+
+
+def splined(pixels: DataFrame, patches: DataFrame, image: list[str], cell: int) -> DataFrame:
+    """pixels with background, the spline at each pixel; beyond the outer centres the value there, 0 without any level.
+
+    An axis too short for its centres to lie apart has the value of its first centre.
+    """
+    edges = pixels.groupBy(*image).agg((F.max("y") + 1).alias("_h"), (F.max("x") + 1).alias("_w"))
+    half = cell // 2
+
+    def at(place: Column, size: Column) -> Column:
+        step = (size - 2 * half) / (_centres(size, cell) - 1)
+        return F.when(step > 0, F.least(F.greatest((place - half) / step, F.lit(0.0)), (_centres(size, cell) - 1).cast("double"))).otherwise(F.lit(0.0))
+
+    own = pixels.join(edges, image).withColumns({"_u": at(F.col("y"), F.col("_h")), "_v": at(F.col("x"), F.col("_w"))})
+    own = own.withColumns({"sy": F.least(F.floor("_u"), _centres(F.col("_h"), cell) - 2).cast("int"), "sx": F.least(F.floor("_v"), _centres(F.col("_w"), cell) - 2).cast("int")})
+    joined = own.join(patches, [*image, "sy", "sx"], "left").withColumns({"_u": F.col("_u") - F.col("sy"), "_v": F.col("_v") - F.col("sx")})
+
+    def powers(c: list[Column], x: str) -> Column:
+        return c[0] + F.col(x) * (c[1] + F.col(x) * (c[2] + F.col(x) * c[3]))
+
+    value = powers([powers([F.col("patch")[4 * i + j] for j in range(4)], "_v") for i in range(4)], "_u")
+    return joined.withColumn("background", F.coalesce(value, F.lit(0.0))).drop("_h", "_w", "_u", "_v", "sy", "sx", "patch")
+
+
 def estimated(
-    pixels: DataFrame, image: list[str], value: str, cell: int = 256, order: int = 2, mask: str | None = None
+    pixels: DataFrame, image: list[str], value: str, cell: int = 256, order: int = 2, mask: str | None = None, model: str = "polynomial"
 ) -> DataFrame:
-    """pixels with background: cells, robust medians, polynomial of order 1 or 2."""
+    """pixels with background: cells, robust medians, and a polynomial of order 1 or 2 or a bicubic spline through them."""
     levels = cell_backgrounds(pixels, image, value, cell, mask=mask)
-    return modelled(pixels, polynomial_fit(levels, image, order), image, order)
+    if model == "spline":
+        return splined(pixels, spline_patches(levels, image, cell), image, cell)
+    if model != "polynomial":
+        raise ValueError(f"unknown model {model}")
+    if order == 1:
+        fit = plane_fit(levels, image).select(*image, F.array("c0", "c1", "c2").alias("coefs"))
+    else:
+        fit = polynomial_fit(levels, image, order)
+    return modelled(pixels, fit, image, order)
 
 
 def without_background(pixels: DataFrame, image: list[str], value: str, mode: str = "subtract") -> DataFrame:

@@ -71,7 +71,7 @@ def processed_luminance(image: DataFrame, keys: list[str], value: str, settings:
     s = (settings or LuminanceSettings()).validate()
     out = image.select(*keys, "y", "x", value)
     if s.subtract_bg:
-        out = background.without_background(background.estimated(out, keys, value, s.bg_cell_size), keys, value)
+        out = background.without_background(background.estimated(out, keys, value, s.bg_cell_size, model=s.bg_model), keys, value)
     if s.reduce_noise:
         mask = stencil.object_mask(out, keys, value)
         out = stencil.background_denoised(out, keys, value, s.noise_method, s.noise_filter_size, mask)

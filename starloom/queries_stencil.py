@@ -247,12 +247,32 @@ def background_polynomial(spark, sf):
     return tidy(bg.estimated(fx.pixels(spark, sf), FRAME, "v", 4).select("frame_id", "y", "x", "background"), 4)
 
 
+#: Halves and thirds of whole numbers lie on the ties of decimal rounding, where two engines' last bits decide: a step aside.
+OFF_TIES = 0.000013
+
+#: Four centres along an axis: the spline is the one cubic through them, written by Lagrange's weights.
+_AXIS = ", ".join(
+    f"({' * '.join(f'({{0}} - {j})' for j in range(4) if j != i)}) / {' * '.join(f'({i} - {j})' for j in range(4) if j != i)} AS w{i}".replace("/ ", "/ (", 1).replace(" AS", ") AS", 1) for i in range(4)
+)
+
+
+@query(
+    "background_spline",
+    f"WITH {LEVELS}, gm AS (SELECT frame_id, median(v) AS m FROM lv GROUP BY 1), gr AS (SELECT gm.frame_id, a.cy, b.cx, coalesce(lv.v, gm.m) AS v FROM gm, range(4) a(cy), range(4) b(cx) LEFT JOIN lv ON lv.frame_id = gm.frame_id AND lv.cy = a.cy AND lv.cx = b.cx), "
+    f"ax AS (SELECT p, {_AXIS.format('u')} FROM (SELECT p, least(greatest((p - 2) / (4 / 3.0::DOUBLE), 0), 3)::DOUBLE AS u FROM range(8) t(p))), wt AS (SELECT p, i, CASE i WHEN 0 THEN w0 WHEN 1 THEN w1 WHEN 2 THEN w2 ELSE w3 END AS w FROM ax, range(4) t(i)) "
+    f"SELECT frame_id, a.p AS y, b.p AS x, {rounded('sum(a.w * b.w * v) + 0.000013::DOUBLE AS background', digits=4)} FROM gr JOIN wt a ON a.i = cy JOIN wt b ON b.i = cx GROUP BY ALL",
+)
+def background_spline(spark, sf):
+    own = bg.estimated(fx.pixels(spark, sf), FRAME, "v", 4, model="spline")
+    return tidy(own.select("frame_id", "y", "x", (F.col("background") + OFF_TIES).alias("background")), 4)
+
+
 _COEFS = (
     "cf AS (SELECT frame_id, (b0 * (a11 * a22 - a12 * a12) - a01 * (b1 * a22 - a12 * b2) + a02 * (b1 * a12 - a11 * b2)) / d AS c0, (a00 * (b1 * a22 - a12 * b2) - b0 * (a01 * a22 - a12 * a02) + a02 * (a01 * b2 - b1 * a02)) / d AS c1, "
     "(a00 * (a11 * b2 - b1 * a12) - a01 * (a01 * b2 - b1 * a02) + b0 * (a01 * a12 - a11 * a02)) / d AS c2 FROM dt), bk AS (SELECT px.frame_id, px.y, px.x, px.v, c0 + c1 * (px.x - 4) / 8 + c2 * (px.y - 4) / 8 AS k FROM px JOIN cf USING (frame_id))"
 )
 _LESS = {
-    "subtract": "v - k - min(v - k) OVER (PARTITION BY frame_id) AS v",
+    "subtract": "v - k - min(v - k) OVER (PARTITION BY frame_id) + 0.000013::DOUBLE AS v",
     "divide": "v / greatest(k, 1) * median(k) OVER (PARTITION BY frame_id) AS v",
 }
 
@@ -261,7 +281,9 @@ for _mode in ("subtract", "divide"):
 
     def _less(spark, sf, mode=_mode):
         own = bg.estimated(fx.pixels(spark, sf), FRAME, "v", 4, 1)
-        return tidy(bg.without_background(own, FRAME, "v", mode).select("frame_id", "y", "x", "v"), 4)
+        out = bg.without_background(own, FRAME, "v", mode)
+        v = F.col("v") + OFF_TIES if mode == "subtract" else F.col("v")
+        return tidy(out.select("frame_id", "y", "x", v.alias("v")), 4)
 
     query(f"background_{_mode}", f"WITH {PLANE}, {_COEFS} SELECT frame_id, y, x, {rounded(_LESS[_mode], digits=4)} FROM bk")(_less)
 
@@ -297,10 +319,13 @@ def aperture_photometry(spark, sf):
     return tidy(co.aperture_fluxes(stars, own, ["session", "frame_id"], 1, 2, 2, least_ring=1))
 
 
-SHIFTED = "mv AS MATERIALIZED (SELECT frame_id, y + (frame_id % 5 - 2) AS y, x + (frame_id % 3 - 1) AS x, v FROM px)"
+# The grid and the moved pixels side by side, so that no join is left to a plan that knows little of the sizes.
+SHIFTED = (
+    "mv AS (SELECT frame_id, y, x, CAST(NULL AS DOUBLE) AS v FROM px UNION ALL SELECT frame_id, y + (frame_id % 5 - 2) AS y, x + (frame_id % 3 - 1) AS x, v FROM px)"
+)
 
 
-@query("integer_shift", f"WITH {fx.PX}, {SHIFTED} SELECT px.frame_id, px.y, px.x, coalesce(mv.v, 0) AS v FROM px LEFT JOIN mv ON px.frame_id = mv.frame_id AND px.y = mv.y AND px.x = mv.x")
+@query("integer_shift", f"WITH {fx.PX}, {SHIFTED} SELECT frame_id, y, x, coalesce(max(v), 0) AS v FROM mv WHERE y BETWEEN 0 AND 7 AND x BETWEEN 0 AND 7 GROUP BY frame_id, y, x")
 def integer_shift(spark, sf):
     return tidy(rg.shifted(fx.pixels(spark, sf), FRAME, ["v"], F.col("frame_id") % 5 - 2, F.col("frame_id") % 3 - 1))
 

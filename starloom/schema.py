@@ -67,6 +67,7 @@ class LuminanceSettings:
 
     subtract_bg: bool = True
     bg_cell_size: int = 64
+    bg_model: str = "polynomial"
     reduce_noise: bool = False
     noise_method: str = "median"
     noise_filter_size: int = 3
@@ -79,6 +80,7 @@ class LuminanceSettings:
 
     def validate(self) -> LuminanceSettings:
         _require(self.bg_cell_size >= 16, "bg_cell_size must be at least 16")
+        _require(self.bg_model in ("polynomial", "spline"), "unknown bg_model")
         _require(self.noise_filter_size >= 1, "noise_filter_size must be at least 1")
         _require(0 < self.asinh_stretch <= 1, "asinh_stretch must be in (0, 1]")
         _require(self.contrast_scale >= 1, "contrast_scale must be at least 1")

@@ -333,3 +333,34 @@ def test_pixels_and_tiles_cover_the_frame(spark):
     pix = to_pixels(own, ["k"], {"v": "data"}).collect()
     assert all(r.v == r.y * 7 + r.x for r in pix) and len(pix) == 35
     assert sorted(v for r in tiles(own, ["k"], "data", 2, 3).collect() for v in r.data) == [float(i) for i in range(35)]
+
+
+@pytest.mark.parametrize("ny, nx, height, width", [(4, 4, 40, 37), (8, 15, 80, 150)])
+def test_spline_background_matches_truncated_powers(spark, ny, nx, height, width):
+    """The same spline as a cubic plus truncated cubes at the inner knots, from a dense system; one cell has no level."""
+    cell, half = 10, 5
+    rng = np.random.default_rng(ny)
+    grid = rng.normal(100, 20, (ny, nx))
+
+    def basis(at, n):
+        return np.stack([at**k for k in range(4)] + [np.maximum(at - i, 0) ** 3 for i in range(2, n - 2)], axis=1)
+
+    def along(size, n):
+        at = np.clip((np.arange(size) - half) / ((size - 2 * half) / (n - 1)), 0, n - 1)
+        return basis(at, n) @ np.linalg.inv(basis(np.arange(n, dtype=float), n))
+
+    rows = [("a", i, j, height, width, float(grid[i, j])) for i in range(ny) for j in range(nx) if (i, j) != (1, 2)]
+    grid[1, 2] = np.median([r[-1] for r in rows])
+    want = along(height, ny) @ grid @ along(width, nx).T
+    levels = spark.createDataFrame(rows, "i string, cy int, cx int, height int, width int, level double")
+    pixels = spark.createDataFrame([(i, y, x) for i in "ab" for y in range(height) for x in range(width)], "i string, y int, x int")
+    got = background.splined(pixels, background.spline_patches(levels, ["i"], cell), ["i"], cell).toPandas().sort_values(["i", "y", "x"])
+    assert np.allclose(got.background[got.i == "a"].to_numpy().reshape(height, width), want) and (got.background[got.i == "b"] == 0).all()
+
+
+def test_spline_background_follows_a_slope_and_spares_masked_stars(spark):
+    rows = [(1, y, x, 50.0 + 2 * y - x + (500.0 if y == x else 0.0), y == x) for y in range(48) for x in range(40)]
+    px = spark.createDataFrame(rows, "i int, y int, x int, v double, m boolean")
+    got = background.estimated(px, ["i"], "v", 16, mask="m", model="spline").where("y between 8 and 39 and x between 8 and 31").toPandas()
+    off = abs(got.background - (50 + 2 * got.y - got.x))  # cells of even size lie half a pixel before their centres
+    assert off.max() < 3, got.loc[off.idxmax()]
