@@ -1,7 +1,8 @@
 """Sessions registered by their stars: transforms, warps with validity masks, and the stacks over them.
 
 A frame stays one row from the sensor to the warped planes: star detection, demosaicing and resampling look at one frame
-each and shuffle nothing but star lists. Warped frames become pixel rows for the clip only.
+each and shuffle nothing but star lists. Warped frames are cut into tiles where they are warped, tiles are dealt out once
+and stacked as arrays; only the pixels of the stack become rows.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import mosaic, tone
-from starloom.operators import colour, quality, register, stack, stencil
-from starloom.operators.pixels import to_arrays, to_pixels
+from starloom.operators import colour, quality, register, stack, stencil, tiles
+from starloom.operators.pixels import computed_once, to_pixels
 from starloom.plans.scratch import cut
 from starloom.schema import StackSettings
 
@@ -140,24 +141,57 @@ def warped_planes(frames: DataFrame, transforms: DataFrame, kind: str = "superpi
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            out: dict[str, list] = {n: [] for n in ("height", "width", *names, "mask")}
-            for a, h, w, inverse in zip(p["data"], p["height"], p["width"], p["_inverse"]):
-                planes = separated(np.asarray(a, float).reshape(int(h), int(w)), kind)
-                v, u = register.source_places(planes[0].shape, np.stack(inverse))
-                for n, plane in zip(names, planes):
-                    out[n].append((register.bilinear_at if order == 1 else register.spline_at(order))(plane, v, u).ravel())
-                near = np.rint(v), np.rint(u)
-                inside = (near[0] >= 0) & (near[0] < planes[0].shape[0]) & (near[1] >= 0) & (near[1] < planes[0].shape[1])
-                out["mask"].append(inside.astype(float).ravel())
-                out["height"].append(planes[0].shape[0])
-                out["width"].append(planes[0].shape[1])
-            yield p[KEYS].assign(**out)
+            rows = [warped_frame(*x, kind, order) for x in zip(p["data"], p["height"], p["width"], p["_inverse"])]
+            shapes = [r[0].shape for r in rows]
+            out = {"height": [h for h, _ in shapes], "width": [w for _, w in shapes]}
+            yield p[KEYS].assign(**out, **{n: [r[i].ravel() for r in rows] for i, n in enumerate((*names, "mask"))})
 
     keys = ", ".join(f"{c} {t}" for c, t in src.dtypes if c in KEYS)
     arrays = ", ".join(f"{n} array<double>" for n in (*names, "mask"))
     return src.mapInPandas(run, f"{keys}, height int, width int, {arrays}")
 
 
+def warped_frame(data: np.ndarray, height: int, width: int, inverse: np.ndarray, kind: str, order: int) -> list[np.ndarray]:
+    """The planes of one frame on the reference's places, and the mask of those whose nearest source pixel lies within."""
+    planes = separated(np.asarray(data, float).reshape(int(height), int(width)), kind)
+    v, u = register.source_places(planes[0].shape, np.stack(inverse))
+    out = [(register.bilinear_at if order == 1 else register.spline_at(order))(p, v, u) for p in planes]
+    y, x = np.rint(v), np.rint(u)
+    inside = (y >= 0) & (y < planes[0].shape[0]) & (x >= 0) & (x < planes[0].shape[1])
+    return [*out, inside.astype(float)]
+
+
+def warped_tiles(
+    frames: DataFrame, transforms: DataFrame, kind: str = "superpixel", order: int = 1, half: bool = True, tile_bytes: int = 64 << 20
+) -> DataFrame:
+    """session, frame_id, width, span, tile, the planes and mask of the tiles of warped_planes, cut in the same task.
+
+    The length of a tile follows from the session's number of successful transforms; no frame is warped to count them.
+    """
+    names, small = planes_of(kind)
+    matrix = F.col("matrix") if small == half else register.scaled_transform(F.col("matrix"), 2.0 if half else 0.5)
+    good = transforms.where("success")
+    n = good.groupBy(*SESSION).agg(F.count(F.lit(1)).alias("_n"))
+    good = good.select(*KEYS, register.affine_inverse(matrix).alias("_inverse"))
+    src = frames.select(*KEYS, "height", "width", "data").join(good, KEYS)
+    src = src.join(n.select(*SESSION, tiles.span_of(F.col("_n"), len(names) + 1, tile_bytes).alias("span")), SESSION)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for i in range(len(p)):
+                row = p.iloc[i]
+                arrays = warped_frame(row["data"], row["height"], row["width"], row["_inverse"], kind, order)
+                flat = [a.ravel() for a in arrays]
+                starts = tiles.starts_of(len(flat[0]), int(row["span"]))
+                cut = {m: [a[s:e] for s, e in zip(starts, starts[1:])] for m, a in zip((*names, "mask"), flat)}
+                own = {k: row[k] for k in KEYS} | {"width": arrays[0].shape[1], "span": row["span"]}
+                yield pd.DataFrame({k: [x] * (len(starts) - 1) for k, x in own.items()} | {"tile": range(len(starts) - 1)} | cut)
+
+    keys = ", ".join(f"{c} {t}" for c, t in src.dtypes if c in KEYS)
+    arrays = ", ".join(f"{m} array<double>" for m in (*names, "mask"))
+    return src.mapInPandas(run, f"{keys}, width int, span int, tile int, {arrays}")
+
+
 def warped_pixels(planes: DataFrame, names: list[str]) -> DataFrame:
     """session, frame_id, y, x, the planes' values and w, the mask, as pixel rows."""
     return to_pixels(planes, KEYS, {**{n: n for n in names}, "w": "mask"}).drop("pos")
@@ -165,8 +199,9 @@ def warped_pixels(planes: DataFrame, names: list[str]) -> DataFrame:
 
 def rgb_stack(frames: DataFrame, transforms: DataFrame, kind: str = "superpixel", sigma: float = 3.0, rounds: int = 5) -> DataFrame:
     """session, y, x, r, g, b, coverage: demosaiced, warped with masks, and clipped where the masks are valid."""
-    px = warped_pixels(warped_planes(frames, transforms, kind), ["r", "g", "b"])
-    return stack.mask_aware_clip(px, [*SESSION, "y", "x"], ["r", "g", "b"], "w", sigma, rounds)
+    cut = warped_tiles(frames, transforms, kind)
+    got = tiles.stacked_tiles(cut, SESSION, "frame_id", ["r", "g", "b"], tiles.masked_clip_mean(sigma, rounds), ["r", "g", "b", "coverage"], "mask")
+    return tiles.tile_pixels(got, SESSION, {"r": "double", "g": "double", "b": "double", "coverage": "long"})
 
 
 def plane_stack(
@@ -178,9 +213,13 @@ def plane_stack(
     coverage are 0; the mosaic of the stacked planes is demosaiced and its chroma cleaned by 3 x 3 medians.
     """
     names = ["r", "g1", "g2", "b"]
-    px = warped_pixels(warped_planes(frames, transforms, "planes", order), names).join(references, SESSION)
-    got = stack.two_pass_clip(px, [*SESSION, "y", "x"], names, "w", sigma, strict=True, always=F.col("frame_id") == F.col("reference"))
-    half = to_arrays(stack.covered_only(got, SESSION, names, coverage), SESSION, names)
+    cut = warped_tiles(frames, transforms, "planes", order).join(references, SESSION).withColumn("_always", F.col("frame_id") == F.col("reference"))
+    got = tiles.stacked_tiles(cut, SESSION, "frame_id", names, tiles.two_pass(sigma, strict=True), [*names, "coverage"], "mask", "_always")
+    half = tiles.tile_images(got, SESSION, [*names, "coverage"])
+    least = F.floor(coverage * F.array_max("coverage"))
+    half = half.withColumn("_least", least)
+    covered = [F.zip_with(n, "coverage", lambda v, c: F.when(c < F.col("_least"), F.lit(0.0)).otherwise(v)).alias(n) for n in names]
+    half = computed_once(half.select(*SESSION, "height", "width", *covered), *names)
     full = half.select(*SESSION, "height", "width", mosaic.from_planes(*[F.col(n) for n in names], F.col("height"), F.col("width")).alias("v"))
     full = full.select(*SESSION, (F.col("height") * 2).alias("height"), (F.col("width") * 2).alias("width"), "v")
     rgb = full.select(*SESSION, "width", *[mosaic.bilinear(F.col("v"), F.col("height"), F.col("width"), c).alias(c) for c in "rgb"])
@@ -190,14 +229,16 @@ def plane_stack(
 
 def full_resolution_stack(frames: DataFrame, transforms: DataFrame, sigma: float = 3.0) -> DataFrame:
     """session, y, x, r, g, b, coverage: bilinear demosaic, transforms doubled, two passes over all frames alike."""
-    px = warped_pixels(warped_planes(frames, transforms, "bilinear"), ["r", "g", "b"])
-    return stack.two_pass_clip(px, [*SESSION, "y", "x"], ["r", "g", "b"], "w", sigma)
+    cut = warped_tiles(frames, transforms, "bilinear")
+    got = tiles.stacked_tiles(cut, SESSION, "frame_id", ["r", "g", "b"], tiles.two_pass(sigma), ["r", "g", "b", "coverage"], "mask")
+    return tiles.tile_pixels(got, SESSION, {"r": "double", "g": "double", "b": "double", "coverage": "long"})
 
 
 def bayer_stack(frames: DataFrame, transforms: DataFrame, sigma: float = 3.0, rounds: int = 5) -> DataFrame:
     """session, y, x, v, n, n_kept: raw mosaics warped by the doubled half-size transforms (mixing colours) and clipped."""
-    px = warped_pixels(warped_planes(frames, transforms, "mosaic"), ["v"])
-    return stack.sigma_clip_mean(px, [*SESSION, "y", "x"], ["v"], sigma, rounds)
+    cut = warped_tiles(frames, transforms, "mosaic")
+    got = tiles.stacked_tiles(cut, SESSION, "frame_id", ["v"], tiles.clip_mean(sigma, rounds), ["v", "n", "n_kept"])
+    return tiles.tile_pixels(got, SESSION, {"v": "double", "n": "long", "n_kept": "long"})
 
 
 def auto_valid(pixels: DataFrame, image: list[str], threshold: float = 0.01) -> DataFrame:
@@ -250,8 +291,9 @@ def aligned_session(frames: DataFrame, settings: StackSettings | None = None) ->
         raise ValueError(f"unknown alignment {s.align}")
     transforms = within_failures(transforms, s.max_align_fail)
     if mono:
-        px = warped_pixels(warped_planes(own, transforms, "mono", half=False), ["v"])
-        master = stack.mask_aware_clip(px, [*SESSION, "y", "x"], ["v"], "w", s.sigma, s.maxiters)
+        px = warped_tiles(own, transforms, "mono", half=False)
+        got = tiles.stacked_tiles(px, SESSION, "frame_id", ["v"], tiles.masked_clip_mean(s.sigma, s.maxiters), ["v", "coverage"], "mask")
+        master = tiles.tile_pixels(got, SESSION, {"v": "double", "coverage": "long"})
     elif s.debayer == "planes":
         master = plane_stack(own, transforms, references, s.sigma)
     else:

@@ -21,6 +21,11 @@ def shifts(spark, sf):
     return fx.names(spark, sf).select("session", "frame_id", (n % 11 != 0).alias("success"), rows.alias("matrix"))
 
 
+def off_ties(df, names):
+    """Halves of whole numbers lie on the ties of decimal rounding, where the order of a sum decides: a step aside, as in the SQL."""
+    return df.withColumns({c: F.col(c) + 0.000013 for c in names})
+
+
 def references(spark, sf):
     return shifts(spark, sf).where("success").groupBy("session").agg(F.min("frame_id").alias("reference"))
 
@@ -57,28 +62,28 @@ def aligned_frames(spark, sf):
 @query(
     "aligned_rgb_stack",
     f"WITH {SUPER}, {clip_sql('wp', 'session, y, x', ['r', 'g', 'b'], 3, 5, 'mean', 'w > 0.5')} SELECT session::BIGINT AS session, y::BIGINT AS y, x::BIGINT AS x, "
-    f"{rounded(*[MEAN.format(v=c) for c in 'rgb'], digits=4)}, count(r) AS coverage FROM c5 GROUP BY ALL",
+    f"{rounded(*[MEAN.format(v=c).replace(' END', ' END + 0.000013::DOUBLE') for c in 'rgb'], digits=4)}, count(r) AS coverage FROM c5 GROUP BY ALL",
 )
 def aligned_rgb_stack(spark, sf):
-    return tidy(al.rgb_stack(fx.frames(spark, sf), shifts(spark, sf)), 4)
+    return tidy(off_ties(al.rgb_stack(fx.frames(spark, sf), shifts(spark, sf)), "rgb"), 4)
 
 
 @query(
     "aligned_full_stack",
     f"WITH {FULL}, {two_pass_sql('wp', ['r', 'g', 'b'], 'w > 0.5', 'abs({v} - m_{v}) <= 3 * s_{v} + 1e-6')} SELECT session::BIGINT AS session, y::BIGINT AS y, x::BIGINT AS x, "
-    f"{rounded('r', 'g', 'b', digits=4)}, coverage FROM res",
+    f"{rounded(*[f'{c} + 0.000013::DOUBLE AS {c}' for c in 'rgb'], digits=4)}, coverage FROM res",
 )
 def aligned_full_stack(spark, sf):
-    return tidy(al.full_resolution_stack(fx.frames(spark, sf), shifts(spark, sf)), 4)
+    return tidy(off_ties(al.full_resolution_stack(fx.frames(spark, sf), shifts(spark, sf)), "rgb"), 4)
 
 
 @query(
     "aligned_mosaic_stack",
     f"WITH {fx.PX}, one AS MATERIALIZED (SELECT session, frame_id, y, x, v FROM px), {warp_sql('one', ['v'], 8, 2)}, {clip_sql('wp', 'session, y, x', ['v'], 3, 5, 'median')} "
-    f"SELECT session::BIGINT AS session, y::BIGINT AS y, x::BIGINT AS x, {rounded('avg(v) AS v', digits=4)}, count(*) AS n, count(v) AS n_kept FROM c5 GROUP BY ALL",
+    f"SELECT session::BIGINT AS session, y::BIGINT AS y, x::BIGINT AS x, {rounded('avg(v) + 0.000013::DOUBLE AS v', digits=4)}, count(*) AS n, count(v) AS n_kept FROM c5 GROUP BY ALL",
 )
 def aligned_mosaic_stack(spark, sf):
-    return tidy(al.bayer_stack(fx.frames(spark, sf), shifts(spark, sf)), 4)
+    return tidy(off_ties(al.bayer_stack(fx.frames(spark, sf), shifts(spark, sf)), "v"), 4)
 
 
 _PLANE_NAMES = ["r", "g1", "g2", "b"]
@@ -95,10 +100,10 @@ _MOSAIC = (
     f"{two_pass_sql('wr', _PLANE_NAMES, 'w > 0.5', 'abs({v} - m_{v}) / (s_{v} + 1e-10) < 3', 'frame_id = reference')}, "
     "top AS (SELECT *, floor(0.5 * max(coverage) OVER (PARTITION BY session)) AS least FROM res), "
     f"cov AS (SELECT session, y, x, {', '.join(f'CASE WHEN coverage < least THEN 0 ELSE {c} END AS {c}' for c in _PLANE_NAMES)} FROM top), {_MOSAIC}, "
-    f"{fx.bilinear_sql('mos', 'session', 'full_')} SELECT session::BIGINT AS session, y::BIGINT AS y, x::BIGINT AS x, {rounded('r', 'g', 'b', digits=4)} FROM full_",
+    f"{fx.bilinear_sql('mos', 'session', 'full_')} SELECT session::BIGINT AS session, y::BIGINT AS y, x::BIGINT AS x, {rounded(*[f'{c} + 0.000013::DOUBLE AS {c}' for c in 'rgb'], digits=4)} FROM full_",
 )
 def aligned_plane_stack(spark, sf):
-    return tidy(al.plane_stack(fx.frames(spark, sf), shifts(spark, sf), references(spark, sf), order=1, cleanup=False), 4)
+    return tidy(off_ties(al.plane_stack(fx.frames(spark, sf), shifts(spark, sf), references(spark, sf), order=1, cleanup=False), "rgb"), 4)
 
 
 @query("aligned_by_settings")

@@ -7,9 +7,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from starloom import fixtures as fx
+from starloom import queries_align as qa
 from starloom.functions.tone import palette_names
-from starloom.operators import background, colour, register
+from starloom.operators import background, colour, register, stack, tiles
+from starloom.operators.pixels import to_pixels
 from starloom.plans import align, report
+from starloom.plans.align import KEYS, SESSION
 from starloom.schema import StackSettings
 from starloom.sources import session_files
 
@@ -245,3 +249,46 @@ def test_all_reports_are_written(spark, tmp_path):
 def test_palette_names():
     got = palette_names(("viridis", "cool"))
     assert got == sorted(set(got)) and "viridis" in got and len(got) == len(palette_names()) + 1
+
+
+@pytest.mark.parametrize("tile_bytes", [1, 4000, 64 << 20])
+def test_tiles_stack_as_pixel_rows_do(spark, tile_bytes):
+    """Every reduction over tiles of one place, of some, and of whole frames, against the operators over pixel rows."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for s in ("a", "b"):
+        for i in range(13 if s == "a" else 5):
+            v, g = rng.normal(100, 5, (2, 42))
+            v[rng.random(42) < 0.1] += 500
+            g[rng.random(42) < 0.1] -= 300
+            w = rng.choice([0.0, 0.3, 0.7, 1.0], 42)
+            rows.append((s, i, 6, 7, [None if x < 92 else float(x) for x in v], g.tolist(), w.tolist()))
+    rows.append(("c", 0, 6, 7, [1.0] * 42, [2.0] * 42, [0.0] * 42))
+    frames = spark.createDataFrame(rows, "session string, frame_id int, height int, width int, v array<double>, g array<double>, w array<double>")
+    px = to_pixels(frames, KEYS, {"v": "v", "g": "g", "w": "w"}).cache()
+    own = tiles.with_span(frames, SESSION, 3, tile_bytes).withColumn("always", F.col("frame_id") == 2)
+    cut = tiles.in_tiles(own, [*KEYS, "width", "span", "always"], ["v", "g", "w"])
+    at = [*SESSION, "y", "x"]
+
+    def same(reduction, results, plain, weight=None, always=None):
+        got = tiles.tile_pixels(tiles.stacked_tiles(cut, SESSION, "frame_id", ["v", "g"], reduction, list(results), weight, always), SESSION, results)
+        got, want = (d.select(*at, *results).toPandas().sort_values(at).reset_index(drop=True) for d in (got, plain))
+        assert len(got) == 3 * 42
+        for c in results:
+            assert np.allclose(got[c].astype(float), want[c].astype(float), equal_nan=True), c
+
+    means = {"v": "double", "g": "double"}
+    for centre in ("median", "mean"):
+        same(tiles.clip_mean(2.0, 5, centre), means | {"n": "long", "n_kept": "long"}, stack.sigma_clip_mean(px, at, ["v", "g"], 2.0, 5, centre))
+    same(tiles.masked_clip_mean(2.0, 4), means | {"coverage": "long"}, stack.mask_aware_clip(px, at, ["v", "g"], "w", 2.0, 4), "w")
+    filled = px.na.fill(0.0)
+    cut = tiles.in_tiles(own.withColumn("v", F.transform("v", lambda x: F.coalesce(x, F.lit(0.0)))), [*KEYS, "width", "span", "always"], ["v", "g", "w"])
+    same(tiles.two_pass(1.5), means | {"coverage": "long"}, stack.two_pass_clip(filled, at, ["v", "g"], "w", 1.5), "w")
+    same(tiles.two_pass(1.2, strict=True), means | {"coverage": "long"}, stack.two_pass_clip(filled, at, ["v", "g"], "w", 1.2, strict=True, always=F.col("frame_id") == 2), "w", "always")
+
+
+def test_tiled_plans_make_no_pixel_rows_of_frames(spark, data):
+    """The only generator in the plan stands above the stack; each frame is warped once."""
+    plan = align.full_resolution_stack(fx.frames(spark, data), qa.shifts(spark, data))._jdf.queryExecution().executedPlan().toString()
+    before, after = plan.split("FlatMapGroupsInArrow")[0], plan.split("FlatMapGroupsInArrow")[1]
+    assert before.count("Generate") == 1 and "posexplode" not in after and plan.count("MapInPandas") == 1
