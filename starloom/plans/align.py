@@ -7,7 +7,7 @@ and stacked as arrays; only the pixels of the stack become rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -66,12 +66,16 @@ def stars_of(image: np.ndarray, sigma: float, least: int) -> list[tuple[float, f
     return sorted(((float(f), float(v), float(u)) for f, v, u, n in zip(flux, rows, columns, size) if n >= least), reverse=True)
 
 
-def star_lists(frames: DataFrame, sigma: float = 5.0, least: int = 4, method: str | None = "superpixel") -> DataFrame:
+def star_lists(
+    frames: DataFrame, sigma: float = 5.0, least: int = 4, method: str | Callable[[np.ndarray], np.ndarray] | None = "superpixel"
+) -> DataFrame:
     """session, frame_id, n_stars, stars of every frame; method makes luminance of mosaics first, None takes data as it is.
 
-    A frame without data, or flat, has no stars. Places are those of the (half-size) luminance.
+    method may be a function of a frame's 2-D array, which runs in the task that looks for the stars. A frame without
+    data, or flat, has no stars. Places are those of the luminance (half-size for the named methods).
     """
-    half = method is not None
+    own_luma = method if callable(method) else None
+    half = method is not None and own_luma is None
     luma = mosaic.luminance(F.col("data"), F.col("height"), F.col("width"), method) if half else F.col("data")
     h, w = ((F.floor(F.col(c) / 2) if half else F.col(c)).cast("int").alias(c) for c in ("height", "width"))
     # the sizes get their new names in a step of their own: a lambda would take them for those of the mosaic
@@ -79,7 +83,8 @@ def star_lists(frames: DataFrame, sigma: float = 5.0, least: int = 4, method: st
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            own = [[] if a is None else stars_of(np.asarray(a, float).reshape(int(h), int(w)), sigma, least) for a, h, w in zip(p["luma"], p["height"], p["width"])]
+            images = [None if a is None else np.asarray(a, float).reshape(int(h), int(w)) for a, h, w in zip(p["luma"], p["height"], p["width"])]
+            own = [[] if i is None else stars_of(i if own_luma is None else own_luma(i), sigma, least) for i in images]
             yield p[KEYS].assign(n_stars=[len(s) for s in own], stars=[[dict(zip(("flux", "y", "x"), s)) for s in every] for every in own])
 
     keys = ", ".join(f"{c} {t}" for c, t in src.dtypes if c in KEYS)
@@ -108,16 +113,33 @@ def within_failures(transforms: DataFrame, most: int) -> DataFrame:
     return transforms.join(runs.where("aborted_at is null").select(*SESSION), SESSION, "left_semi")
 
 
-def planes_of(kind: str) -> tuple[list[str], bool]:
+@dataclass(frozen=True)
+class Planes:
+    """An own way from a frame's mosaic to planes: names, whether they are half-size, and a function of its 2-D array."""
+
+    names: tuple[str, ...]
+    half: bool
+    of: Callable[[np.ndarray], Sequence[np.ndarray]]
+
+
+def planes_of(kind: str | Planes) -> tuple[list[str], bool]:
     """Names of the warped planes and whether they are half-size."""
+    if isinstance(kind, Planes):
+        return list(kind.names), kind.half
     kinds = {"superpixel": (["r", "g", "b"], True), "planes": (["r", "g1", "g2", "b"], True), "bilinear": (["r", "g", "b"], False), "mosaic": (["v"], False), "mono": (["v"], False)}
     if kind not in kinds:
         raise ValueError(f"unknown kind of planes {kind}")
     return kinds[kind]
 
 
-def separated(image: np.ndarray, kind: str) -> list[np.ndarray]:
-    """The planes of a mosaic: half-size superpixels, half-size sensor planes, full-size colours, or the mosaic itself."""
+def separated(image: np.ndarray, kind: str | Planes) -> list[np.ndarray]:
+    """The planes of a mosaic: half-size superpixels, half-size sensor planes, full-size colours, the mosaic itself, or own ones."""
+    if isinstance(kind, Planes):
+        planes = [np.asarray(p, float) for p in kind.of(image)]
+        size = tuple(n // 2 for n in image.shape) if kind.half else image.shape
+        if len(planes) != len(kind.names) or any(p.shape != size for p in planes):
+            raise ValueError(f"{len(kind.names)} planes of {size} were announced, {[p.shape for p in planes]} came")
+        return planes
     if kind in ("mosaic", "mono"):
         return [image]
     if kind == "bilinear":
@@ -127,7 +149,7 @@ def separated(image: np.ndarray, kind: str) -> list[np.ndarray]:
     return [r, (g1 + g2) / 2, b] if kind == "superpixel" else [r, g1, g2, b]
 
 
-def warped_planes(frames: DataFrame, transforms: DataFrame, kind: str = "superpixel", order: int = 1, half: bool = True) -> DataFrame:
+def warped_planes(frames: DataFrame, transforms: DataFrame, kind: str | Planes = "superpixel", order: int = 1, half: bool = True) -> DataFrame:
     """session, frame_id, height, width, the planes and mask of the frames that have a successful transform.
 
     Matrices take (x, y) of a frame to the reference's; half tells that they are in half-size pixels, so that full-size
@@ -151,7 +173,7 @@ def warped_planes(frames: DataFrame, transforms: DataFrame, kind: str = "superpi
     return src.mapInPandas(run, f"{keys}, height int, width int, {arrays}")
 
 
-def warped_frame(data: np.ndarray, height: int, width: int, inverse: np.ndarray, kind: str, order: int) -> list[np.ndarray]:
+def warped_frame(data: np.ndarray, height: int, width: int, inverse: np.ndarray, kind: str | Planes, order: int) -> list[np.ndarray]:
     """The planes of one frame on the reference's places, and the mask of those whose nearest source pixel lies within."""
     planes = separated(np.asarray(data, float).reshape(int(height), int(width)), kind)
     v, u = register.source_places(planes[0].shape, np.stack(inverse))
@@ -162,7 +184,7 @@ def warped_frame(data: np.ndarray, height: int, width: int, inverse: np.ndarray,
 
 
 def warped_tiles(
-    frames: DataFrame, transforms: DataFrame, kind: str = "superpixel", order: int = 1, half: bool = True, tile_bytes: int = 64 << 20
+    frames: DataFrame, transforms: DataFrame, kind: str | Planes = "superpixel", order: int = 1, half: bool = True, tile_bytes: int = 64 << 20
 ) -> DataFrame:
     """session, frame_id, width, span, tile, the planes and mask of the tiles of warped_planes, cut in the same task.
 
@@ -197,11 +219,12 @@ def warped_pixels(planes: DataFrame, names: list[str]) -> DataFrame:
     return to_pixels(planes, KEYS, {**{n: n for n in names}, "w": "mask"}).drop("pos")
 
 
-def rgb_stack(frames: DataFrame, transforms: DataFrame, kind: str = "superpixel", sigma: float = 3.0, rounds: int = 5) -> DataFrame:
-    """session, y, x, r, g, b, coverage: demosaiced, warped with masks, and clipped where the masks are valid."""
+def rgb_stack(frames: DataFrame, transforms: DataFrame, kind: str | Planes = "superpixel", sigma: float = 3.0, rounds: int = 5) -> DataFrame:
+    """session, y, x, the planes (r, g, b of the named kinds), coverage: demosaiced, warped with masks, clipped where they are valid."""
+    names = planes_of(kind)[0]
     cut = warped_tiles(frames, transforms, kind)
-    got = tiles.stacked_tiles(cut, SESSION, "frame_id", ["r", "g", "b"], tiles.masked_clip_mean(sigma, rounds), ["r", "g", "b", "coverage"], "mask")
-    return tiles.tile_pixels(got, SESSION, {"r": "double", "g": "double", "b": "double", "coverage": "long"})
+    got = tiles.stacked_tiles(cut, SESSION, "frame_id", names, tiles.masked_clip_mean(sigma, rounds), [*names, "coverage"], "mask")
+    return tiles.tile_pixels(got, SESSION, dict.fromkeys(names, "double") | {"coverage": "long"})
 
 
 def plane_stack(

@@ -1,8 +1,9 @@
-"""PNG and TIFF of display images as binary columns, and files from binary columns."""
+"""PNG and TIFF of display images as binary columns, and files from binary columns; decoders are in pictures_read."""
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -26,25 +27,6 @@ def png(image: np.ndarray) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")
 
 
-def unfiltered_png(raw: bytes) -> np.ndarray:
-    """The pixels of an 8-bit gray or RGB PNG whose rows use filter 0."""
-    at, body, size = 8, b"", (0, 0, 0)
-    while at < len(raw):
-        n, kind = struct.unpack(">I4s", raw[at : at + 8])
-        if kind == b"IHDR":
-            w, h, depth, colour = struct.unpack(">IIBB", raw[at + 8 : at + 18])
-            if depth != 8 or colour not in (0, 2):
-                raise ValueError("only 8-bit gray and RGB")
-            size = (h, w, 3 if colour == 2 else 1)
-        elif kind == b"IDAT":
-            body += raw[at + 8 : at + 8 + n]
-        at += 12 + n
-    rows = np.frombuffer(zlib.decompress(body), np.uint8).reshape(size[0], -1)
-    if rows[:, 0].any():
-        raise ValueError("only rows without a filter")
-    return rows[:, 1:].reshape(size).squeeze()
-
-
 def tiff(image: np.ndarray) -> bytes:
     """16-bit little-endian gray or RGB in one strip."""
     h, w = image.shape[:2]
@@ -80,8 +62,9 @@ def encoded(images: DataFrame, keys: list[str], channels: list[str], kind: str =
 def write_files(contents: DataFrame, folder: str, name: Column) -> int:
     """Write each row's content to folder/name in the task that holds the row; returns the number of files.
 
-    folder is a path or an address that pyarrow's file systems know, in a place that all nodes share. A retried task
-    overwrites its own files only.
+    folder is a path or an address that pyarrow's file systems know, in a place that all nodes share. A file is written
+    under a name of the attempt's own and renamed when it is whole, so a task that fails leaves no half file under its
+    name, and one that runs twice gives the same file.
     """
     address = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
 
@@ -90,8 +73,16 @@ def write_files(contents: DataFrame, folder: str, name: Column) -> int:
         target.create_dir(root)
         for b in batches:
             for n, content in zip(b.column(0).to_pylist(), b.column(1)):
-                with target.open_output_stream(f"{root}/{n}") as out:
-                    out.write(content.as_buffer())
+                folder_of, _, last = f"{root}/{n}".rpartition("/")
+                own = f"{folder_of}/._{uuid.uuid4().hex}-{last}"
+                target.create_dir(folder_of)
+                try:
+                    with target.open_output_stream(own) as out:
+                        out.write(content.as_buffer())
+                    target.move(own, f"{root}/{n}")
+                finally:
+                    if target.get_file_info(own).type == fs.FileType.File:
+                        target.delete_file(own)
             yield pa.RecordBatch.from_arrays([pa.array([len(b)], pa.int64())], ["n"])
 
     rows = contents.select(name.alias("name"), "content").mapInArrow(write, "n long")

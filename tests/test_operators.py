@@ -12,7 +12,7 @@ from starloom.operators import background, colour, frames, register, stack, sten
 from starloom.operators.pixels import tiles, to_pixels
 from starloom.plans import cache, session
 from starloom.schema import LuminanceSettings, StackSettings
-from starloom.sources import fits, pictures
+from starloom.sources import fits, pictures, pictures_read
 
 IMAGE = ["i"]
 
@@ -252,9 +252,9 @@ def test_fits_roundtrip(spark, tmp_path):
 def test_pictures(spark):
     images = spark.createDataFrame([(0, 2, 2, [0.0, 0.5, 1.0, 2.0], [1.0] * 4, [0.0] * 4)], "i int, height int, width int, r array<double>, g array<double>, b array<double>")
     got = pictures.encoded(images, ["i"], ["r", "g", "b"]).first().content
-    assert pictures.unfiltered_png(bytes(got))[..., 0].tolist() == [[0, 127], [255, 255]]
+    assert pictures_read.read_png(bytes(got))[0][..., 0].tolist() == [[0, 127], [255, 255]]
     gray = pictures.encoded(images, ["i"], ["r"]).first().content
-    assert pictures.unfiltered_png(bytes(gray)).tolist() == [[0, 127], [255, 255]]
+    assert pictures_read.read_png(bytes(gray))[0][..., 0].tolist() == [[0, 127], [255, 255]]
     raw = bytes(pictures.encoded(images, ["i"], ["r"], "tiff").first().content)
     assert raw[:4] == b"II*\0" and np.frombuffer(raw[8:16], "<u2").tolist() == [0, 32767, 65535, 65535]
 

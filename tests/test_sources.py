@@ -1,12 +1,14 @@
 """The FITS data source and the picture decoders: byte ranges, tiles, failed tasks, files of every kind."""
 
 import os
+import struct
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.sources import fits_source
+from starloom.sources import fits_source, pictures, pictures_read
 from starloom.sources.fits import unit
 
 
@@ -115,3 +117,225 @@ def test_what_is_no_fits_file_gives_an_error_row(spark, fits_format, tmp_path):
     assert all(got[n] for n in ("cut.fits", "none.fits", "empty.fits"))
     heads = {r.name: r.error for r in spark.read.format(fits_format).option("what", "headers").load(str(tmp_path)).collect()}
     assert heads["cut.fits"] is None and heads["good.fits"] is None
+
+
+# ---- pictures
+
+
+def chunk(kind, body):
+    return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+
+def filtered_png(image, depth, colour, filters, palette=None):
+    """A PNG of (height, width, channels) whose rows use the filters in turn, byte by byte as the format says."""
+    h, w, c = image.shape
+    if depth == 16:
+        rows = image.astype(">u2").reshape(h, -1).view(np.uint8).reshape(h, -1)
+    elif depth == 8:
+        rows = image.astype(np.uint8).reshape(h, -1)
+    else:
+        bits = (image.reshape(h, -1, 1) >> np.arange(depth - 1, -1, -1)) & 1
+        rows = np.packbits(bits.reshape(h, -1).astype(np.uint8), axis=1)
+    step, raw = max(1, c * depth // 8), b""
+    for y in range(h):
+        f = filters[y % len(filters)]
+        line = bytearray([f])
+        for x in range(rows.shape[1]):
+            a = int(rows[y, x - step]) if x >= step else 0
+            b = int(rows[y - 1, x]) if y else 0
+            d = int(rows[y - 1, x - step]) if y and x >= step else 0
+            p = a + b - d
+            near = min((abs(p - a), 0, a), (abs(p - b), 1, b), (abs(p - d), 2, d))[2]
+            line.append((int(rows[y, x]) - [0, a, b, (a + b) // 2, near][f]) % 256)
+        raw += bytes(line)
+    packed = zlib.compress(raw)
+    head = chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, depth, colour, 0, 0, 0))
+    lut = chunk(b"PLTE", palette.astype(np.uint8).tobytes()) if palette is not None else b""
+    return b"\x89PNG\r\n\x1a\n" + head + lut + chunk(b"IDAT", packed[:9]) + chunk(b"IDAT", packed[9:]) + chunk(b"IEND", b"")
+
+
+@pytest.mark.parametrize("filters", [[0], [1], [2], [3], [4], [4, 3, 2, 1, 0, 3]])
+@pytest.mark.parametrize("depth, colour, channels", [(8, 0, 1), (8, 2, 3), (8, 4, 2), (8, 6, 4), (16, 0, 1), (16, 2, 3), (16, 6, 4), (1, 0, 1), (2, 0, 1), (4, 0, 1)])
+def test_png_of_every_filter_and_depth(filters, depth, colour, channels):
+    image = np.random.default_rng(depth + colour).integers(0, 1 << depth, (9, 13, channels))
+    got, bits = pictures_read.read_png(filtered_png(image, depth, colour, filters))
+    assert bits == depth and np.array_equal(got, image)
+
+
+@pytest.mark.parametrize("depth", [1, 2, 4, 8])
+def test_png_of_palettes(depth):
+    rng = np.random.default_rng(depth)
+    palette, image = rng.integers(0, 256, (1 << depth, 3)), rng.integers(0, 1 << depth, (7, 11, 1))
+    assert np.array_equal(pictures_read.read_png(filtered_png(image, depth, 3, [4, 1], palette))[0], palette[image[:, :, 0]])
+    with pytest.raises(ValueError, match="palette"):
+        pictures_read.read_png(filtered_png(np.full((2, 2, 1), (1 << depth) - 1), depth, 3, [0], palette[:-1]))
+
+
+def packed_lzw(raw):
+    """LZW with codes of growing width, cleared when the table is full."""
+    table, size, word, bits, n = {bytes([i]): i for i in range(256)}, 9, b"", 256, 9
+    following = 258
+
+    def put(code, width):
+        nonlocal bits, n
+        bits, n = bits << width | code, n + width
+
+    for byte in raw:
+        own = word + bytes([byte])
+        if own in table:
+            word = own
+            continue
+        put(table[word], size)
+        table[own] = following
+        following += 1
+        if following == 4095:
+            put(256, size)
+            table, size, following = {bytes([i]): i for i in range(256)}, 9, 258
+        elif following in (512, 1024, 2048):
+            size += 1
+        word = bytes([byte])
+    if word:
+        put(table[word], size)
+        following += 1
+        size += following in (512, 1024, 2048)
+    put(257, size)
+    return (bits << -n % 8).to_bytes(-(-n // 8), "big")
+
+
+def packed_bits(raw):
+    out = b""
+    for i in range(0, len(raw), 100):
+        part = raw[i : i + 100]
+        out += bytes([257 - len(part)]) + part[:1] if len(part) > 1 and len(set(part)) == 1 else bytes([len(part) - 1]) + part
+    return out
+
+
+def made_tiff(image, order="<", packing=1, predictor=1, tile=None, rows=4, planar=1, white=False):
+    """A TIFF of (height, width, channels) in strips of some rows, or tiles."""
+    h, w, c = image.shape
+    depth, form = image.dtype.itemsize * 8, {"u": 1, "i": 2, "f": 3}[image.dtype.kind]
+    tw, th = tile or (w, rows)
+    pack = {1: bytes, 5: packed_lzw, 8: zlib.compress, 32773: packed_bits}[packing]
+    parts = []
+    for plane in range(c if planar == 2 else 1):
+        own = image[:, :, plane : plane + 1] if planar == 2 else image
+        for y in range(0, h, th):
+            for x in range(0, w, tw):
+                part = own[y : y + th, x : x + tw]
+                if tile:
+                    part = np.pad(part, ((0, th - part.shape[0]), (0, tw - part.shape[1]), (0, 0)))
+                if predictor == 2:
+                    part = np.concatenate([part[:, :1], part[:, 1:] - part[:, :-1]], axis=1)
+                parts.append(pack(part.astype(part.dtype.newbyteorder(order)).tobytes()))
+    offsets = np.cumsum([8, *map(len, parts)]).tolist()
+    tags = {256: (4, [w]), 257: (4, [h]), 258: (3, [depth] * c), 259: (3, [packing]), 262: (3, [2 if c == 3 else 0 if white else 1]), 277: (3, [c]), 284: (3, [planar]), 317: (3, [predictor]), 339: (3, [form] * c)}
+    tags |= {322: (3, [tw]), 323: (3, [th]), 324: (4, offsets[:-1]), 325: (4, list(map(len, parts)))} if tile else {273: (4, offsets[:-1]), 278: (3, [rows]), 279: (4, list(map(len, parts)))}
+    at, more, entries = offsets[-1], b"", b""
+    for tag, (kind, v) in sorted(tags.items()):
+        own = struct.pack(order + {3: "H", 4: "I"}[kind] * len(v), *v)
+        if len(own) > 4:
+            entries += struct.pack(order + "HHII", tag, kind, len(v), at + 2 + 12 * len(tags) + 4 + len(more))
+            more += own
+        else:
+            entries += struct.pack(order + "HHI", tag, kind, len(v)) + own.ljust(4, b"\0")
+    head = (b"II" if order == "<" else b"MM") + struct.pack(order + "HI", 42, at)
+    return head + b"".join(parts) + struct.pack(order + "H", len(tags)) + entries + struct.pack(order + "I", 0) + more
+
+
+@pytest.mark.parametrize("kind", ["u1", "u2", "i2", "f4", "f8", "u4"])
+@pytest.mark.parametrize("order, packing, predictor, tile, planar", [("<", 1, 1, None, 1), (">", 5, 1, None, 1), ("<", 5, 2, None, 1), ("<", 8, 2, (16, 16), 1), (">", 32773, 1, (16, 32), 2), ("<", 1, 1, None, 2)])
+def test_tiff_of_strips_and_tiles(kind, order, packing, predictor, tile, planar):
+    if kind[0] == "f" and predictor == 2:
+        predictor = 1
+    rng = np.random.default_rng(3)
+    for shape in ((21, 37, 1), (5, 90, 3)):
+        image = rng.integers(0, 200 if kind != "u2" else 60_000, shape).astype(kind)
+        image[2:4] = 7
+        got, depth = pictures_read.read_tiff(made_tiff(image, order, packing, predictor, tile, 4, planar))
+        assert depth == image.dtype.itemsize * 8 and np.array_equal(got, image)
+    assert np.array_equal(pictures_read.read_tiff(made_tiff(np.full((2, 2, 1), 5, np.uint8), white=True))[0], np.full((2, 2, 1), 250))
+
+
+@pytest.mark.parametrize("size", [0, 1, 300, 5_000, 200_000])
+def test_lzw_round_trip(size):
+    rng = np.random.default_rng(size)
+    for top in (2, 256):
+        raw = rng.integers(0, top, size).astype(np.uint8).tobytes()
+        assert pictures_read.unpacked_lzw(packed_lzw(raw)) == raw
+
+
+def test_pictures_are_a_relation(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    image = rng.integers(0, 256, (6, 5, 3))
+    (tmp_path / "a.png").write_bytes(filtered_png(image, 8, 2, [4]))
+    (tmp_path / "b.tif").write_bytes(pictures.tiff(rng.integers(0, 65536, (3, 4))))
+    (tmp_path / "black.png").write_bytes(filtered_png(np.zeros((2, 2, 1), int), 8, 0, [0]))
+    (tmp_path / "cut.png").write_bytes(filtered_png(image, 8, 2, [4])[:-20])
+    (tmp_path / "cut.tif").write_bytes(made_tiff(image.astype("u2"))[:150])
+    (tmp_path / "empty.tiff").write_bytes(b"")
+    (tmp_path / "other.txt").write_bytes(b"x")
+    rows = pictures_read.read_pictures(spark, str(tmp_path))
+    got = {r.name: r for r in rows.collect()}
+    assert set(got) == {"a.png", "b.tif", "black.png", "cut.png", "cut.tif"}  # Spark passes over empty files
+    assert got["a.png"].data == image.ravel().tolist() and (got["b.tif"].height, got["b.tif"].width, got["b.tif"].depth) == (3, 4, 16)
+    assert all(got[n].error and got[n].data is None for n in ("cut.png", "cut.tif"))
+    light = {r.name: r.data for r in pictures_read.luminances(rows).collect()}
+    assert np.allclose(light["a.png"], image[:, :, 0].ravel() / image[:, :, 0].max()) and light["black.png"] == [0.0] * 4 and len(light) == 3
+
+
+def test_large_pngs_are_read_by_diagonals():
+    image = np.random.default_rng(5).integers(0, 256, (300, 400, 3))
+    raw = filtered_png(image, 8, 2, [4])
+    assert np.array_equal(pictures_read.read_png(raw)[0], image)
+
+
+def test_files_are_whole_or_absent(spark, tmp_path):
+    rows = spark.createDataFrame([("a/x.bin", b"1" * 50), ("y.bin", b"2"), ("z.bin", None)], "n string, content binary").repartition(1)
+    with pytest.raises(Exception):
+        pictures.write_files(rows, str(tmp_path), F.col("n"))
+    left = {f: open(os.path.join(d, f), "rb").read() for d, _, names in os.walk(tmp_path) for f in names}
+    assert all(left[f] == {"x.bin": b"1" * 50, "y.bin": b"2"}[f] for f in left)
+    for _ in range(2):
+        assert pictures.write_files(rows.where("n <> 'z.bin'"), str(tmp_path), F.col("n")) == 2
+    assert sorted(f for _, _, names in os.walk(tmp_path) for f in names) == ["x.bin", "y.bin"]
+
+
+# ---- what a session leaves
+
+
+def test_a_session_leaves_masters_pictures_and_statistics(spark, tmp_path):
+    from starloom.plans import outputs
+    from starloom.plans.align import ProcessedSession
+
+    rgb = spark.createDataFrame([(s, y, x, 0.1 * y, 0.1 * x, 0.5) for s in ("a/b", "c") for y in range(4) for x in range(6)], "session string, y int, x int, r double, g double, b double")
+    stats = spark.createDataFrame([("a/b", 5, 75.0, 0.03, 2.0), ("c", 7, 105.0, 0.03, 3.0)], "session string, n_frames int, total_exposure_s double, mean_clipped_fraction double, snr_proxy double")
+    made = outputs.write_session(ProcessedSession(None, rgb, rgb, rgb, stats), str(tmp_path))
+    assert sorted(os.listdir(made["linear"])) == ["a_b_linear.fits", "c_linear.fits"] and sorted(os.listdir(made["png"])) == ["a_b.png", "c.png"]
+    back = spark.read.format("fits").load(made["calibrated"]).where("name like 'c%'").first()
+    assert (back.planes, back.height, back.width, back.header["NFRAMES"], back.header["EXPTIME"]) == (3, 4, 6, "7", "105.0")
+    assert np.allclose(np.reshape(back.data, (3, 4, 6))[0], 0.1 * np.arange(4)[:, None])
+    png = pictures_read.read_pictures(spark, made["png"]).first()
+    assert png.channels == 3 and png.data[:3] == [0.0, 0.0, 127.0]
+    assert pictures_read.read_pictures(spark, made["tiff"]).first().depth == 16 and spark.read.json(made["report"]).count() == 2
+
+
+def test_aligned_frames_with_own_planes_are_left_once_each(spark, tmp_path):
+    from starloom.plans import align, outputs
+
+    rng = np.random.default_rng(6)
+    frames = spark.createDataFrame([("s", i, 6, 8, rng.normal(0, 1, 48).tolist()) for i in range(5)], "session string, frame_id long, height int, width int, data array<double>")
+    one = [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]]
+    moves = spark.createDataFrame([("s", i, i != 3, one) for i in range(5)], "session string, frame_id long, success boolean, matrix array<array<double>>")
+    own = align.Planes(("low", "high"), True, lambda m: (np.minimum(m[::2, ::2], m[1::2, 1::2]), np.maximum(m[::2, ::2], m[1::2, 1::2])))
+    outputs.write_aligned(frames.repartition(4), moves, str(tmp_path / "aligned"), own)
+    got = {r.name: r for r in spark.read.format("fits").load(str(tmp_path / "aligned")).collect()}
+    assert sorted(got) == [f"s_{i}.fits" for i in (0, 1, 2, 4)]
+    for r in frames.where("frame_id <> 3").collect():
+        m = np.reshape(r.data, (6, 8))
+        assert np.allclose(np.reshape(got[f"s_{r.frame_id}.fits"].data, (2, 3, 4)), np.stack(own.of(m)), atol=1e-6)
+    stacked = align.rgb_stack(frames, moves, own)
+    assert stacked.columns == ["session", "y", "x", "low", "high", "coverage"] and stacked.where("coverage = 4").count() == 12
+    with pytest.raises(Exception, match="announced"):
+        align.rgb_stack(frames, moves, align.Planes(("v",), True, lambda m: [m])).collect()
+    dim = align.star_lists(frames, 1.0, 1, method=lambda m: np.zeros_like(m))
+    assert [r.n_stars for r in dim.collect()] == [0] * 5
