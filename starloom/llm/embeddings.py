@@ -1,9 +1,10 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products within cells, one kept per group.
 
 Equal vectors of a label meet first as one vector with a multiplicity. Centres are fitted on a bounded sample, every
-vector is assigned to its home cell, and to each further cell whose border with the home cell lies within `margin` of
-it. A linked pair that straddles a border is then found unless both vectors lie beyond the margin on their own sides,
-which takes a difference of twice the margin along one direction (of at most sqrt(2 - 2 * 0.93) = 0.37 in all).
+vector is assigned to its home cell, and as a guest to each further cell that may hold a partner of it. Unit vectors of
+cosine s lie sqrt(2 - 2 s) apart, so of a linked pair on two sides of a border one lies within half of that of the border:
+guests within this margin lose no pair. Nor does a cell take a guest whose angle to its centre exceeds that of all its
+residents by more than the link's: this spares tight cells most of their guests.
 """
 
 from __future__ import annotations
@@ -31,30 +32,50 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
+def best_fit(x: np.ndarray, centres: np.ndarray, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """Home cell of each unit row and the cosine to its centre, by blocks of rows."""
+    home, fit = np.zeros(len(x), np.int64), np.zeros(len(x))
+    for i in range(0, len(x), block):
+        part = x[i : i + block] @ centres.T
+        home[i : i + block] = part.argmax(axis=1)
+        fit[i : i + block] = part.max(axis=1)
+    return home, fit
+
+
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 9) -> np.ndarray:
     """k unit centres for unit rows x; empty cells take the rows that fit worst."""
     rng = np.random.default_rng(seed)
     centres = x[np.sort(rng.choice(len(x), min(k, len(x)), replace=False))]
     for _ in range(rounds):
-        fit = x @ centres.T
-        home = fit.argmax(axis=1)
+        home, fit = best_fit(x, centres)
         total = np.zeros_like(centres)
         np.add.at(total, home, x)
         bare = np.flatnonzero(np.linalg.norm(total, axis=1) < 1e-9)
-        total[bare] = x[np.resize(np.argsort(fit.max(axis=1)), len(bare))]
+        total[bare] = x[np.resize(np.argsort(fit), len(bare))]
         centres = unit(total)
     return centres
 
 
-def cells_of(x: np.ndarray, centres: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Home cell of each unit row; (row, cell) of the further cells whose border is within the margin."""
-    fit = x @ centres.T
-    home = fit.argmax(axis=1)
-    between = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 1e-12))
-    near = (fit[np.arange(len(x)), home][:, None] - fit) <= margin * between[home]
-    near[np.arange(len(x)), home] = False
-    row, cell = np.nonzero(near)
-    return home, row, cell
+def cells_of(
+    x: np.ndarray, centres: np.ndarray, margin: float, reach: np.ndarray | None = None, block: int = 1024
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Home cell of each unit row; (row, cell) of the further cells whose border is within the margin.
+
+    reach is the largest angle to each cell's centre at which a guest can still have a partner among its residents.
+    """
+    home = best_fit(x, centres, block)[0]
+    rows, cells = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    least = np.full(len(centres), -2.0) if reach is None else np.where(reach < np.pi, np.cos(np.minimum(reach, np.pi)), -2.0)
+    for i in range(0, len(x), block):
+        own = home[i : i + block]
+        fit = x[i : i + block] @ centres.T
+        between = np.sqrt(np.maximum(2 - 2 * centres[own] @ centres.T, 1e-12))
+        near = ((fit[np.arange(len(own)), own][:, None] - fit) <= margin * between) & (fit >= least - 1e-9)
+        near[np.arange(len(own)), own] = False
+        row, cell = np.nonzero(near)
+        rows.append(row + i)
+        cells.append(cell)
+    return home, np.concatenate(rows), np.concatenate(cells)
 
 
 def near_duplicates(
@@ -63,7 +84,7 @@ def near_duplicates(
     label_col: str = "label",
     vector_col: str = "embedding",
     at_least: float = 0.93,
-    margin: float = 0.05,
+    margin: float | None = None,
     cell_rows: int | None = None,
     sample_rows: int = 20_000,
     block_rows: int = 2048,
@@ -76,9 +97,12 @@ def near_duplicates(
     an empty table gives an empty result; further columns are ignored. Cells larger than block_rows are compared as
     pairs of chunks in separate tasks. A label of n different vectors gets cells of about sqrt(n) vectors (or cell_rows),
     so both the centres that a task holds and the vectors that one is compared with grow as the square root. The centres
-    are fitted on the sample_rows vectors or so that a hash picks, or 8 for each cell where that is more.
+    are fitted on the sample_rows vectors or so that a hash picks, or 8 for each cell where that is more. margin is the
+    distance to a border within which a vector is a guest beyond it; the default loses no link, less saves copies.
     """
     spark = vectors.sparkSession
+    exact = sqrt(max(0.0, 2 - 2 * at_least)) / 2 + 1e-9
+    margin = exact if margin is None else margin
     v = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
         F.col(label_col).cast("string").alias("label"),
@@ -105,12 +129,30 @@ def near_duplicates(
         centres[r["dim"]] = spherical_kmeans(picked, k)
     shared = spark.sparkContext.broadcast(centres)
 
+    def widest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The least cosine of a resident to its centre, by cell."""
+        least: dict[int, np.ndarray] = {}
+        for b in batches:
+            dims = b.column(1).to_numpy(zero_copy_only=False)
+            for dim in np.unique(dims).tolist():
+                home, fit = best_fit(unit(matrix(b.column(0).filter(pa.array(dims == dim)))), shared.value[dim])
+                np.minimum.at(least.setdefault(dim, np.full(len(shared.value[dim]), np.inf)), home, fit)
+        for dim, cosine in least.items():
+            cell = np.flatnonzero(np.isfinite(cosine))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cell), dim, np.int32)), pa.array(cell.astype(np.int32)), pa.array(cosine[cell])], ["dim", "cell", "cosine"])
+
+    reach = {dim: np.full(len(c), -1.0) for dim, c in centres.items()}  # a cell without residents takes no guests
+    edges = classes.select("e", "dim").mapInArrow(widest, "dim int, cell int, cosine double").groupBy("dim", "cell").agg(F.min("cosine").alias("cosine"))
+    for r in edges.collect():
+        reach[r["dim"]][r["cell"]] = np.arccos(np.clip(r["cosine"], -1, 1)) + np.arccos(min(1.0, at_least)) + 1e-6
+    reached = spark.sparkContext.broadcast(reach)
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             dims = b.column(4).to_numpy(zero_copy_only=False)
             for dim in np.unique(dims):
                 part = b.filter(pa.array(dims == dim))
-                home, row, cell = cells_of(unit(matrix(part.column(1))), shared.value[int(dim)], margin)
+                home, row, cell = cells_of(unit(matrix(part.column(1))), shared.value[int(dim)], margin, reached.value[int(dim)])
                 guests = [[] for _ in home]
                 for i, c in zip(row.tolist(), cell.tolist()):
                     guests[i].append(c)

@@ -673,10 +673,22 @@ def test_embedding_links_match_brute_force(spark, size):
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {i: (count[i], c, i == c) for i, c in want.items()}
 
 
+@pytest.mark.parametrize("inner", [4, 6, 8, 12])
+def test_links_across_borders_are_all_found(spark, inner):
+    """Vectors spread over few inner dimensions, where linked pairs straddle borders everywhere; default margin."""
+    rng = np.random.default_rng(inner)
+    x = (rng.normal(size=(3000, inner)) @ rng.normal(size=(inner, 32))).astype(np.float32).astype(float)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = u @ u.T >= 0.93
+    np.fill_diagonal(near, False)
+    got = embeddings.near_duplicates(spark.createDataFrame([(i, v.tolist(), 1, "", "") for i, v in enumerate(x)], VECTORS), cell_rows=60)
+    assert {r.vec_id: r.n_links for r in got.collect()} == dict(enumerate(near.sum(axis=1).tolist())) and near.any()
+
+
 def test_small_margin_keeps_recall(spark):
     data = vectors(800, 64, 4)
     links = brute(data)
-    got = embeddings.near_duplicates(spark.createDataFrame(data, VECTORS), cell_rows=20).collect()
+    got = embeddings.near_duplicates(spark.createDataFrame(data, VECTORS), cell_rows=20, margin=0.05).collect()
     assert sum(r.n_links for r in got) >= 0.9 * 2 * len(links) > 0
 
 
