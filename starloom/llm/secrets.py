@@ -60,7 +60,8 @@ def novelty(candidate: str, around: str, identifiers: str = IDENTIFIERS, piece:
     """Marginal compressed bytes of the candidate, per byte, primed with the identifiers and the text around it.
 
     Long candidates are measured in pieces: beyond some 35 bytes zstandard codes the letters themselves by frequency,
-    which would measure the alphabet instead of what is known. Other copies of the candidate do not count as context.
+    which would measure the alphabet instead of what is known. Other copies of the candidate do not count as context;
+    `surroundings` leaves out those that lie only partly within it.
     """
     primer = zstandard.ZstdCompressionDict(
         f"{identifiers} {around.replace(candidate, ' ')}".encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT
@@ -79,6 +80,13 @@ def kind_changes(s: str) -> int:
     return sum(x != y for x, y in zip(kinds, kinds[1:]))
 
 
+def surroundings(text: str, start: int, end: int, around: int) -> str:
+    """`around` characters before and behind a candidate, without copies of it; copies are looked for beyond them too."""
+    cand, n = text[start:end], end - start
+    before = text[max(0, start - around - n) : start].replace(cand, " ")
+    return before[-around:] + text[end : end + around + n].replace(cand, " ")[:around]
+
+
 def novel_spans(
     text: str, taken: list[tuple[int, int, str]], reach: int = 48, around: int = 400, at_least: float = 0.95, changes: int = 3
 ) -> list[tuple[int, int, str]]:
@@ -106,7 +114,7 @@ def novel_spans(
         if j and stops[j - 1] >= e:
             continue  # a fixed pattern holds all of it
         cand = text[s:e]
-        if kind_changes(cand) >= changes and novelty(cand, text[max(0, s - around) : s] + text[e : e + around]) >= at_least:
+        if kind_changes(cand) >= changes and novelty(cand, surroundings(text, s, e, around)) >= at_least:
             found.append((s, e, "novel"))
     return found
 

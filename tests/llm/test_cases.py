@@ -45,6 +45,15 @@ def test_keys_are_found_beside_odd_letters_and_copies_of_themselves():
         assert spans == [m.span() for m in re.finditer(key, text)]
 
 
+@pytest.mark.parametrize("size", [40, 300, 450, 600, 1000, 3000])
+def test_keys_that_stand_twice_are_found_twice(size):
+    rng = random.Random(size)
+    for i in range(10):
+        key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(size))
+        text = f"{prose(30, i)} private_key goes here {key} {prose(10, i + 50)} and bearer {key} {prose(20, i + 99)}"
+        assert [(s, e) for s, e, k in secrets.all_spans(text)[1] if k == "novel"] == [m.span() for m in re.finditer(key, text)]
+
+
 def test_words_and_names_after_credentials_stay():
     for text in ("the secret of internationalization-and-localization", "token based authenticationprovider", "password reset instructions_for_customers", "bearer of goodtidingseverywhere"):
         assert secrets.all_spans(text)[1] == []
