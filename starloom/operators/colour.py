@@ -32,10 +32,13 @@ def percentiles(df: DataFrame, image: list[str], value: Column, shares: dict[str
 
 
 def percentile_stretched(
-    df: DataFrame, image: list[str], value: str, low: float = 1.0, high: float = 99.5, a: float | None = 0.1
+    df: DataFrame, image: list[str], value: str, low: float = 1.0, high: float = 99.5, a: float | None = 0.1, quantiles=percentiles
 ) -> DataFrame:
-    """value through the percentile asinh stretch of its image (linear if a is None)."""
-    bounds = percentiles(df, image, F.col(value), {"_low": low, "_high": high})
+    """value through the percentile asinh stretch of its image (linear if a is None).
+
+    quantiles may be plans.order.exact_quantiles, for images too large for one aggregate's buffer.
+    """
+    bounds = quantiles(df, image, F.col(value), {"_low": low, "_high": high})
     x = tone.normalised(F.col(value), F.col("_low"), F.col("_high"))
     out = x if a is None else tone.percentile_asinh(F.col(value), F.col("_low"), F.col("_high"), a)
     return df.join(bounds, image).withColumn(value, out).drop("_low", "_high")

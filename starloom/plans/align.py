@@ -274,6 +274,30 @@ def auto_valid(pixels: DataFrame, image: list[str], threshold: float = 0.01) ->
     return pixels.join(top, image).withColumn("valid", (F.col("_top") <= 0) | (luma > threshold * F.col("_top"))).drop("_top")
 
 
+def with_masks(pixels: DataFrame, image: list[str], weight: str | None = None, threshold: float = 0.01) -> DataFrame:
+    """pixels with w: the weight given, or where none is, 1 for the valid pixels of each image and 0 for the others."""
+    if weight is not None:
+        return pixels.withColumn("w", F.col(weight).cast("double"))
+    return auto_valid(pixels, image, threshold).withColumn("w", F.col("valid").cast("double")).drop("valid")
+
+
+def mounted(transforms: DataFrame, mount: str = "altaz", threshold: float = 0.1, sample: int = 5) -> DataFrame:
+    """transforms with rotation and strategy, and their matrices as the mount asks for, session by session in one plan.
+
+    altaz and eq_robust take the transforms as they are (affine). eq measures the greatest rotation over a systematic
+    sample of each session's successful transforms: above the threshold (degrees) its transforms stay (robust_affine),
+    below they become moves by whole even pixels (integer_shift), so that no colours mix.
+    """
+    if mount not in ("altaz", "eq", "eq_robust"):
+        raise ValueError(f"unknown mount {mount}")
+    turned = register.field_rotation(transforms, SESSION, "frame_id", sample)
+    own = transforms.join(turned, SESSION, "left").withColumn("rotation", F.coalesce("rotation", F.lit(0.0)))
+    still = F.lit(mount == "eq") & (F.col("rotation") <= threshold)
+    matrix = F.when(still & F.col("matrix").isNotNull(), register.rounded_transform(F.col("matrix"), True, threshold)).otherwise(F.col("matrix"))
+    strategy = F.when(still, F.lit("integer_shift")).otherwise(F.lit("affine" if mount == "altaz" else "robust_affine"))
+    return own.withColumns({"matrix": matrix, "strategy": strategy})
+
+
 @dataclass
 class AlignedSession:
     scores: DataFrame
@@ -334,23 +358,21 @@ class ProcessedSession:
 
 
 def process_session(
-    frames: DataFrame, settings: StackSettings | None = None, exposure: float = 15.0, cached: DataFrame | None = None, balance: str = "gray_world", least: int = 100
-) -> ProcessedSession:
+    frames: DataFrame, settings: StackSettings | None = None, exposure: float = 15.0, cached: DataFrame | None = None, balance: str = "gray_world", least: int = 100,
+    mount: str = "altaz",
+) -> ProcessedSession:
     """A session from frames to a stretched colour image: score, align, plane stack, calibrate, stretch, count.
 
     cached transforms (session, frame_id, success, error_message, matrix, n_matches), if given, stand in for a search; only
-    those of kept frames count. The statistics name the clipped share of a plane stack as given, as the scripts do.
+    those of kept frames count. mount says how an equatorial mount's sessions are registered (see mounted). The statistics name the clipped share of a plane stack as given, as the scripts do.
     """
     s = replace(settings or StackSettings(), debayer="planes").validate()
-    if cached is None:
-        got = aligned_session(frames, s)
-        scores, linear, transforms = got.scores, got.master, got.transforms
-    else:
-        scores = aligned_session(frames, replace(s, align="none")).scores
-        kept = scores.where("kept").select(*KEYS)
-        references = quality.reference_frame(scores.where("kept"), SESSION, "frame_id", s.reference)
-        transforms = cached.join(kept, KEYS, "left_semi")
-        linear = plane_stack(frames.join(kept, KEYS, "left_semi"), transforms, references, s.sigma)
+    got = aligned_session(frames, s if cached is None else replace(s, align="none"))
+    scores = got.scores
+    kept = scores.where("kept").select(*KEYS)
+    found = got.transforms if cached is None else cached.join(kept, KEYS, "left_semi")
+    transforms = mounted(cut(found, "transforms"), mount)  # read by the rotation, the stack and the counts
+    linear = plane_stack(frames.join(kept, KEYS, "left_semi"), transforms, got.references, s.sigma)
     linear = cut(linear, "linear")  # read by all that follows
     n = transforms.where("success").groupBy(*SESSION).agg(F.count(F.lit(1)).alias("n_stacked"))
     calibrated = colour.calibrated(linear, SESSION, balance, least=least)

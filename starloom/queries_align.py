@@ -9,6 +9,7 @@ from starloom.operators import colour as co
 from starloom.operators import frames as fr
 from starloom.operators import stack as st
 from starloom.plans import align as al
+from starloom.plans import order
 from starloom.queries_stack import KEYS, clip_sql, two_pass_sql
 from starloom.registry import query, rounded, tidy
 from starloom.schema import StackSettings
@@ -125,6 +126,71 @@ def auto_valid_masks(spark, sf):
     return tidy(got.groupBy("session", "frame_id").agg(F.count_if("valid").alias("n_valid"), F.sum(place).alias("places")))
 
 
+_AUTO = (
+    f"{fx.PX}, {fx.bilinear_sql('(SELECT session, frame_id, y, x, v FROM px)', 'session, frame_id', 'bl')}, l AS (SELECT *, 0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b AS l FROM bl), "
+    "m AS (SELECT session, frame_id, y, x, r, g, b, CASE WHEN l > 0.6::DOUBLE * max(l) OVER (PARTITION BY session, frame_id) OR max(l) OVER (PARTITION BY session, frame_id) <= 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS w FROM l)"
+)
+_FRAMES = ["session", "frame_id"]
+
+
+@query(
+    "auto_masked_mean",
+    f"WITH {_AUTO} SELECT session::BIGINT AS session, y::BIGINT AS y, x::BIGINT AS x, {rounded(*[f'coalesce(sum({c} * w) / nullif(sum(w), 0), 0) + 0.000013::DOUBLE AS {c}' for c in 'rgb'], digits=4)}, floor(sum(w))::BIGINT AS coverage FROM m GROUP BY ALL",
+)
+def auto_masked_mean(spark, sf):
+    """Frames without masks: each makes its own from its luma, and the mean counts valid pixels only."""
+    own = al.with_masks(fx.rgb_frames(spark, sf), _FRAMES, threshold=0.6)
+    return tidy(off_ties(st.mask_aware_mean(own, ["session", "y", "x"], ["r", "g", "b"], "w"), "rgb"), 4)
+
+
+@query(
+    "auto_masked_clip",
+    f"WITH {_AUTO}, {clip_sql('m', 'session, y, x', ['r', 'g', 'b'], 2, 5, 'mean', 'w > 0.5')} SELECT session::BIGINT AS session, y::BIGINT AS y, x::BIGINT AS x, "
+    f"{rounded(*[MEAN.format(v=c).replace(' END', ' END + 0.000013::DOUBLE') for c in 'rgb'], digits=4)}, count(r) AS coverage FROM c5 GROUP BY ALL",
+)
+def auto_masked_clip(spark, sf):
+    own = al.with_masks(fx.rgb_frames(spark, sf), _FRAMES, threshold=0.6)
+    return tidy(off_ties(st.mask_aware_clip(own, ["session", "y", "x"], ["r", "g", "b"], "w", 2.0), "rgb"), 4)
+
+
+@query(
+    "mounted_transforms",
+    "WITH t AS (SELECT label AS session, vec_id AS frame_id, vec_id % 11 <> 0 AS success, -(vec_id % 4) / 4.0::DOUBLE * 4 AS dx, -(vec_id % 3 - 1) / 2.0::DOUBLE * 3 AS dy, CASE WHEN label % 2 = 0 THEN 0.01 ELSE 0.0005 END::DOUBLE AS turn FROM embeddings), "
+    "r AS (SELECT session, degrees(max(atan2(turn, 1.0::DOUBLE))) > 0.1 AS turned FROM t GROUP BY 1) "
+    "SELECT session::BIGINT AS session, frame_id, CASE WHEN turned THEN 'robust_affine' ELSE 'integer_shift' END AS strategy, "
+    f"{rounded('CASE WHEN turned THEN turn ELSE 0 END AS turn', 'CASE WHEN turned THEN dx ELSE 2 * round_even(dx / 2, 0) END AS dx', 'CASE WHEN turned THEN dy ELSE 2 * round_even(dy / 2, 0) END AS dy')} FROM t JOIN r USING (session) WHERE success",
+)
+def mounted_transforms(spark, sf):
+    """Sessions of an equatorial mount, every other one with field rotation: each by its own rule in one plan."""
+    n = F.col("frame_id")
+    turn = F.when(F.col("session") % 2 == 0, F.lit(0.01)).otherwise(F.lit(0.0005))
+    rows = F.array(F.array(F.lit(1.0), -turn, -(n % 4) / 4.0 * 4), F.array(turn, F.lit(1.0), -(n % 3 - 1) / 2.0 * 3), F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0)))
+    moves = fx.names(spark, sf).select("session", "frame_id", (n % 11 != 0).alias("success"), rows.alias("matrix"))
+    got = al.mounted(moves, "eq").where("success")
+    return tidy(got.select("session", "frame_id", "strategy", F.col("matrix")[1][0].alias("turn"), F.col("matrix")[0][2].alias("dx"), F.col("matrix")[1][2].alias("dy")))
+
+
+_SHARES = {"p0": 0.0, "p1": 1.0, "p50": 50.0, "p99": 99.5, "p100": 100.0}
+
+
+@query(
+    "image_quantiles",
+    "SELECT event_type, " + ", ".join(f"round(quantile_cont(value, {p / 100.0}::DOUBLE), 6) + 0.0::DOUBLE AS {n}" for n, p in _SHARES.items()) + " FROM events GROUP BY 1",
+)
+def image_quantiles(spark, sf):
+    """Exact percentiles of large groups by refined histograms."""
+    return tidy(order.exact_quantiles(fx.table(spark, sf, "events"), ["event_type"], F.col("value"), _SHARES))
+
+
+@query(
+    "image_noise",
+    f"WITH {fx.MASTER}, m AS (SELECT session, median(v) AS middle FROM mos GROUP BY 1), d AS (SELECT session, any_value(middle) AS middle, 1.4826::DOUBLE * median(abs(v - middle)) AS noise FROM mos JOIN m USING (session) GROUP BY 1) "
+    f"SELECT session::BIGINT AS session, {rounded('middle', 'noise', digits=4)} FROM d",
+)
+def image_noise(spark, sf):
+    return tidy(order.robust_scale(fx.master(spark, sf), ["session"], F.col("v")), 4)
+
+
 @query(
     "script_stretch",
     f"WITH {fx.UNIT_RGB}, l AS (SELECT *, 0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b AS l FROM u), "
