@@ -309,17 +309,18 @@ class AlignedSession:
 def aligned_session(frames: DataFrame, settings: StackSettings | None = None) -> AlignedSession:
     """frames (session, frame_id, height, width, data) -> scores, reference, transforms and master, as the settings say.
 
-    Scores count stars. align: astroalign by star patterns, integer by phase correlation, none. debayer: none (mono),
+    Scores count stars. Star lists, scores and transforms are tables in the shared folder, each made once. align: astroalign by star patterns, integer by phase correlation, none. debayer: none (mono),
     superpixel, bilinear or planes. Sessions in which max_align_fail frames in a row fail give no master. Frames of more
     than one size in a session fail at once, since places would not mean the same.
     """
     s = (settings or StackSettings()).validate()
     mono = s.debayer == "none"
-    lists = star_lists(frames, method=None if mono else "superpixel")
+    lists = cut(star_lists(frames, method=None if mono else "superpixel"), "star-lists")  # the stars of a frame are looked for once
     counted = frames.join(lists.select(*KEYS, "n_stars"), KEYS)
     scores = quality.selected(
         quality.scored(counted, KEYS, saturation=s.saturation_threshold, full_scale=s.full_scale, stars=F.col("n_stars")), SESSION, "frame_id", s.keep_fraction
     )
+    scores = cut(scores, "scores")
     kept = scores.where("kept").select(*KEYS)
     references = quality.reference_frame(scores.where("kept"), SESSION, "frame_id", s.reference)
     own = frames.join(kept, KEYS, "left_semi")
@@ -336,7 +337,7 @@ def aligned_session(frames: DataFrame, settings: StackSettings | None = None) ->
         transforms = transforms_by_stars(lists.join(kept, KEYS, "left_semi"), references)
     else:
         raise ValueError(f"unknown alignment {s.align}")
-    transforms = within_failures(transforms, s.max_align_fail)
+    transforms = cut(within_failures(transforms, s.max_align_fail), "transforms")
     if mono:
         px = warped_tiles(own, transforms, "mono", half=False)
         got = tiles.stacked_tiles(px, SESSION, "frame_id", ["v"], tiles.masked_clip_mean(s.sigma, s.maxiters), ["v", "coverage"], "mask")
@@ -371,7 +372,7 @@ def process_session(
     scores = got.scores
     kept = scores.where("kept").select(*KEYS)
     found = got.transforms if cached is None else cached.join(kept, KEYS, "left_semi")
-    transforms = mounted(cut(found, "transforms"), mount)  # read by the rotation, the stack and the counts
+    transforms = mounted(found, mount)
     linear = plane_stack(frames.join(kept, KEYS, "left_semi"), transforms, got.references, s.sigma)
     linear = cut(linear, "linear")  # read by all that follows
     n = transforms.where("success").groupBy(*SESSION).agg(F.count(F.lit(1)).alias("n_stacked"))

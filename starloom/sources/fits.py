@@ -51,6 +51,15 @@ def data_of(raw: bytes, header: dict[str, str], at: int) -> tuple[tuple[int, ...
     return tuple(axes), value, -(-(at + n * kind.itemsize) // BLOCK) * BLOCK
 
 
+def extent(header: dict[str, str], at: int) -> tuple[tuple[int, ...], np.dtype, int]:
+    """Shape (slowest axis first), sample type and the end of the data unit, from the header alone."""
+    axes = tuple(int(header[f"NAXIS{i}"]) for i in range(int(header.get("NAXIS", 0)), 0, -1))
+    kind = np.dtype(KINDS[int(header["BITPIX"])])
+    n = int(np.prod(axes)) if axes else 0
+    n = (n + int(header.get("PCOUNT", 0))) * int(header.get("GCOUNT", 1)) * kind.itemsize
+    return axes, kind, -(-(at + n) // BLOCK) * BLOCK
+
+
 SCHEMA = "path string, name string, height int, width int, planes int, header map<string,string>, data array<double>, error string"
 
 
@@ -58,10 +67,10 @@ def read_fits(spark: SparkSession, path: str, pixels: bool = True, hdu: int = 0)
     """path, name, height, width, planes, header, data (null if pixels is false), error for every *.fits under path.
 
     Files are found and read by Spark, so any store that it reaches will do; without pixels only the first megabyte of a
-    file crosses to Python. hdu counts image units from 0. What cannot be parsed gives a row with the error instead.
+    file crosses to Python where the first unit is asked for, and data units are stepped over. hdu counts image units from 0. What cannot be parsed gives a row with the error instead.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.fits").load(path)
-    content = F.col("content") if pixels else F.substring("content", 1, 1 << 20)
+    content = F.col("content") if pixels or hdu else F.substring("content", 1, 1 << 20)
     src = files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), content.alias("content"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,9 +82,9 @@ def read_fits(spark: SparkSession, path: str, pixels: bool = True, hdu: int = 0)
                     at = 0
                     for k in range(hdu + 1):
                         header, start = header_of(raw, at)
-                        axes = [int(header[f"NAXIS{i}"]) for i in range(int(header.get("NAXIS", 0)), 0, -1)]
-                        if pixels or k < hdu:
-                            axes, value, at = data_of(raw, header, start)
+                        axes, _, at = extent(header, start)
+                    if pixels:
+                        axes, value, _ = data_of(raw, header, start)
                     shape = (1,) * (3 - len(axes)) + tuple(axes)
                     row |= {"planes": shape[0], "height": shape[1], "width": shape[2], "header": list(header.items())}
                     row["data"] = value.tolist() if pixels else None

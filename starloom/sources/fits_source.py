@@ -23,7 +23,7 @@ from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from starloom.sources.fits import BLOCK, CARD, KINDS, header_of, unit
+from starloom.sources.fits import BLOCK, CARD, KINDS, extent, header_of, unit
 
 HEADERS = "path string, name string, height int, width int, planes int, header map<string,string>, error string"
 IMAGES = "path string, name string, height int, width int, planes int, header map<string,string>, data array<double>, error string"
@@ -54,21 +54,12 @@ def header_at(file, at: int, size: int) -> tuple[dict[str, str], int]:
     raise ValueError("no header")
 
 
-def layout(header: dict[str, str]) -> tuple[tuple[int, ...], np.dtype, int]:
-    """Shape (slowest axis first), sample type and padded bytes of the data unit, from the header alone."""
-    axes = tuple(int(header[f"NAXIS{i}"]) for i in range(int(header.get("NAXIS", 0)), 0, -1))
-    kind = np.dtype(KINDS[int(header["BITPIX"])])
-    n = int(np.prod(axes)) * kind.itemsize if axes else 0
-    n = (n + int(header.get("PCOUNT", 0)) * kind.itemsize) * int(header.get("GCOUNT", 1))
-    return axes, kind, -(-n // BLOCK) * BLOCK
-
-
 def unit_at(file, hdu: int) -> tuple[dict[str, str], int]:
     """Header and data offset of the hdu-th unit; data before it are stepped over unread."""
     size, at = file.size(), 0
     for k in range(hdu + 1):
         header, start = header_at(file, at, size)
-        at = start + layout(header)[2]
+        at = extent(header, start)[2]
         if k < hdu and at >= size:
             raise ValueError(f"the file has {k + 1} units")
     return header, start
@@ -76,7 +67,7 @@ def unit_at(file, hdu: int) -> tuple[dict[str, str], int]:
 
 def values(file, header: dict[str, str], start: int, first: int, count: int) -> np.ndarray:
     """count scaled samples from the first-th on, read by their byte range."""
-    kind = layout(header)[1]
+    kind = extent(header, 0)[1]
     raw = file.read_at(count * kind.itemsize, start + first * kind.itemsize)
     if len(raw) < count * kind.itemsize:
         raise ValueError("the data unit is cut short")
@@ -86,7 +77,7 @@ def values(file, header: dict[str, str], start: int, first: int, count: int) ->
 def rows_of(file, what: str, hdu: int, tile_rows: int) -> Iterator[tuple[dict, np.ndarray | None]]:
     """The rows of an open file, each with its samples where it has any."""
     header, start = unit_at(file, hdu)
-    axes = layout(header)[0]
+    axes = extent(header, 0)[0]
     planes, height, width = ((1, 1, 1) + axes)[-3:] if axes else (0, 0, 0)
     own = {"height": height, "width": width}
     if what != "tiles":

@@ -119,6 +119,16 @@ def test_what_is_no_fits_file_gives_an_error_row(spark, fits_format, tmp_path):
     assert heads["cut.fits"] is None and heads["good.fits"] is None
 
 
+def test_headers_behind_large_units_need_no_pixels(spark, tmp_path):
+    from starloom.sources.fits import read_fits
+
+    big = unit((600, 600), np.zeros(360_000), ">f8", {}) + unit((600, 600), np.ones(360_000), ">i2", {"WHAT": 5}, "MASKCOUNT")
+    (tmp_path / "a.fits").write_bytes(big)
+    first = read_fits(spark, str(tmp_path), pixels=False).first()
+    second = read_fits(spark, str(tmp_path), pixels=False, hdu=1).first()
+    assert (first.error, first.height, first.data) == (None, 600, None) and (second.error, second.header["WHAT"], second.data) == (None, "5", None)
+
+
 # ---- pictures
 
 
