@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from starloom import fixtures as fx
 from starloom.operators import colour as co
 from starloom.operators import frames as fr
+from starloom.operators import quality as ql
 from starloom.operators import stack as st
 from starloom.plans import align as al
 from starloom.plans import order
+from starloom.queries_frames import SCORE
 from starloom.queries_stack import KEYS, clip_sql, two_pass_sql
 from starloom.registry import query, rounded, tidy
 from starloom.schema import StackSettings
@@ -114,6 +116,41 @@ def aligned_by_settings(spark, sf):
     return tidy(got.master, 4)
 
 
+_STARRED = (
+    f"WITH RECURSIVE {SCORE}, {HALF.replace(fx.PX + ', ', '')}, lum AS (SELECT session, frame_id, y, x, (r + g1 + g2 + b) / 4 AS l FROM pl), "
+    "md AS (SELECT *, median(l) OVER (PARTITION BY frame_id) AS med FROM lum), ns AS (SELECT *, 1.4826::DOUBLE * median(abs(l - med)) OVER (PARTITION BY frame_id) AS s FROM md), "
+    "lit AS MATERIALIZED (SELECT *, y * 4 + x AS id FROM ns WHERE s >= 1e-6 AND l > med + 0.5::DOUBLE * s), "
+    "nb AS MATERIALIZED (SELECT a.frame_id, a.id, b.id AS other FROM lit a JOIN lit b ON a.frame_id = b.frame_id AND abs(a.y - b.y) + abs(a.x - b.x) <= 1), "
+    "re AS (SELECT frame_id, id, id AS low FROM lit UNION SELECT re.frame_id, nb.other, re.low FROM re JOIN nb ON re.frame_id = nb.frame_id AND re.id = nb.id WHERE re.low < nb.other), "
+    "lab AS (SELECT frame_id, id, min(low) AS label FROM re GROUP BY 1, 2), big AS (SELECT frame_id, label FROM lab GROUP BY 1, 2 HAVING count(*) >= 2), "
+    "st AS (SELECT frame_id, count(*) AS n FROM big GROUP BY 1), "
+    "sn AS (SELECT scored.session, scored.frame_id, coalesce(st.n, 0)::BIGINT AS n_stars, composite_score * (1 + coalesce(st.n, 0)) AS composite_score FROM scored LEFT JOIN st USING (frame_id)) "
+)
+
+
+def _starred(spark, sf):
+    own = fx.frames(spark, sf)
+    counted = own.join(al.star_lists(own, 0.5, 2).select("session", "frame_id", "n_stars"), ["session", "frame_id"])
+    return ql.scored(counted, ["session", "frame_id"], full_scale=26000.0, stars=F.col("n_stars"))
+
+
+@query("star_scores", f"{_STARRED} SELECT session::BIGINT AS session, frame_id, n_stars, {rounded('composite_score', digits=9)} FROM sn")
+def star_scores(spark, sf):
+    """Frames scored with their stars counted."""
+    return tidy(_starred(spark, sf).select("session", "frame_id", "n_stars", "composite_score"), 9)
+
+
+@query(
+    "star_selected",
+    f"{_STARRED}, rk AS (SELECT *, row_number() OVER (PARTITION BY session ORDER BY composite_score DESC, frame_id) AS rank, count(*) OVER (PARTITION BY session) AS n FROM sn) "
+    "SELECT session::BIGINT AS session, count(*) FILTER (WHERE rank <= greatest(1, floor(n * 0.5))) AS n_kept, sum(CASE WHEN rank <= greatest(1, floor(n * 0.5)) THEN frame_id ELSE 0 END)::BIGINT AS kept_ids, min(CASE WHEN rank = 1 THEN frame_id END) AS best FROM rk GROUP BY 1",
+)
+def star_selected(spark, sf):
+    got = ql.selected(_starred(spark, sf), ["session"], "frame_id", 0.5)
+    kept = F.when(F.col("kept"), F.col("frame_id"))
+    return tidy(got.groupBy("session").agg(F.count(kept).alias("n_kept"), F.coalesce(F.sum(kept), F.lit(0)).alias("kept_ids"), F.min(F.when(F.col("rank") == 1, F.col("frame_id"))).alias("best")))
+
+
 @query(
     "auto_valid_masks",
     f"WITH {fx.PX}, {fx.bilinear_sql('(SELECT session, frame_id, y, x, v FROM px)', 'session, frame_id', 'bl')}, l AS (SELECT *, 0.299::DOUBLE * r + 0.587::DOUBLE * g + 0.114::DOUBLE * b AS l FROM bl), "
