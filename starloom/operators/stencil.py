@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from math import ceil, exp, hypot
+from math import ceil, exp
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,22 +84,58 @@ def median_filter(pixels: DataFrame, image: list[str], values: list[str], size:
     return joined.groupBy(*image, "y", "x").agg(*[F.median(v).alias(v) for v in values])
 
 
-def diamond(radius: int) -> list[tuple[int, int]]:
-    return [(dy, dx) for dy in range(-radius, radius + 1) for dx in range(abs(dy) - radius, radius - abs(dy) + 1)]
+def distances(mask: DataFrame, image: list[str], flag: str, metric: str = "steps") -> DataFrame:
+    """image, y, x, d: how far the nearest set pixel is, 0 at set ones, null in an image without any.
+
+    steps counts moves to the four neighbours, straight is the Euclidean distance. Two passes over lines of the image, first
+    along columns, then along rows over what the first gave; work and shuffle do not depend on how far anything is.
+    """
+    if metric not in ("steps", "straight"):
+        raise ValueError(f"unknown metric {metric}")
+    own = mask.select(*image, "y", "x", F.coalesce(flag, F.lit(False)).alias("_set"))
+    column = Window.partitionBy(*image, "x").orderBy("y")
+    up = F.max(F.when(F.col("_set"), F.col("y"))).over(column.rowsBetween(Window.unboundedPreceding, 0))
+    down = F.min(F.when(F.col("_set"), F.col("y"))).over(column.rowsBetween(0, Window.unboundedFollowing))
+    lines = own.select(*image, "y", "x", F.least(F.col("y") - up, down - F.col("y")).cast("double").alias("_g"))
+    if metric == "steps":
+        row = Window.partitionBy(*image, "y").orderBy("x")
+        left = F.min(F.col("_g") - F.col("x")).over(row.rowsBetween(Window.unboundedPreceding, 0)) + F.col("x")
+        right = F.min(F.col("_g") + F.col("x")).over(row.rowsBetween(0, Window.unboundedFollowing)) - F.col("x")
+        return lines.select(*image, "y", "x", F.least(left, right).alias("d"))
+
+    def straight(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("x")
+        return p.drop(columns="_g").assign(d=lower_envelope(p["x"].to_numpy(float), p["_g"].to_numpy(float)))
+
+    kinds = ", ".join(f"`{c}` {t}" for c, t in lines.dtypes if c != "_g")
+    return lines.groupBy(*image, "y").applyInPandas(straight, f"{kinds}, d double")
+
+
+def lower_envelope(x: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """sqrt of the least (x - x')^2 + g(x')^2 over x' at every x (ascending), by the parabolas' lower envelope; NaN is no parabola."""
+    known = np.flatnonzero(~np.isnan(g))
+    if not len(known):
+        return np.full(len(x), np.nan)
+    at, height = x[known].tolist(), (g[known] ** 2 + x[known] ** 2).tolist()
+    kept, starts = [0], [-np.inf]
+    for i in range(1, len(at)):
+        while True:  # where parabola i gets below the last one kept
+            j = kept[-1]
+            cross = (height[i] - height[j]) / (2 * (at[i] - at[j]))
+            if cross > starts[-1]:
+                break
+            kept.pop()
+            starts.pop()
+        kept.append(i)
+        starts.append(cross)
+    own = known[np.array(kept)[np.searchsorted(np.array(starts), x, side="right") - 1]]
+    return np.sqrt((x - x[own]) ** 2 + g[own] ** 2)
 
 
 def dilated(mask: DataFrame, image: list[str], flag: str, rounds: int = 1) -> DataFrame:
-    """image, y, x, flag: `rounds` dilations with the cross, i.e. a diamond of that radius, in steps of up to 8."""
-    out, left = mask.select(*image, "y", "x", F.coalesce(flag, F.lit(False)).alias(flag)), rounds
-    grid = mask.select(*image, "y", "x")
-    while left > 0:
-        step = min(left, 8)
-        lit = _around(out.where(flag), image, diamond(step)).select(*image, F.col("_ty").alias("y"), F.col("_tx").alias("x")).distinct()
-        out = grid.join(lit.withColumn(flag, F.lit(True)), [*image, "y", "x"], "left").withColumn(
-            flag, F.coalesce(flag, F.lit(False))
-        )
-        left -= step
-    return out
+    """image, y, x, flag: `rounds` dilations with the cross, i.e. what lies within that many steps of a set pixel."""
+    near = F.coalesce(F.col("d") <= rounds, F.lit(False))
+    return distances(mask, image, flag).select(*image, "y", "x", near.alias(flag))
 
 
 def eroded(mask: DataFrame, image: list[str], flag: str, rounds: int = 1) -> DataFrame:
@@ -238,14 +276,8 @@ def feathered(mask: DataFrame, image: list[str], weight: str, width: int = 10) -
     own = mask.select(*image, "y", "x", (F.coalesce(F.col(weight), F.lit(0.0)) > 0.5).alias("_on"))
     if width <= 0:
         return own.select(*image, "y", "x", F.col("_on").cast("double").alias(weight))
-    disc = [(dy, dx) for dy in range(-width, width + 1) for dx in range(-width, width + 1) if hypot(dy, dx) < width]
-    reach = _around(own.where(~F.col("_on")), image, disc).select(
-        *image, F.col("_ty").alias("y"), F.col("_tx").alias("x"),
-        F.sqrt((F.col("_o.dy") * F.col("_o.dy") + F.col("_o.dx") * F.col("_o.dx")).cast("double")).alias("_d"),
-    )
-    nearest = reach.groupBy(*image, "y", "x").agg(F.min("_d").alias("_d"))
-    value = F.when(~F.col("_on"), F.lit(0.0)).otherwise(F.coalesce(F.col("_d") / width, F.lit(1.0)))
-    return own.join(nearest, [*image, "y", "x"], "left").select(*image, "y", "x", F.least(value, F.lit(1.0)).alias(weight))
+    off = distances(own.withColumn("_off", ~F.col("_on")), image, "_off", "straight")
+    return off.select(*image, "y", "x", F.least(F.coalesce(F.col("d") / width, F.lit(1.0)), F.lit(1.0)).alias(weight))
 
 
 def soft_mask(mask: DataFrame, image: list[str], flag: str, radius: float = 10.0) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.operators import colour
+from starloom.operators import colour, stencil
 from starloom.plans import align, order
 from starloom.plans.session_cache import SessionCache
 
@@ -134,3 +134,40 @@ def test_each_session_is_registered_by_its_own_rotation(spark):
         assert {r.strategy for r in plain.collect()} == {name} and {(r.session, r.frame_id): r.matrix for r in plain.collect()} == {(r[0], r[1]): r[3] for r in rows}
     with pytest.raises(ValueError):
         align.mounted(moves, "dobson")
+
+
+# ---- distances
+
+
+@pytest.mark.parametrize("share", [0.0, 0.002, 0.05, 1.0])
+def test_distances_match_all_pairs(spark, share):
+    rng = np.random.default_rng(int(share * 1000))
+    height, width = 70, 90
+    on = rng.random((height, width)) < share
+    if share == 0.002:
+        on[:, 40:] = False  # columns without a set pixel
+    rows = [("a", y, x, bool(on[y, x])) for y in range(height) for x in range(width)] + [("b", 0, 0, None)]
+    mask = spark.createDataFrame(rows, "i string, y int, x int, m boolean").repartition(6)
+    y, x = np.indices(on.shape)
+    lit = np.argwhere(on)
+    for metric in ("steps", "straight"):
+        got = stencil.distances(mask, ["i"], "m", metric).toPandas().sort_values(["i", "y", "x"])
+        own = got[got.i == "a"].d.to_numpy().reshape(on.shape)
+        if not len(lit):
+            assert np.isnan(own).all()
+            continue
+        dy, dx = np.abs(y[..., None] - lit[:, 0]), np.abs(x[..., None] - lit[:, 1])
+        want = (dy + dx if metric == "steps" else np.hypot(dy, dx)).min(axis=-1)
+        assert np.allclose(own, want) and np.isnan(got[got.i == "b"].d).all()
+        if metric == "steps":
+            for radius in (1, 9, 50):
+                grown = stencil.dilated(mask, ["i"], "m", radius).where("i = 'a'").toPandas().sort_values(["y", "x"]).m.to_numpy().reshape(on.shape)
+                assert np.array_equal(grown, want <= radius)
+
+
+def test_growing_shuffles_the_same_whatever_the_radius(spark):
+    mask = spark.createDataFrame([(1, y, x, x == y) for y in range(20) for x in range(20)], "i int, y int, x int, m boolean")
+    plans = [stencil.dilated(mask, ["i"], "m", r)._jdf.queryExecution().executedPlan().toString() for r in (1, 50)]
+    assert all("Generate" not in p and "Join" not in p for p in plans) and plans[0].count("Exchange") == plans[1].count("Exchange")
+    with pytest.raises(ValueError):
+        stencil.distances(mask, ["i"], "m", "crow")
