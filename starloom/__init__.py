@@ -1,0 +1,3 @@
+"""Image sessions and training text as Spark jobs."""
+
+__version__ = "0.3.0"

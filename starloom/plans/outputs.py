@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starloom.functions.text import sanitised
 from starloom.operators.pixels import to_arrays
 from starloom.plans.align import SESSION, Planes, ProcessedSession, planes_of, warped_planes
+from starloom.plans.report import run_metadata
 from starloom.sources.fits_source import FitsSource
 from starloom.sources.pictures import encoded, write_files
 
@@ -48,7 +49,7 @@ def write_session(result: ProcessedSession, folder: str) -> dict[str, str]:
         out[kind] = f"{folder}/{kind}"
         write_files(encoded(shown, SESSION, ["r", "g", "b"], kind), out[kind], F.concat(sanitised(F.col("session").cast("string")), F.lit(f".{end}")))
     out["report"] = f"{folder}/report"
-    result.statistics.write.mode("overwrite").json(out["report"])
+    result.statistics.withColumns(run_metadata()).write.mode("overwrite").json(out["report"])
     return out
 
 

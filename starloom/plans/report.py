@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import platform
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom import __version__
 from starloom.operators.quality import ends
 
 
+def run_metadata() -> dict[str, Column]:
+    """version, platform, timestamp (UTC, ISO; one for the whole query) as columns for a report's rows."""
+    where = f"{platform.system()} {platform.release()} / Python {platform.python_version()} / Spark "
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    return {"version": F.lit(__version__), "platform": F.concat(F.lit(where), F.split(F.version(), " ")[0]), "timestamp": now}
+
+
 def manifests(scores: DataFrame, rejected: DataFrame, session: list[str], name: str, settings_hash: str) -> DataFrame:
     """session, manifest: JSON of inputs, kept and rejected frames with reasons, scores and the settings' hash."""
     kept = scores.groupBy(*session).agg(

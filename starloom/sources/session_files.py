@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.schema import TRANSFORMS_FILE
+from starloom.sources.fits import read_fits
 
 
 def shots_info(spark: SparkSession, pattern: str) -> DataFrame | None:
@@ -23,6 +24,17 @@ def _exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+# Where a session keeps its stack in colours, the finished one before the cached one.
+COLOUR_STACKS = ("stacked/master_rgb.fits", "cache/stack_rgb_linear.fits")
+
+
+def colour_stack(spark: SparkSession, path: str, hdu: int = 0) -> DataFrame | None:
+    """The stack in colours of a session's folder, or the file itself where path names one; None if there is none."""
+    found = [path] if path.endswith(".fits") else [f"{path.rstrip('/')}/{name}" for name in COLOUR_STACKS]
+    found = [p for p in found if _exists(spark, p)]
+    return read_fits(spark, found[0], hdu=hdu) if found else None
+
+
 def transforms(spark: SparkSession, pattern: str) -> DataFrame:
     """path, version, reference, metadata and one row per transform of every file that the pattern matches."""
     found = spark.read.format("binaryFile").load(pattern)

@@ -3,6 +3,7 @@
 import os
 import struct
 import zlib
+from datetime import UTC, datetime, timedelta
 
 import numpy as np
 import pytest
@@ -129,6 +130,18 @@ def test_headers_behind_large_units_need_no_pixels(spark, tmp_path):
     assert (first.error, first.height, first.data) == (None, 600, None) and (second.error, second.header["WHAT"], second.data) == (None, "5", None)
 
 
+def test_a_session_shows_its_finished_stack_before_the_cached_one(spark, tmp_path):
+    from starloom.sources.session_files import colour_stack
+
+    assert colour_stack(spark, str(tmp_path)) is None
+    for folder, name, level in (("cache", "stack_rgb_linear.fits", 1.0), ("stacked", "master_rgb.fits", 2.0)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / name).write_bytes(unit((3, 2, 2), np.full(12, level), ">f4", {}))
+        got = colour_stack(spark, str(tmp_path)).first()
+        assert (got.planes, got.data) == (3, [level] * 12)
+    assert colour_stack(spark, str(tmp_path / "cache" / "stack_rgb_linear.fits")).first().data == [1.0] * 12
+
+
 # ---- pictures
 
 
@@ -326,7 +339,9 @@ def test_a_session_leaves_masters_pictures_and_statistics(spark, tmp_path):
     assert np.allclose(np.reshape(back.data, (3, 4, 6))[0], 0.1 * np.arange(4)[:, None])
     png = pictures_read.read_pictures(spark, made["png"]).first()
     assert png.channels == 3 and png.data[:3] == [0.0, 0.0, 127.0]
-    assert pictures_read.read_pictures(spark, made["tiff"]).first().depth == 16 and spark.read.json(made["report"]).count() == 2
+    assert pictures_read.read_pictures(spark, made["tiff"]).first().depth == 16
+    report = spark.read.json(made["report"]).collect()
+    assert {r.n_frames for r in report} == {5, 7} and all(r.version and "Spark 4" in r.platform and abs(datetime.fromisoformat(r.timestamp) - datetime.now(UTC)) < timedelta(minutes=5) for r in report)
 
 
 def test_aligned_frames_with_own_planes_are_left_once_each(spark, tmp_path):
