@@ -362,19 +362,92 @@ def stretches(docs: DataFrame, wanted: DataFrame, extra: T.StructType) -> DataFr
     return joined.mapInArrow(run, kind)
 
 
-def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, near: int = 2) -> DataFrame:
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # the first k bytes of a little-endian number
+SLICE = 1 << 21  # bytes of stretches that are compared at a time, or one longer pair
+
+
+class Words:
+    """The words of stretches (words joined by one blank): where each begins, its bytes, and words[at[i]:at[i + 1]] of row i."""
+
+    def __init__(self, column: pa.Array):
+        column = column.cast(pa.large_binary())
+        _, offsets, data = column.buffers()
+        ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+        raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        self.bytes = np.concatenate((raw[ends[0] : ends[-1]], np.zeros(8, np.uint8)))
+        size = int(ends[-1] - ends[0])
+        ends = ends - ends[0]
+        filled = ends[1:] > ends[:-1]
+        blanks = np.flatnonzero(self.bytes[:size] == 0x20)
+        first, last = np.zeros(size + 1, bool), np.zeros(size + 1, bool)
+        first[blanks + 1] = last[blanks] = True
+        first[ends[:-1][filled]] = last[ends[1:][filled]] = True
+        self.start = np.flatnonzero(first)
+        self.length = np.flatnonzero(last) - self.start
+        self.at = np.searchsorted(self.start, ends)
+        #: the eight bytes from each place on as one number
+        self.eight = np.ndarray((size + 1,), "<u8", self.bytes, strides=(1,))
+
+    def same(self, i: np.ndarray, other: Words, j: np.ndarray) -> np.ndarray:
+        """Whether the words i are those of other at j, byte by byte."""
+        length = self.length[i]
+        same = length == other.length[j]
+        s, t = self.start[i], other.start[j]
+        live = np.flatnonzero(same)
+        for done in range(0, 64, 8):
+            mask = MASKS[np.minimum(length[live] - done, 8)]
+            alike = (self.eight[s[live] + done] & mask) == (other.eight[t[live] + done] & mask)
+            same[live[~alike]] = False
+            live = live[alike & (length[live] > done + 8)]
+            if not len(live):
+                return same
+        for k in live.tolist():  # words of more than 64 bytes
+            n = length[k]
+            same[k] = np.array_equal(self.bytes[s[k] : s[k] + n], other.bytes[t[k] : t[k] + n])
+        return same
+
+
+def slices_of(a: pa.Array, b: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose stretches hold about SLICE bytes on the longer side."""
+    size = np.cumsum(np.maximum(pc.binary_length(a).to_numpy(zero_copy_only=False), pc.binary_length(b).to_numpy(zero_copy_only=False)).astype(np.int64))
+    i = 0
+    while i < len(size):
+        j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + SLICE, side="right")))
+        yield i, j
+        i = j
+
+
+def one_by_one(match: Callable) -> Callable:
+    """A match of one pair as one of all pairs of a batch."""
+
+    def run(a: pa.Array, b: pa.Array, lo_a: np.ndarray, lo_b: np.ndarray, extra: pa.Array) -> tuple:
+        at, rows, sizes = [], [], []
+        for i, (x, y, more, low, other) in enumerate(zip(a.to_pylist(), b.to_pylist(), extra.to_pylist(), lo_a.tolist(), lo_b.tolist())):
+            x, y = x.split(), y.split()
+            sizes.append((len(x), len(y)))
+            for row in match(x, y, more, low, other):
+                at.append(i)
+                rows.append(row)
+        return np.array(at, np.int64), [np.array(c) for c in zip(*rows)], *np.array(sizes, np.int64).T
+
+    return run
+
+
+def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, near: int = 2, batches: bool = False) -> DataFrame:
     """match(words of a, words of b, extra) of every pair: rows (doc_id, start, end, other, other_start, other_end, ...).
 
     pairs: pair (unique long), a, a_lo, a_hi, b, b_lo, b_hi, extra (a struct). match yields tuples of start and end in
     a, start and end in b (relative to the stretches) and further values; match(x, y, extra, lo_a, lo_b) gets where the
-    stretches begin. A pair with a match that comes within `near` words of a stretch's edge, where the text goes on, is
+    stretches begin. With batches, it gets all pairs of a batch as arrays, each stretch as words joined by blanks, and
+    returns the pairs' places in the batch, those values as columns, and the numbers of words of all stretches of a and
+    of b. A pair with a match that comes within `near` words of a stretch's edge, where the text goes on, is
     compared again over wider stretches, at last over both whole texts.
     """
     names = T.StructType.fromDDL(schema).names
     out = None
     for wider in (500, 8000, 1 << 40):
         pairs = cut(pairs, "pairs")
-        found = cut(compared_once(docs, pairs, match, schema, near), "compared")
+        found = cut(compared_once(docs, pairs, match, schema, near, batches), "compared")
         good = found.where("not again").select(*names)
         out = good if out is None else out.union(good)
         again = found.where("again").select("pair").distinct()
@@ -384,44 +457,44 @@ def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, ne
         pairs = pairs.join(again, "pair", "left_semi").select(
             "pair", "a", "b", "extra", *(f(c).alias(c) for c, f in (("a_lo", low), ("a_hi", high), ("b_lo", low), ("b_hi", high)))
         )
-    return out.union(compared_once(docs, pairs, match, schema, near).select(*names))
+    return out.union(compared_once(docs, pairs, match, schema, near, batches).select(*names))
 
 
-def compared_once(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, near: int) -> DataFrame:
+def compared_once(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, near: int, batches: bool = False) -> DataFrame:
     """The rows of `compared` over the stretches as they are, with pair and again (a match reaches a stretch's edge)."""
     extra = pairs.schema["extra"].dataType
     side_a = pairs.select(F.col("a").alias("unit"), "pair", F.lit(0).alias("side"), F.col("a_lo").cast("long").alias("lo"), F.col("a_hi").cast("long").alias("hi"), "extra")
     side_b = pairs.select(F.col("b").alias("unit"), "pair", F.lit(1).alias("side"), F.col("b_lo").cast("long").alias("lo"), F.col("b_hi").cast("long").alias("hi"), "extra")
     both = stretches(docs, side_a.union(side_b), extra).repartition("pair").sortWithinPartitions("pair", "side")
+    kind = T.StructType.fromDDL(f"{schema}, pair long, again boolean")
+    arrow = to_arrow_schema(kind)
+    match = match if batches else one_by_one(match)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = None
+        held = None
         for batch in batches:
-            rows = []
-            more = batch.column(6)
-            for i, (pair, side, doc, lo, words, goes_on) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(6)))):
-                if side == 0:  # a repeated row brings its stretch again
-                    left = (pair, doc, lo, words, goes_on)
-                    seen = False
-                    continue
-                if left is None or left[0] != pair or seen:
-                    continue
-                seen = True
-                _, doc_a, la, wa, more_a = left
-                x, y, lb = wa.split(), words.split(), lo
-                for s, e, u, v, *rest in (got := list(match(x, y, more[i].as_py(), la, lb))):
-                    rows.append((doc_a, la + s, la + e, doc, lb + u, lb + v, *rest, pair))
-                    rows.append((doc, lb + u, lb + v, doc_a, la + s, la + e, *rest, pair))
-                again = any(
-                    (la > 0 and s < near) or (lb > 0 and u < near) or (more_a and e > len(x) - near) or (goes_on and v > len(y) - near)
-                    for s, e, u, v, *_ in got
-                )
-                if got:
-                    rows[-2 * len(got) :] = [(*r, again) for r in rows[-2 * len(got) :]]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t.type) for k, t in enumerate(arrow)], schema=arrow)
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            pair, side, doc, lo, more = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 3, 5))
+            held = batch.slice(len(pair) - 1) if len(pair) and side[-1] == 0 else None
+            #: a repeated row brings its stretch again: the last of one side meets the first of the other
+            b = np.flatnonzero((side[1:] == 1) & (side[:-1] == 0) & (pair[1:] == pair[:-1])) + 1
+            if not len(b):
+                continue
+            a = b - 1
+            i, found, in_a, in_b = match(batch.column(4).take(pa.array(a)), batch.column(4).take(pa.array(b)), lo[a], lo[b], batch.column(6).take(pa.array(b)))
+            if not len(i):
+                continue
+            s, e, u, v, *rest = found
+            edge = ((lo[a][i] > 0) & (s < near)) | ((lo[b][i] > 0) & (u < near))
+            edge |= (more[a][i] & (e > in_a[i] - near)) | (more[b][i] & (v > in_b[i] - near))
+            again = np.zeros(len(a), bool)
+            again[i[edge]] = True
+            one, other = ([doc[k][i], lo[k][i] + x, lo[k][i] + y] for k, x, y in ((a, s, e), (b, u, v)))
+            last = [*rest, pair[a][i], again[i]]
+            cols = [np.concatenate(c) for c in zip([*one, *other, *last], [*other, *one, *last])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow)], schema=arrow)
 
-    kind = T.StructType.fromDDL(f"{schema}, pair long, again boolean")
-    arrow = to_arrow_schema(kind)
     return both.mapInArrow(run, kind)
 
 
