@@ -444,6 +444,7 @@ def compared(docs: DataFrame, pairs: DataFrame, match: Callable, schema: str, ne
     compared again over wider stretches, at last over both whole texts.
     """
     names = T.StructType.fromDDL(schema).names
+    docs = docs.hint("merge")  # what is asked of texts grows with them: no size at which it is broadcast
     out = None
     for wider in (500, 8000, 1 << 40):
         pairs = cut(pairs, "pairs")
