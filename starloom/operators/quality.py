@@ -61,6 +61,16 @@ def scored(
     )
 
 
+def with_stars(scores: DataFrame, lists: DataFrame, keys: list[str]) -> DataFrame:
+    """scores of frames with their stars counted: n_stars of lists (keys, n_stars), 0 where there is none, and the score times 1 + n_stars.
+
+    What is joined is a row of numbers a frame, so the frames' data are not dealt out for it.
+    """
+    n = F.coalesce("_stars", F.lit(0))
+    own = scores.join(lists.select(*keys, F.col("n_stars").alias("_stars")), keys, "left")
+    return own.withColumns({"n_stars": n, "composite_score": F.col("composite_score") * (1 + n)}).drop("_stars")
+
+
 def grouped_mad(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """keys, median, mad, noise over pixel rows (any grouping): the deviation's median over one partitioning."""
     w = Window.partitionBy(*keys)

@@ -113,16 +113,6 @@ def flat(column: pa.ChunkedArray) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks]).astype(float)
 
 
-def tile_pixels(tiles: DataFrame, image: list[str], results: dict[str, str]) -> DataFrame:
-    """image, y, x and the results (name -> kind) as pixel rows; only a stack's own pixels become rows, not the frames'."""
-    rows = tiles.select(*image, "width", "span", "tile", F.posexplode(F.arrays_zip(*results)).alias("_i", "_v"))
-    place = F.col("tile").cast("long") * F.col("span") + F.col("_i")
-    return rows.select(
-        *image, F.floor(place / F.col("width")).cast("int").alias("y"), (place % F.col("width")).cast("int").alias("x"),
-        *[F.col(f"_v.{r}").cast(kind).alias(r) for r, kind in results.items()],
-    )
-
-
 def finite(v: np.ndarray) -> np.ndarray:
     return np.where(np.isfinite(v), v, np.nan)
 
@@ -148,15 +138,16 @@ def clipped(v: np.ndarray, valid: np.ndarray, sigma: float, rounds: int, centre:
     return out
 
 
-def clip_mean(sigma: float = 3.0, rounds: int = 5, centre: str = "median") -> Reduction:
-    """Means of what clipping keeps; n frames, n_kept the least kept over the values."""
+def clip_mean(sigma: float = 3.0, rounds: int = 5, centre: str = "median", threshold: float | None = None) -> Reduction:
+    """Means of what clipping keeps; n frames (with a threshold, those of more weight), n_kept the least kept over the values."""
     if centre not in ("median", "mean"):
         raise ValueError(f"unknown centre {centre}")
 
     def reduce(v, w, always):
-        kept = {a: clipped(x, np.ones(x.shape, bool), sigma, rounds, centre) for a, x in v.items()}
+        valid = np.ones(w.shape, bool) if threshold is None else w > threshold
+        kept = {a: clipped(x, valid, sigma, rounds, centre) for a, x in v.items()}
         counts = np.min([(~np.isnan(x)).sum(axis=0) for x in kept.values()], axis=0)
-        return {a: quietly(np.nanmean, x) for a, x in kept.items()} | {"n": np.full(w.shape[1], len(w)), "n_kept": counts}
+        return {a: quietly(np.nanmean, x) for a, x in kept.items()} | {"n": valid.sum(axis=0), "n_kept": counts}
 
     return reduce
 

@@ -299,35 +299,34 @@ def mounted(transforms: DataFrame, mount: str = "altaz", threshold: float = 0.1,
 
 
 @dataclass
-class AlignedSession:
+class Registered:
+    """The kept frames of sessions and how they lie: scores, references (session, reference), frames, transforms."""
+
     scores: DataFrame
     references: DataFrame
-    transforms: DataFrame | None
-    master: DataFrame
+    frames: DataFrame
+    transforms: DataFrame
 
 
-def aligned_session(frames: DataFrame, settings: StackSettings | None = None) -> AlignedSession:
-    """frames (session, frame_id, height, width, data) -> scores, reference, transforms and master, as the settings say.
+def registered(frames: DataFrame, settings: StackSettings | None = None) -> Registered:
+    """frames (session, frame_id, height, width, data) scored with their stars, selected and registered as the settings say.
 
-    Scores count stars. Star lists, scores and transforms are tables in the shared folder, each made once. align: astroalign by star patterns, integer by phase correlation, none. debayer: none (mono),
-    superpixel, bilinear or planes. Sessions in which max_align_fail frames in a row fail give no master. Frames of more
-    than one size in a session fail at once, since places would not mean the same.
+    Star lists, scores and transforms are tables in the shared folder, each made once. align: astroalign by star patterns,
+    integer by phase correlation (whole pixels, of mosaics even ones), none. Sessions in which max_align_fail frames in a
+    row fail have no transforms.
     """
     s = (settings or StackSettings()).validate()
     mono = s.debayer == "none"
     lists = cut(star_lists(frames, method=None if mono else "superpixel"), "star-lists")  # the stars of a frame are looked for once
-    counted = frames.join(lists.select(*KEYS, "n_stars"), KEYS)
-    scores = quality.selected(
-        quality.scored(counted, KEYS, saturation=s.saturation_threshold, full_scale=s.full_scale, stars=F.col("n_stars")), SESSION, "frame_id", s.keep_fraction
-    )
-    scores = cut(scores, "scores")
+    plain = quality.scored(frames, KEYS, saturation=s.saturation_threshold, full_scale=s.full_scale)
+    scores = cut(quality.selected(quality.with_stars(plain, lists, KEYS), SESSION, "frame_id", s.keep_fraction), "scores")
     kept = scores.where("kept").select(*KEYS)
     references = quality.reference_frame(scores.where("kept"), SESSION, "frame_id", s.reference)
     own = frames.join(kept, KEYS, "left_semi")
     if s.align == "none":
         identity = F.array(*[F.array(*[F.lit(float(i == j)) for j in range(3)]) for i in range(3)])
-        transforms = own.select(*KEYS, F.lit(True).alias("success"), F.lit("").alias("error_message"), identity.alias("matrix"), F.lit(0).alias("n_matches"))
-    elif s.align == "integer":
+        return Registered(scores, references, own, kept.select(*KEYS, F.lit(True).alias("success"), F.lit("").alias("error_message"), identity.alias("matrix"), F.lit(0).alias("n_matches")))
+    if s.align == "integer":
         ref = frames.join(references, SESSION).where("frame_id = reference").drop("reference")
         moved = register.integer_shifts(own, ref, SESSION, even=not mono)
         step = 1.0 if mono else 0.5  # whole pixels of the mosaic are half ones of its planes
@@ -337,16 +336,39 @@ def aligned_session(frames: DataFrame, settings: StackSettings | None = None) ->
         transforms = transforms_by_stars(lists.join(kept, KEYS, "left_semi"), references)
     else:
         raise ValueError(f"unknown alignment {s.align}")
-    transforms = cut(within_failures(transforms, s.max_align_fail), "transforms")
-    if mono:
-        px = warped_tiles(own, transforms, "mono", half=False)
-        got = tiles.stacked_tiles(px, SESSION, "frame_id", ["v"], tiles.masked_clip_mean(s.sigma, s.maxiters), ["v", "coverage"], "mask")
-        master = tiles.tile_pixels(got, SESSION, {"v": "double", "coverage": "long"})
-    elif s.debayer == "planes":
-        master = plane_stack(own, transforms, references, s.sigma)
+    return Registered(scores, references, own, cut(within_failures(transforms, s.max_align_fail), "transforms"))
+
+
+def colour_stack(got: Registered, s: StackSettings) -> DataFrame:
+    """The colour master of registered frames: planes (r, g, b at full size), else superpixel or bilinear with coverage."""
+    if s.debayer == "planes":
+        return plane_stack(got.frames, got.transforms, got.references, s.sigma)
+    return rgb_stack(got.frames, got.transforms, s.debayer, s.sigma, s.maxiters)
+
+
+@dataclass
+class AlignedSession:
+    scores: DataFrame
+    references: DataFrame
+    transforms: DataFrame
+    master: DataFrame
+
+
+def aligned_session(frames: DataFrame, settings: StackSettings | None = None) -> AlignedSession:
+    """frames (session, frame_id, height, width, data) -> scores, reference, transforms and master, as the settings say.
+
+    See registered. debayer: none (mono), superpixel, bilinear or planes. Sessions without transforms give no master.
+    Frames of more than one size in a session fail at once, since places would not mean the same.
+    """
+    s = (settings or StackSettings()).validate()
+    got = registered(frames, s)
+    if s.debayer == "none":
+        px = warped_tiles(got.frames, got.transforms, "mono", half=False)
+        stacked = tiles.stacked_tiles(px, SESSION, "frame_id", ["v"], tiles.masked_clip_mean(s.sigma, s.maxiters), ["v", "coverage"], "mask")
+        master = tiles.tile_pixels(stacked, SESSION, {"v": "double", "coverage": "long"})
     else:
-        master = rgb_stack(own, transforms, s.debayer, s.sigma, s.maxiters)
-    return AlignedSession(scores, references, transforms, master)
+        master = colour_stack(got, s)
+    return AlignedSession(got.scores, got.references, got.transforms, master)
 
 
 @dataclass

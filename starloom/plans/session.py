@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import mosaic, tone
-from starloom.operators import background, colour, quality, register, stack, stencil
+from starloom.operators import background, colour, stack, stencil, tiles
 from starloom.operators.pixels import to_pixels
+from starloom.plans import align
 from starloom.schema import LuminanceSettings, StackSettings
 
 SESSION = ["session"]
@@ -19,42 +20,33 @@ SESSION = ["session"]
 class StackResult:
     scores: DataFrame
     references: DataFrame
-    shifts: DataFrame | None
+    transforms: DataFrame
     master: DataFrame
     statistics: DataFrame
 
 
-def aligned_pixels(frames: DataFrame, scores: DataFrame, align: bool) -> tuple[DataFrame, DataFrame | None, DataFrame]:
-    """Pixel rows of the kept frames, moved onto the reference by whole pixels, with weight 0 where nothing was."""
-    kept = frames.join(scores.where("kept").select(*SESSION, "frame_id"), [*SESSION, "frame_id"], "left_semi")
-    best = quality.reference_frame(scores.where("kept"), SESSION, "frame_id")
-    keys = [*SESSION, "frame_id"]
-    if not align:
-        return to_pixels(kept, keys, {"v": "data"}).withColumn("w", F.lit(1.0)), None, best
-    ref = frames.join(best, SESSION).where("frame_id = reference").drop("reference")
-    shifts = register.integer_shifts(kept, ref, SESSION)
-    good = shifts.where("success").select(*keys, F.col("dy").alias("_dy"), F.col("dx").alias("_dx"))
-    pixels = to_pixels(kept.withColumnRenamed("height", "_h").withColumn("_w2", F.col("width")), [*keys, "_h", "_w2"], {"v": "data"})
-    moved = pixels.join(good, keys).withColumns({"y": F.col("y") + F.col("_dy"), "x": F.col("x") + F.col("_dx")})
-    inside = (F.col("y") >= 0) & (F.col("y") < F.col("_h")) & (F.col("x") >= 0) & (F.col("x") < F.col("_w2"))
-    return moved.where(inside).select(*keys, "y", "x", "v", F.lit(1.0).alias("w")), shifts, best
+def stacked_session(frames: DataFrame, settings: StackSettings | None = None, exposure: float = 15.0) -> StackResult:
+    """frames (session, frame_id, height, width, data) -> scores, reference, transforms, master, statistics.
 
-
-def stacked_session(frames: DataFrame, settings: StackSettings | None = None, exposure: float = 15.0, align: bool = False) -> StackResult:
-    """frames (session, frame_id, height, width, data) -> scores, reference, shifts, master, statistics.
-
-    Scoring and selection see one row per frame; only the kept frames become pixels and are dealt out by pixel.
+    Scores count stars; settings.align and settings.debayer say how frames are registered and stacked (see
+    align.registered). Without demosaicing the master has v, n (frames that lie there) and n_kept, clipped about the
+    median; else it is that of align.aligned_session, whose statistics name the usual clipped share. Frames are cut into
+    tiles, and only the pixels of the stack become rows. Frames of a session have one size; those without data drop out.
     """
     s = (settings or StackSettings()).validate()
-    scores = quality.selected(
-        quality.scored(frames, [*SESSION, "frame_id"], saturation=s.saturation_threshold, full_scale=s.full_scale), SESSION, "frame_id", s.keep_fraction
-    )
-    pixels, shifts, best = aligned_pixels(frames, scores, align)
-    keys = [*SESSION, "y", "x"]
-    master = stack.sigma_clip_mean(pixels, keys, ["v"], s.sigma, s.maxiters)
-    n = scores.where("kept").groupBy(*SESSION).agg(F.count(F.lit(1)).alias("n_kept_frames"))
-    with_n = master.join(n, SESSION)
-    return StackResult(scores, best, shifts, master, stack.stack_statistics(with_n, SESSION, "v", "n_kept_frames", exposure))
+    got = align.registered(frames, s)
+    n = got.transforms.where("success").groupBy(*SESSION).agg(F.count(F.lit(1)).alias("n_stacked"))
+    if s.debayer != "none":
+        master = align.colour_stack(got, s)
+        return StackResult(got.scores, got.references, got.transforms, master, stack.joint_statistics(master.join(n, SESSION), SESSION, "n_stacked", exposure))
+    if s.align == "none":  # places mean the same as they are: nothing to resample
+        whole = tiles.with_span(got.frames.withColumnRenamed("data", "v"), SESSION, 1)
+        cut, weight, threshold = tiles.in_tiles(whole, [*align.KEYS, "width", "span"], ["v"]), None, None
+    else:
+        cut, weight, threshold = align.warped_tiles(got.frames, got.transforms, "mono", half=False), "mask", 0.5
+    stacked = tiles.stacked_tiles(cut, SESSION, "frame_id", ["v"], tiles.clip_mean(s.sigma, s.maxiters, threshold=threshold), ["v", "n", "n_kept"], weight)
+    master = tiles.tile_pixels(stacked, SESSION, {"v": "double", "n": "long", "n_kept": "long"})
+    return StackResult(got.scores, got.references, got.transforms, master, stack.stack_statistics(master.join(n, SESSION), SESSION, "v", "n_stacked", exposure))
 
 
 def colour_master(frames: DataFrame, settings: StackSettings | None = None) -> DataFrame:

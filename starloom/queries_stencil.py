@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from starloom import fixtures as fx
@@ -387,7 +389,7 @@ def field_rotation(spark, sf):
     return tidy(rg.field_rotation(own, IMAGE, "frame_id"))
 
 
-SETTINGS = StackSettings(full_scale=26000.0)
+SETTINGS = StackSettings(full_scale=26000.0, align="none")
 
 
 def _stacked_sql() -> str:
@@ -405,7 +407,7 @@ def stacked_sessions(spark, sf):
 
 @query("aligned_sessions", None)
 def aligned_sessions(spark, sf):
-    return tidy(session.stacked_session(fx.frames(spark, sf), SETTINGS, align=True).master)
+    return tidy(session.stacked_session(fx.frames(spark, sf), replace(SETTINGS, align="integer")).master)
 
 
 _SNR = rounded("max(n) * 15.0 AS total_exposure_s", "1 - avg(n_kept) / max(n) AS mean_clipped_fraction", "median(v) / nullif(1.4826 * median(abs(v - med)), 0) AS snr_proxy")

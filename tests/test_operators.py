@@ -301,8 +301,8 @@ def test_plans_end_to_end(spark):
     base = 400 * np.exp(-((y - 12) ** 2 + (x - 12) ** 2) / 10) + 1000
     rows = [(0, i, 24, 24, (np.roll(base, (2 * (i % 2), 0), (0, 1)) + rng.normal(0, 3, base.shape)).ravel().tolist()) for i in range(14)]
     own = spark.createDataFrame(rows, "session int, frame_id long, height int, width int, data array<double>")
-    got = session.stacked_session(own, StackSettings(keep_fraction=0.9), align=True)
-    assert got.scores.where("kept").count() == 12 and got.shifts.where("success").count() == 12
+    got = session.stacked_session(own, StackSettings(keep_fraction=0.9, align="integer"))
+    assert got.scores.where("kept").count() == 12 and got.transforms.where("success").count() == 12
     m = got.master.orderBy("y", "x").select("v").toPandas().v.to_numpy().reshape(24, 24)
     assert m.max() > 1350  # sharp, as the frames were brought together
 
