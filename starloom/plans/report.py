@@ -37,6 +37,21 @@ def manifests(scores: DataFrame, rejected: DataFrame, session: list[str], name:
     return own.select(*session, F.to_json(body).alias("manifest"))
 
 
+def manifest_frames(rows: DataFrame, session: list[str], kind: str = "bigint") -> DataFrame:
+    """session, name, rank, score, kept, reason of every frame that the manifests (column manifest) name; kind is that of names.
+
+    Scored frames have rank and score, rejected ones a reason; a text that is no manifest gives no rows.
+    """
+    body = f"kept array<{kind}>, rejected array<struct<name:{kind},reason:string>>, scores array<struct<rank:int,name:{kind},score:double>>"
+    own = rows.select(*session, F.from_json("manifest", body).alias("m"))
+    keys = [*session, "name"]
+    scores = own.select(*session, F.explode("m.scores").alias("s")).select(*keys[:-1], "s.name", "s.rank", "s.score")
+    kept = own.select(*session, F.explode("m.kept").alias("name"), F.lit(True).alias("kept"))
+    lost = own.select(*session, F.explode("m.rejected").alias("s")).select(*keys[:-1], "s.name", "s.reason")
+    got = scores.join(kept, keys, "left").join(lost, keys, "full")
+    return got.select(*keys, "rank", "score", F.coalesce("kept", F.lit(False)).alias("kept"), "reason")
+
+
 def markdown(scores: DataFrame, rejected: DataFrame, stats: DataFrame, session: list[str], name: str, n: int = 5) -> DataFrame:
     """session, report: summary, statistics, rejections by reason, the best and worst frames, as Markdown."""
     line = F.concat(F.lit("- "), F.col(name), F.lit(": "), F.format_string("%.4f", F.col("composite_score")))

@@ -360,7 +360,28 @@ def warp_masks(spark, sf):
     return tidy(to_pixels(own, FRAME, {"m": "d"}).drop("pos"))
 
 
-@query("phase_shifts")
+_TURN = "2 * pi() * (u * {y} + w * {x}) / 8"
+_SHIFT = (
+    "sp AS MATERIALIZED (SELECT session, frame_id, u, w, sum(v * cos({a})) AS re, -sum(v * sin({a})) AS im FROM {frames}, range(8) a(u), range(8) b(w) GROUP BY ALL), "
+    "cp AS (SELECT s.session, s.frame_id, s.u, s.w, r.re * s.re + r.im * s.im AS re, r.im * s.re - r.re * s.im AS im FROM sp s JOIN {reference} f ON s.session = f.session "
+    "JOIN sp r ON r.session = f.session AND r.frame_id = f.reference AND r.u = s.u AND r.w = s.w), "
+    "wh AS MATERIALIZED (SELECT session, frame_id, u, w, re / greatest(sqrt(re * re + im * im), 1e-12::DOUBLE) AS re, im / greatest(sqrt(re * re + im * im), 1e-12::DOUBLE) AS im FROM cp), "
+    "iv AS (SELECT session, frame_id, p, q, sum(re * cos({b}) - im * sin({b})) / 64 AS re, sum(re * sin({b}) + im * cos({b})) / 64 AS im FROM wh, range(8) a(p), range(8) b(q) GROUP BY ALL), "
+    "pk AS (SELECT *, row_number() OVER (PARTITION BY session, frame_id ORDER BY round(sqrt(re * re + im * im), 9) DESC, p * 8 + q) AS nth FROM iv), "
+    "sh AS MATERIALIZED (SELECT session, frame_id, CASE WHEN p > 4 THEN p - 8 ELSE p END AS dy, CASE WHEN q > 4 THEN q - 8 ELSE q END AS dx FROM pk WHERE nth = 1)"
+)
+
+
+def _shift_sql(frames: str, reference: str) -> str:
+    """CTE sh (session, frame_id, dy, dx): the moves that bring frames (8 x 8 pixel rows) onto the reference (session, reference)."""
+    return _SHIFT.format(a=_TURN.format(y="y", x="x"), b=_TURN.format(y="p", x="q"), frames=frames, reference=reference)
+
+
+@query(
+    "phase_shifts",
+    f"WITH {fx.PX}, rf AS (SELECT session, min(frame_id) AS reference FROM px GROUP BY 1), {_shift_sql('px', 'rf')} "
+    "SELECT session::BIGINT AS session, frame_id, (2 * round_even(dy / 2, 0))::BIGINT AS dy, (2 * round_even(dx / 2, 0))::BIGINT AS dx, true AS success, '' AS error FROM sh",
+)
 def phase_shifts(spark, sf):
     own = fx.frames(spark, sf)
     ref = own.join(own.groupBy("session").agg(F.min("frame_id").alias("frame_id")), ["session", "frame_id"], "left_semi").drop("frame_id")
@@ -405,7 +426,19 @@ def stacked_sessions(spark, sf):
     return tidy(session.stacked_session(fx.frames(spark, sf), SETTINGS).master)
 
 
-@query("aligned_sessions", None)
+def _aligned_sql() -> str:
+    from starloom.queries_frames import RANKED
+    from starloom.queries_stack import clip_sql
+
+    return (
+        f"WITH {RANKED}, kp AS MATERIALIZED (SELECT px.session, px.frame_id, px.y, px.x, px.v, rank FROM px JOIN rk USING (session, frame_id) WHERE rank <= greatest(1, floor(n * 0.92::DOUBLE))), "
+        f"rf AS (SELECT DISTINCT session, frame_id AS reference FROM kp WHERE rank = 1), {_shift_sql('kp', 'rf')}, "
+        "mv AS (SELECT kp.session, kp.frame_id, kp.y + dy AS y, kp.x + dx AS x, v FROM kp JOIN sh USING (session, frame_id) WHERE kp.y + dy BETWEEN 0 AND 7 AND kp.x + dx BETWEEN 0 AND 7), "
+        f"{clip_sql('mv', 'session, y, x', ['v'], 3, 5, 'median')}, k AS (SELECT session, y, x, avg(v) AS v, count(*) AS n, count(v) AS n_kept FROM c5 GROUP BY ALL)"
+    )
+
+
+@query("aligned_sessions", f"{_aligned_sql()} SELECT {HEAD}, {rounded('v')}, n, n_kept FROM k")
 def aligned_sessions(spark, sf):
     return tidy(session.stacked_session(fx.frames(spark, sf), replace(SETTINGS, align="integer")).master)
 
@@ -439,7 +472,29 @@ def manifests(spark, sf):
     return tidy(report.manifests(s, lost, IMAGE, "frame_id", SETTINGS.fingerprint()))
 
 
-@query("reports", None)
+@query(
+    "manifest_frames",
+    _stacked_sql().split(", kp AS")[0] + f" SELECT session::BIGINT AS session, frame_id AS name, rank, {rounded('composite_score AS score')}, rank <= greatest(1, floor(n * 0.92::DOUBLE)) AS kept, "
+    "CASE WHEN frame_id % 17 = 0 THEN 'failed_prefix' END AS reason FROM rk",
+)
+def manifest_frames(spark, sf):
+    """What manifests say, read back from their JSON."""
+    return tidy(report.manifest_frames(manifests(spark, sf), IMAGE))
+
+
+_LINE = "string_agg('- ' || frame_id || ': ' || printf('%.4f', composite_score), chr(10) ORDER BY rank)"
+
+
+@query(
+    "reports",
+    f"{_stacked_sql()}, d AS (SELECT *, median(v) OVER (PARTITION BY session) AS med FROM k), "
+    "st AS (SELECT session, max(n) AS n_frames, max(n) * 15.0::DOUBLE AS exposure, 1 - avg(n_kept) / max(n) AS share, coalesce(median(v) / nullif(1.4826::DOUBLE * median(abs(v - med)), 0), 0) AS snr FROM d GROUP BY 1), "
+    f"pl AS (SELECT session, {_LINE} FILTER (WHERE rank <= 5) AS top, {_LINE} FILTER (WHERE n > 5 AND rank > n - 5) AS bottom FROM rk GROUP BY 1), "
+    "lo AS (SELECT label AS session, '- failed_prefix: ' || count(*) AS reasons FROM embeddings WHERE vec_id % 17 = 0 GROUP BY 1) "
+    "SELECT st.session::BIGINT AS session, concat_ws(chr(10), '# Run report', '- frames: ' || n_frames, printf('- total_exposure_s: %.4f', exposure), printf('- mean_clipped_fraction: %.4f', share), "
+    "printf('- snr_proxy: %.4f', snr), '## Rejected', coalesce(reasons, 'none'), '## Best', top, '## Worst' || chr(10) || bottom) AS report "
+    "FROM st LEFT JOIN pl USING (session) LEFT JOIN lo USING (session)",
+)
 def reports(spark, sf):
     got = session.stacked_session(fx.frames(spark, sf), SETTINGS)
     lost = fx.names(spark, sf).where("frame_id % 17 = 0").select("session", "frame_id", F.lit("failed_prefix").alias("reason"))
