@@ -372,14 +372,14 @@ _SHIFT = (
 )
 
 
-def _shift_sql(frames: str, reference: str) -> str:
+def shift_sql(frames: str, reference: str) -> str:
     """CTE sh (session, frame_id, dy, dx): the moves that bring frames (8 x 8 pixel rows) onto the reference (session, reference)."""
     return _SHIFT.format(a=_TURN.format(y="y", x="x"), b=_TURN.format(y="p", x="q"), frames=frames, reference=reference)
 
 
 @query(
     "phase_shifts",
-    f"WITH {fx.PX}, rf AS (SELECT session, min(frame_id) AS reference FROM px GROUP BY 1), {_shift_sql('px', 'rf')} "
+    f"WITH {fx.PX}, rf AS (SELECT session, min(frame_id) AS reference FROM px GROUP BY 1), {shift_sql('px', 'rf')} "
     "SELECT session::BIGINT AS session, frame_id, (2 * round_even(dy / 2, 0))::BIGINT AS dy, (2 * round_even(dx / 2, 0))::BIGINT AS dx, true AS success, '' AS error FROM sh",
 )
 def phase_shifts(spark, sf):
@@ -432,7 +432,7 @@ def _aligned_sql() -> str:
 
     return (
         f"WITH {RANKED}, kp AS MATERIALIZED (SELECT px.session, px.frame_id, px.y, px.x, px.v, rank FROM px JOIN rk USING (session, frame_id) WHERE rank <= greatest(1, floor(n * 0.92::DOUBLE))), "
-        f"rf AS (SELECT DISTINCT session, frame_id AS reference FROM kp WHERE rank = 1), {_shift_sql('kp', 'rf')}, "
+        f"rf AS (SELECT DISTINCT session, frame_id AS reference FROM kp WHERE rank = 1), {shift_sql('kp', 'rf')}, "
         "mv AS (SELECT kp.session, kp.frame_id, kp.y + dy AS y, kp.x + dx AS x, v FROM kp JOIN sh USING (session, frame_id) WHERE kp.y + dy BETWEEN 0 AND 7 AND kp.x + dx BETWEEN 0 AND 7), "
         f"{clip_sql('mv', 'session, y, x', ['v'], 3, 5, 'median')}, k AS (SELECT session, y, x, avg(v) AS v, count(*) AS n, count(v) AS n_kept FROM c5 GROUP BY ALL)"
     )
