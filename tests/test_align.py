@@ -12,7 +12,7 @@ from starloom import queries_align as qa
 from starloom.functions.tone import palette_names
 from starloom.operators import background, colour, register, stack, tiles
 from starloom.operators.pixels import to_pixels
-from starloom.plans import align, report
+from starloom.plans import align, report, session
 from starloom.plans.align import KEYS, SESSION
 from starloom.schema import StackSettings
 from starloom.sources import session_files
@@ -204,6 +204,39 @@ def test_settings_choose_by_phase(spark):
     assert sorted(abs(v) for m in moves.values() for v in m) == [0, 0, 4, 6]
 
 
+def test_one_stack_plan_follows_the_settings(spark, moved):
+    own, images, _ = moved
+    kept = StackSettings(keep_fraction=1.0)
+    sharp = session.stacked_session(own, kept)
+    plain = session.stacked_session(own, StackSettings(keep_fraction=1.0, align="none"))
+    assert all(r.n_stars >= 15 for r in plain.scores.collect())
+    peaks = [np.percentile([r.v for r in s.master.collect()], 99.7) for s in (sharp, plain)]
+    assert peaks[0] > 1.05 * peaks[1]
+    rows = {(r.y, r.x): r for r in plain.master.collect()}
+    assert len(rows) == SIDE * SIDE and {r.n for r in rows.values()} == {4}
+    assert abs(rows[5, 5].v - np.mean([i[5, 5] for i in images])) < 1e-6
+    assert min(r.n for r in sharp.master.collect()) >= 1  # places that only some frames reach count those
+    colours = session.stacked_session(own, StackSettings(keep_fraction=1.0, align="none", debayer="superpixel"))
+    assert colours.master.count() == (SIDE // 2) ** 2 and colours.statistics.first().n_frames == 4
+    with pytest.raises(ValueError):
+        session.stacked_session(own, StackSettings(align="other"))
+
+
+def test_sessions_that_fail_to_align_give_no_master(spark, moved):
+    dark = frames(spark, [np.full((SIDE, SIDE), 5.0)] * 3, session=2)
+    got = session.stacked_session(moved[0].union(dark), StackSettings(keep_fraction=1.0, max_align_fail=2))
+    assert {r.session for r in got.master.select("session").distinct().collect()} == {1}
+    assert {r.session for r in got.statistics.collect()} == {1}
+
+
+def test_manifests_are_read_back(spark):
+    scores = spark.createDataFrame([(1, "a", 1, 0.5, True), (1, "b", 2, 0.25, False)], "session int, name string, rank int, composite_score double, kept boolean")
+    lost = spark.createDataFrame([(1, "b", "low_quality_score"), (2, "c", "failed_prefix")], "session int, name string, reason string")
+    made = report.manifests(scores, lost, ["session"], "name", "abc").union(spark.createDataFrame([(3, "no manifest"), (4, None)], "session int, manifest string"))
+    got = {tuple(r) for r in report.manifest_frames(made, ["session"], "string").collect()}
+    assert got == {(1, "a", 1, 0.5, True, None), (1, "b", 2, 0.25, False, "low_quality_score"), (2, "c", None, None, False, "failed_prefix")}
+
+
 def test_small_rings_are_rejected(spark):
     rows = [(1, y, x, *(3 * [1000.0 if (y - 15) ** 2 + (x - 15) ** 2 <= 9 else 10.0 + (x * 7 + y * 3) % 5])) for y in range(31) for x in range(31)]
     px = spark.createDataFrame(rows, "session int, y int, x int, r double, g double, b double")
