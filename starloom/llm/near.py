@@ -4,10 +4,10 @@ Texts of similarity s differ in about acos(2 s / (1 + s)) / pi of their fingerpr
 from less, and a radius that holds all of them fits 64 bits badly. Here 256 bits are grouped by correlation; dynamic
 programming over estimated candidate counts gives each group a threshold of its own, as cheaply as the wanted share of
 pairs of similarity s still differs by no more than the threshold in some group. Fingerprints that meet are verified on
-all bits. Distances are estimates: only links so close that they hold almost surely are thinned to a spanning forest, so
-groups of copies stay linear; all others that join different trees of it are kept. Buckets of more than 256 rows keep the
-forest by distance and every row's nearest further partners. What is kept is verified by exact Jaccard similarity of the
-whole texts.
+all bits. Distances are estimates, so they only tell which texts may be linked, directly or by others: every bucket gives
+a spanning forest of its pairs within reach, which is linear in its rows, and the trees of all buckets together hold the
+same texts as their pairs do. Within each tree any two texts are then compared by the Jaccard similarity of their whole
+sets of shingles, unless links already join them; a large tree is dealt to many tasks by chunks of bounded bytes.
 """
 
 from __future__ import annotations
@@ -22,21 +22,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import bounded_batches, connected_components, cut
-from starloom.llm.passages import BLANK, Spans, compared_once, mixed, pieces
+from starloom.llm.passages import BLANK, Spans, mixed, pieces
 
 WIDE = 256
 WORDS_OF = [f"f{i}" for i in range(WIDE // 64)]
 SMALL = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 
 
+def shingle_hashes(spans: Spans, s: int, e: int, words: int) -> np.ndarray:
+    """Hashes of the shingles of the words s..e: runs of `words` words (fewer: the whole sequence)."""
+    starts = np.arange(s, max(s + 1, e - words + 1))
+    return spans.of(starts, np.minimum(starts + words, e))
+
+
 def wide_fingerprints(h: np.ndarray, at: np.ndarray, words: int) -> np.ndarray:
     """A row of four words for each text (its word hashes lie between offsets `at`): bits set in over half its shingles."""
     spans, out = Spans(h), np.zeros((len(at) - 1, len(WORDS_OF)), np.uint64)
     for i, (s, e) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
         if s == e:
             continue
-        starts = np.arange(s, max(s + 1, e - words + 1))
-        own = spans.of(starts, np.minimum(starts + words, e))
+        own = shingle_hashes(spans, s, e, words)
         ones = np.zeros(WIDE, np.int64)
         for k in range(0, len(own), 1 << 13):
             part = own[k : k + (1 << 13)]
@@ -213,36 +218,14 @@ def forest(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
     return order[kept]
 
 
-def thinned(links: np.ndarray, sure: int) -> np.ndarray:
-    """Rows (a, b, d): the forest of the links within `sure`, and all others between two of its trees, each once."""
-    links = np.unique(links, axis=0)
-    close = links[links[:, 2] <= sure]
-    tree = close[forest(*close.T)]
-    far = links[links[:, 2] > sure]
-    nodes, flat = np.unique(np.concatenate((tree[:, 0], tree[:, 1], far[:, 0], far[:, 1])), return_inverse=True)
-    x, y, u, v = np.split(flat, np.cumsum([len(tree), len(tree), len(far)]))
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[x], root[y])
-        new = root.copy()
-        np.minimum.at(new, root[x], low)
-        np.minimum.at(new, root[y], low)
-        new = new[new]
-        if (new == root).all():
-            return np.concatenate([tree, far[root[u] != root[v]]])
-        root = new
-
-
-def grown_forest(f: np.ndarray, unit: np.ndarray, own: np.ndarray, radius: int, further: int = 0, sure: int = 0) -> np.ndarray:
+def grown_forest(f: np.ndarray, unit: np.ndarray, own: np.ndarray, radius: int) -> np.ndarray:
     """Rows (a, b, d): the minimum spanning forest of the pairs of a large bucket, grown by its nearest row at a time.
 
-    Pairs need an own row and a distance within the radius. Distances are compared, never kept, so memory is linear. Each
-    row also gives its `further` nearest partners beyond `sure` among the rows that come after it.
+    Pairs need an own row and a distance within the radius. Distances are compared, never kept, so memory is linear.
     """
     n = len(f)
     left, best, via = np.arange(n), np.full(n, 1 << 30), np.zeros(n, np.int64)
     out = []
-    more: list[np.ndarray] = []
     while len(left):
         at = int(best[left].argmin())
         row = int(left[at])
@@ -254,31 +237,30 @@ def grown_forest(f: np.ndarray, unit: np.ndarray, own: np.ndarray, radius: int,
         apart = np.bitwise_count(f[to] ^ f[row]).sum(axis=1, dtype=np.int64)
         near = apart < best[to]
         best[to[near]], via[to[near]] = apart[near], row
-        if further:
-            band = np.flatnonzero((apart > sure) & (apart <= radius) & (unit[to] != unit[row]))
-            if len(band) > further:
-                band = band[np.argpartition(apart[band], further)[:further]]
-            more.append(np.stack([np.full(len(band), row), to[band], apart[band]], axis=1))
-    a, b, d = np.concatenate([np.array(out, np.int64).reshape(-1, 3), *more]).T
+    a, b, d = np.array(out, np.int64).reshape(-1, 3).T
     return np.stack([np.minimum(unit[a], unit[b]), np.maximum(unit[a], unit[b]), d], axis=1)
 
 
-def bucket_links(radius: int, sure: int, max_links: int = 1 << 19, large: int = 256, further: int = 4):
-    """Rows sorted by key, c, d with own rows first -> links (a, b, d) of each bucket's pairs within the radius, thinned."""
+def bucket_links(radius: int, max_links: int = 1 << 19, large: int = 256):
+    """Rows sorted by key, c, d with own rows first -> links (a, b, d): spanning forests of the pairs within the radius."""
+
+    def spanning(held: list[np.ndarray]) -> np.ndarray:
+        every = np.concatenate(held)
+        return every[forest(*every.T)]
 
     def links(k: np.ndarray, f: np.ndarray, unit: np.ndarray, own: np.ndarray) -> Iterator[np.ndarray]:
         change = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
         start = np.concatenate(([0], change))
         size = np.diff(np.concatenate((start, [len(k)])))
+        held: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
         for s, n in zip(start[size > large].tolist(), size[size > large].tolist()):
-            yield grown_forest(f[s : s + n], unit[s : s + n], own[s : s + n], radius, further, sure)
+            held.append(grown_forest(f[s : s + n], unit[s : s + n], own[s : s + n], radius))
         few = np.repeat(size <= large, size)
         k, f, unit, own, size = k[few], f[few], unit[few], own[few], size[size <= large]
         start = np.cumsum(size) - size
         after = np.repeat(start + size, size) - np.arange(len(k)) - 1
         first = np.flatnonzero(own & (after > 0))
-        held: list[np.ndarray] = [np.zeros((0, 3), np.int64)]
-        lag = count = 0
+        lag, count = 0, 0
         while len(first):
             lag += 1
             first = first[after[first] >= lag]
@@ -289,12 +271,8 @@ def bucket_links(radius: int, sure: int, max_links: int = 1 << 19, large: int =
             held.append(np.stack([np.minimum(u, v), np.maximum(u, v), apart[near]], axis=1))
             count += len(at)
             if count > max_links:
-                every = thinned(np.concatenate(held), sure)
-                held, count = [every], len(every)
-                if count > max_links // 2:
-                    yield every
-                    held, count = [np.zeros((0, 3), np.int64)], 0
-        yield thinned(np.concatenate(held), sure)
+                held, count = [spanning(held)], 0
+        yield spanning(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[np.ndarray] | None = None
@@ -319,11 +297,11 @@ def bucket_links(radius: int, sure: int, max_links: int = 1 << 19, large: int =
 
 
 def candidate_links(units: DataFrame, at_least: float, found: float, bucket_rows: int) -> DataFrame:
-    """a, b: spanning links among fingerprints of distinct texts (unit, f0..f3) that may have the similarity."""
+    """a, b: links that span what pairs of fingerprints of distinct texts (unit, f0..f3) that may have the similarity join."""
     n, both = bit_statistics(units)
     differ = acos(2 * at_least / (1 + at_least)) / pi
     wide = sqrt(WIDE * differ * (1 - differ))
-    radius, sure = int(WIDE * differ + 3 * wide), int(WIDE * differ - 3 * wide)
+    radius = int(WIDE * differ + 3 * wide)
     sig = signatures(units, plan(n, both, differ, found))
     hot = cut(sig.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows), "hot")
     chunks = F.ceil(F.col("n") / bucket_rows).cast("int")
@@ -345,17 +323,7 @@ def candidate_links(units: DataFrame, at_least: float, found: float, bucket_rows
         .repartition("key", "c", "d")
         .sortWithinPartitions("key", "c", "d", F.desc("own"))
     )
-    return dealt.mapInArrow(bucket_links(radius, sure), "a long, b long, d long").select("a", "b").distinct()
-
-
-def similarity(x: list[bytes], y: list[bytes], words: int) -> float:
-    """Jaccard similarity of the sets of shingles of `words` words (fewer words: the whole sequence)."""
-
-    def shingles(w: list[bytes]) -> set:
-        return set(zip(*(w[i:] for i in range(words)))) if len(w) >= words else {tuple(w)}
-
-    u, v = shingles(x), shingles(y)
-    return len(u & v) / len(u | v)
+    return dealt.mapInArrow(bucket_links(radius), "a long, b long, d long").select("a", "b").distinct()
 
 
 def spread(pairs: DataFrame, docs: DataFrame, most: int = 256) -> tuple[DataFrame, DataFrame]:
@@ -375,14 +343,105 @@ def spread(pairs: DataFrame, docs: DataFrame, most: int = 256) -> tuple[DataFram
     return pairs, copies.withColumn("unit", own).drop("_of", "_keys", "_k")
 
 
+def alike_links(sets: list[np.ndarray], unit: np.ndarray, label: np.ndarray, asks: np.ndarray, at_least: float) -> Iterator[tuple[int, int]]:
+    """Links (a, b) that span what pairs of sets with the Jaccard similarity join beyond equal labels.
+
+    Each row that asks is compared with all others that nothing joins to it yet, by the places of its members.
+    """
+    size = np.array([len(x) for x in sets])
+    at = np.concatenate(([0], np.cumsum(size)))
+    member, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    holder = np.repeat(np.arange(len(sets)), size)[np.argsort(flat, kind="stable")]
+    first = np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=len(member)))))
+    root = label.copy()
+    for x in np.flatnonzero(asks).tolist():
+        if (root == root[x]).all():
+            continue
+        own = flat[at[x] : at[x + 1]]
+        low, many = first[own], first[own + 1] - first[own]
+        both = np.bincount(holder[np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())], minlength=len(sets))
+        near = np.flatnonzero((both / (size[x] + size - both) >= at_least) & (root != root[x]))
+        joined, which = np.unique(root[near], return_index=True)
+        yield from ((int(unit[x]), int(unit[y])) for y in near[which].tolist())
+        root[np.isin(root, joined)] = root[x]
+
+
+def compared_chunks(rows: DataFrame, words: int, at_least: float) -> DataFrame:
+    """a, b: spanning links of the rows (tree, c, d, asks, label, unit, t) that meet under one tree, c and d."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if len(held) > 1:
+                asks, label, unit, sets = zip(*held)
+                found = np.array(list(alike_links(list(sets), np.array(unit), np.array(label), np.array(asks), at_least)), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in found.T], ["a", "b"])
+
+        for batch in batches:
+            places = zip(*(batch.column(i).to_pylist() for i in range(6)))
+            for first, h, at in pieces(batch.column(6), BLANK, SMALL):
+                spans = Spans(h)
+                for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
+                    tree, c, d, *row = next(places)
+                    if (tree, c, d) != key:
+                        yield from done()
+                        key, held = (tree, c, d), []
+                    held.append((*row, np.unique(shingle_hashes(spans, s, e, words)) if s < e else np.zeros(1, np.uint64)))
+        yield from done()
+
+    order = ["tree", "c", "d"]
+    dealt = rows.repartition(*order).sortWithinPartitions(*order)
+    return dealt.select(*order, "asks", "label", "unit", F.col("t").cast("binary")).mapInArrow(run, "a long, b long")
+
+
+def true_links(own: DataFrame, words: int, at_least: float, chunk_bytes: int) -> DataFrame:
+    """a, b: spanning links of the groups that texts of the similarity form within each tree; own: tree, unit, t.
+
+    A tree of at most chunk_bytes is compared in one task. A larger one is dealt to chunks, each of which is compared
+    within itself and with one text of the tree; what that joins most of needs no comparison with itself, so only the
+    tree's other texts (few, where the tree is one group) then meet all its chunks.
+    """
+
+    def chunks(total):
+        return F.greatest(F.ceil(total / chunk_bytes), F.lit(1)).cast("int")
+
+    total = own.groupBy("tree").agg(chunks(F.sum(F.octet_length("t"))).alias("n"))
+    large = cut(total.where("n > 1"), "large-trees")
+    rows = own.join(large, "tree", "left")
+    mine = F.pmod(F.xxhash64("unit"), "n").cast("int")
+    first = F.when(F.col("n").isNull(), F.array(F.lit(0))).when(F.col("unit") == F.col("tree"), F.sequence(F.lit(0), F.col("n") - 1)).otherwise(F.array(mine))
+    one = rows.select("tree", F.explode(first).alias("c"), F.lit(0).alias("d"), F.lit(True).alias("asks"), F.col("unit").alias("label"), "unit", "t")
+    links = cut(compared_chunks(one, words, at_least), "near-links")
+    if large.isEmpty():
+        return links
+    roots = connected_components(links)
+    sizes = own.join(large, "tree").join(roots, F.col("unit") == F.col("node"), "left").select("tree", "n", "unit", F.coalesce("root", "unit").alias("label"), F.octet_length("t").alias("size"))
+    per = cut(sizes.groupBy("tree", "label").agg(F.sum("size").alias("size")), "near-labels")
+    most = per.groupBy("tree").agg(F.max_by("label", F.struct("size", "label")).alias("most"), F.count(F.lit(1)).alias("labels"))
+    others = per.join(most, "tree").where("labels > 1").groupBy("tree", "most").agg(chunks(F.sum(F.when(F.col("label") != F.col("most"), F.col("size")))).alias("m"))
+    rows = own.join(large, "tree").join(others, "tree").join(roots, F.col("unit") == F.col("node"), "left").withColumn("label", F.coalesce("root", "unit"))
+    meets = F.pmod(F.xxhash64(F.lit(1), "unit"), "m").cast("int")
+
+    def place(c, d, asks):
+        return F.struct(c.alias("c"), d.alias("d"), F.lit(asks).alias("asks"))
+
+    stays = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda d: place(mine, d, False))
+    visits = F.when(F.col("label") != F.col("most"), F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda c: place(c, meets, True)))
+    both = F.when(visits.isNull(), stays).otherwise(F.concat(stays, visits))
+    rest = rows.select("tree", F.explode(both).alias("p"), "label", "unit", "t").select("tree", "p.c", "p.d", "p.asks", "label", "unit", "t")
+    return links.union(cut(compared_chunks(rest, words, at_least), "near-links"))
+
+
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, at_least: float = 0.8, found: float = 0.98, bucket_rows: int = 20_000
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, at_least: float = 0.8, found: float = 0.98, bucket_rows: int = 20_000,
+    chunk_bytes: int = 1 << 23,
 ) -> DataFrame:
     """doc_id, unit, component, first: a row for every different pair of id and text of docs.
 
     unit is a hash of the text; texts (A-Z as a-z, words between ASCII blanks) whose sets of shingles have at least the
-    Jaccard similarity are linked, about the share `found` of those at the threshold and nearly all above it; component is
-    the smallest unit that links reach. Of each component one row is first: that of the smallest doc_id, null ids last,
+    Jaccard similarity (shingles are told apart by 64-bit hashes) are linked, about the share `found` of those at the
+    threshold and nearly all above it; no bucket, group or text has a cap. component is the smallest unit that links reach. Of each component one row is first: that of the smallest doc_id, null ids last,
     equal ids by text. Null texts count as empty; texts without words are alike. An empty table gives an empty result;
     further columns are ignored.
     """
@@ -390,26 +449,9 @@ def near_groups(
     src = bounded_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("unit"), text.alias("t")))
     prints = cut(fingerprinted(src, words), "wide-fingerprints")
     units = cut(prints.groupBy("unit").agg(*(F.min(x).alias(x) for x in WORDS_OF)), "units")
-    links = candidate_links(units, at_least, found, bucket_rows)
-    every = F.lit(1 << 40)
-    pairs = cut(
-        links.select(
-            F.monotonically_increasing_id().alias("pair"), "a", F.lit(0).alias("a_lo"), every.alias("a_hi"), "b", F.lit(0).alias("b_lo"), every.alias("b_hi"),
-            F.struct(F.lit(0).alias("none")).alias("extra"),
-        ),
-        "near-pairs",
-    )
-
-    def match(x, y, extra, la, lb):
-        got = similarity([w.lower() for w in x], [w.lower() for w in y], words)
-        if got >= at_least:
-            yield 0, len(x), 0, len(y)
-
-    asked = pairs.select(F.col("a").alias("unit")).union(pairs.select(F.col("b").alias("unit"))).distinct()
-    whole = src.select("unit", "t").join(asked, "unit", "left_semi").dropDuplicates(["unit"]).select("unit", F.col("unit").alias("doc_id"), "t")
-    schema = "doc_id long, start_word long, end_word long, other_id long, other_start long, other_end long"
-    true = compared_once(*reversed(spread(pairs, whole)), match, schema, 0).select(F.col("doc_id").alias("a"), F.col("other_id").alias("b"))
-    roots = connected_components(true)
+    trees = connected_components(candidate_links(units, at_least, found, bucket_rows))
+    own = src.select("unit", "t").join(trees, F.col("unit") == F.col("node")).dropDuplicates(["unit"]).select(F.col("root").alias("tree"), "unit", "t")
+    roots = connected_components(true_links(cut(own, "near-texts"), words, at_least, chunk_bytes))
     rows = prints.select("doc_id", "unit").distinct().join(roots, F.col("unit") == F.col("node"), "left")
     rows = rows.select("doc_id", "unit", F.coalesce("root", "unit").alias("component"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("unit"))

@@ -151,3 +151,50 @@ def test_families_around_the_threshold_stay_together(spark, size, families, word
     assert all(want[have[i]] == want[i] for i in have)
     apart = sum(have[i] != have[j] for i, j in links)
     assert apart <= 0.02 * len(links) and len(set(have.values())) <= 1.02 * len(set(want.values())) + 1, (apart, len(links), len(set(have.values())), len(set(want.values())))
+
+
+def straddling(size, hubs=5, words=240, seed=3):
+    """Texts of one family, none of them equal: most fall short of 0.8 to one another but reach it to a few hubs."""
+    rng, texts = random.Random(seed), []
+    base = [f"w{i}" for i in range(words)]
+    for i in range(size):
+        own = list(base)
+        for k in rng.sample(range(5, words - 5), 1 if i < hubs else rng.choice([4, 4, 4, 7])):
+            own[k] = f"e{i}k{k}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def true_groups(texts):
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    return links, groups_of(links, range(len(texts)))
+
+
+@pytest.mark.parametrize("hubs", [3, 5])
+def test_buckets_of_many_texts_lose_no_link(spark, hubs):
+    """In a bucket of more than 256 texts the nearest partners by estimate can all fall short where a further one does not."""
+    texts = straddling(400, hubs)
+    links, want = true_groups(texts)
+    got = near.near_groups(spark.createDataFrame([(i, t, "en", "s", 1, "x", 1) for i, t in enumerate(texts)], DOCS)).collect()
+    group = {r.doc_id: r.component for r in got}
+    assert len(set(want.values())) > 1 and sum(group[i] != group[j] for i, j in links) == 0
+    assert len(set(group.values())) == len(set(want.values()))
+
+
+def test_links_of_a_group_grow_with_its_texts(spark):
+    count = []
+    for size in (100, 200):
+        units = near.fingerprinted(spark.createDataFrame([(i, i, t) for i, t in enumerate(straddling(size))], "doc_id long, unit long, t string"), 5)
+        count.append(near.candidate_links(units.select("unit", *near.WORDS_OF), 0.8, 0.98, 20_000).count())
+    assert count[1] <= 2.6 * count[0], count
+
+
+@pytest.mark.parametrize("chunk_bytes", [1, 20_000, 1 << 23])
+def test_large_trees_are_compared_whole_over_chunks(spark, chunk_bytes):
+    one, two = straddling(70), [t.replace("w", "v") for t in straddling(40, seed=4)]
+    texts = one + two + ["", "short text"]
+    _, want = true_groups(texts)
+    tree = [0] * len(one) + [len(one)] * (len(two) + 2)
+    own = spark.createDataFrame([(tree[i], i, t) for i, t in enumerate(texts)], "tree long, unit long, t string")
+    links = near.true_links(own, 5, 0.8, chunk_bytes).collect()
+    assert groups_of([(r.a, r.b) for r in links], range(len(texts))) == want and len(set(want.values())) > 4
