@@ -86,19 +86,21 @@ def mix(
     order, which also deals rows to shards, is by a hash of id and text, so rows without an id or with one id are spread
     as well; reruns agree up to rows that are equal in both. An empty table gives an empty result. A shard has about
     max(shard_words, all words / most_shards) words at every size; the driver holds one row per shard and per source.
+    The columns to keep (whole texts, it may be) take no part in this: docs is read again for them, they are shuffled once
+    and meet their row's place by id, text and source.
     """
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
     own = [F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")), F.coalesce(F.md5(F.col(text_col)), F.lit(""))]
     order = F.md5(F.concat(F.lit(f"{seed}:"), own[0], F.lit(":"), own[1]))
-    keep = keep or []
+    same = F.concat(order, F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")))
     sized = cut(
         docs.select(
             F.col(id_col).cast("long").alias("_id"),
             F.col(source_col).alias("_source"),
             size.alias("_size"),
             order.alias("_order"),
-            *[F.col(c).alias(f"_keep_{c}") for c in keep],
+            *([same.alias("_same")] if keep else []),
         ),
         "sized",
     )
@@ -143,18 +145,21 @@ def mix(
         j -> named_struct('start', greatest(j * {block_words}, _start) - _start, 'end', least((j + 1) * {block_words}, _end) - _start))"""
     none = "cast(array() as array<struct<start:bigint,end:bigint>>)"
     on = (F.col("_no") == F.col("_cell_no")) & (F.col("_shard") == F.col("_cell_shard"))
-    return (
-        placed.withColumn("_end", end)
-        .withColumn("_start", F.col("_end") - F.col("_size"))
-        .join(taken, on)
-        .select(
-            F.col("_id").alias("doc_id"),
-            F.col("_size").alias("size"),
-            F.col("_source_size").alias("source_size"),
-            F.col("_target").alias("target"),
-            (F.col("_passes") * F.col("_size") + words_before("_end") - words_before("_start")).alias("taken"),
-            F.col("_passes").alias("passes"),
-            F.expr(f"if(_size > 0 and _more > 0, {block}, {none})").alias("ranges"),
-            *[F.col(f"_keep_{c}").alias(c) for c in keep],
-        )
+    lines = placed.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_size")).join(taken, on)
+    if keep:
+        #: rows equal in id, text and source follow one another on a line: the first one's place gives all of theirs
+        cell = ["_id", "_size", "_source_size", "_target", "_passes", "_more", "_blocks", "_phase"]
+        first = lines.groupBy("_same").agg(F.min("_start").alias("_first"), *[F.first(c).alias(c) for c in cell])
+        kept = docs.select(same.alias("_same"), *[F.col(c).alias(f"_keep_{c}") for c in keep])
+        before = F.row_number().over(Window.partitionBy("_same").orderBy("_same")) - 1
+        lines = kept.join(first, "_same").withColumn("_start", F.col("_first") + before * F.col("_size")).withColumn("_end", F.col("_start") + F.col("_size"))
+    return lines.select(
+        F.col("_id").alias("doc_id"),
+        F.col("_size").alias("size"),
+        F.col("_source_size").alias("source_size"),
+        F.col("_target").alias("target"),
+        (F.col("_passes") * F.col("_size") + words_before("_end") - words_before("_start")).alias("taken"),
+        F.col("_passes").alias("passes"),
+        F.expr(f"if(_size > 0 and _more > 0, {block}, {none})").alias("ranges"),
+        *[F.col(f"_keep_{c}").alias(c) for c in keep or []],
     )

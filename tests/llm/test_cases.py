@@ -210,3 +210,16 @@ def test_stages_on_odd_tables(spark, data, name):
         assert got.columns == corpus_pipeline.COLUMNS
     assert kept == every
     assert stage(spark, spark.createDataFrame([], ROW), data).count() == 0
+
+
+def test_kept_texts_stay_out_of_the_mix_and_repeats_take_their_turns(spark):
+    rows = [(i % 40, prose(5 + i % 40, i % 40), "ab"[i % 40 % 2] if i % 40 else None, "en") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    kept = mixing.mix(docs, block_words=8, shard_words=400, keep=["text", "source", "lang"])
+    columns = ["doc_id", "size", "target", "taken", "passes", "ranges"]
+    plain = mixing.mix(docs, block_words=8, shard_words=400).select(columns).collect()
+    got = kept.collect()
+    assert Counter(str(tuple(r[c] for c in columns)) for r in got) == Counter(str(tuple(r)) for r in plain)
+    assert Counter((r.doc_id, r.text, r.source, r.lang) for r in got) == Counter(rows)
+    scans = [x for x in kept._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
+    assert scans and not any("_keep_text" in x for x in scans)  # the table of sizes holds no texts
