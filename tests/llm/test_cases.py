@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from starloom.llm import decontaminate, embeddings, langid, mixing, secrets, toxicity
+from starloom.llm import chaining, decontaminate, embeddings, langid, mixing, passages, secrets, toxicity
 
 WORDS = [a + b for a in ("ba", "ko", "ri", "tu", "me", "so", "la", "ne") for b in ("dor", "lin", "mas", "pet", "ral", "sun", "tev", "vok")]
 
@@ -223,3 +223,40 @@ def test_kept_texts_stay_out_of_the_mix_and_repeats_take_their_turns(spark):
     assert Counter((r.doc_id, r.text, r.source, r.lang) for r in got) == Counter(rows)
     scans = [x for x in kept._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
     assert scans and not any("_keep_text" in x for x in scans)  # the table of sizes holds no texts
+
+
+# ---- 4
+
+
+def test_all_pairs_of_a_group_of_edited_passages_are_found(spark):
+    """Sorted neighbours alone gave about two partners a text, and the vote kept the best of them."""
+    rng = random.Random(5)
+    base = [f"p{i}" for i in range(60)]
+    texts = []
+    for i in range(24):
+        own = list(base)
+        for k in rng.sample(range(60), 4):
+            own[k] = f"e{i}k{k}"
+        texts.append([f"x{i}_{j}" for j in range(30)] + own + [f"y{i}_{j}" for j in range(30)])
+    words = [[w.encode() for w in t] for t in texts]
+    true = {(i, j) for j in range(24) for i in range(j) if chaining.aligned_passages(words[i], words[j], 4, 0.05, 24, 40, 0.8)}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, r.other_id) for r in chaining.fuzzy_passages(docs).collect() if r.doc_id < r.other_id}
+    assert got <= true and len(true) > 250 and len(got) >= 0.97 * len(true), (len(got), len(true))
+
+
+@pytest.mark.parametrize("batch", [3, 1000])
+def test_seeds_of_few_places_pair_all_of_them(spark, batch):
+    rng = random.Random(batch)
+    rows = sorted({(rng.choice([1, 2, 3, 4, 5, 6, 7, 7, 7, 8, 9]), rng.randrange(4), rng.randrange(3), rng.randrange(30), rng.randrange(3)) for _ in range(160)})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        found = passages.sorted_neighbours(spark.createDataFrame(rows, "key long, r long, l long, unit long, pos int"), every=20)
+        got = {(r.a, r.pa, r.b, r.pb) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    size = Counter(r[0] for r in rows)
+    assert any(n > 20 for n in size.values()) and sum(n <= 20 for n in size.values()) > 3
+    few = [r for r in rows if size[r[0]] <= 20]
+    want = {(x[3], x[4], y[3], y[4]) for x in few for y in few if x[0] == y[0] and x[3] < y[3]}
+    assert want <= got and all(any(x[0] == y[0] for x in rows for y in rows if (x[3], x[4], y[3], y[4]) == g) for g in got)
