@@ -245,6 +245,36 @@ def test_all_pairs_of_a_group_of_edited_passages_are_found(spark):
     assert got <= true and len(true) > 250 and len(got) >= 0.97 * len(true), (len(got), len(true))
 
 
+def test_copies_are_named_once_and_pairs_stand_between_different_texts(spark):
+    """Every copy was compared with every other text's copies, which took the disk."""
+    rng = random.Random(9)
+    base = [f"p{i}" for i in range(80)]
+    texts = []
+    for i in range(3):
+        own = list(base)
+        for k in rng.sample(range(80), 4):
+            own[k] = f"e{i}k{k}"
+        texts.append(" ".join([f"x{i}_{j}" for j in range(20)] + own))
+    docs = spark.createDataFrame([(n, texts[n % 3]) for n in range(21)], "doc_id long, text string").repartition(4)
+    got = [tuple(r) for r in chaining.fuzzy_passages(docs).collect()]
+    pairs = {(r[0], r[3]) for r in got if r[0] % 3 != r[3] % 3}
+    assert pairs == {(i, j) for i in range(3) for j in range(3) if i != j}
+    copies = {(n, 0, 100, n % 3, 0, 100, 1.0) for n in range(3, 21)}
+    copies |= {(c[3], *c[1:3], c[0], *c[4:]) for c in copies}
+    assert len(got) == len(set(got)) and {r for r in got if r[0] % 3 == r[3] % 3} == copies
+
+
+def test_runs_of_numbered_words_are_those_of_words():
+    rng = random.Random(4)
+    for n, words in ((40, 3), (120, 6), (200, 40)):
+        x, y = ([rng.choice("abcdefghijklmnopqrstuvwxyz"[: words % 26]) * (1 + words // 26) for _ in range(n)] for _ in range(2))
+        number = {w: i for i, w in enumerate(dict.fromkeys(x + y))}
+        lines = chaining.numbered(np.array([number[w] for w in x + y]), len(number), 4)
+        one, two = (chaining.Stretch(*(c[low : high - m] for c, m in zip(lines, (0, 1, 3)))) for low, high in ((0, n), (n, 2 * n)))
+        assert sorted(chaining.runs_of_grams(one, two, 4)) == sorted(chaining.shared_runs(x, y, 4))
+        assert one.pairs_with(two) == chaining.pairs_of_words(x, y)
+
+
 @pytest.mark.parametrize("batch", [3, 1000])
 def test_seeds_of_few_places_pair_all_of_them(spark, batch):
     rng = random.Random(batch)
