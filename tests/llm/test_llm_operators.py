@@ -692,6 +692,38 @@ def test_small_margin_keeps_recall(spark):
     assert sum(r.n_links for r in got) >= 0.9 * 2 * len(links) > 0
 
 
+def test_no_copies_are_shuffled_for_borders(spark):
+    """Vectors in all directions are near most borders; what is shuffled must not grow with the cells that they are near."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 64)).astype(np.float32)
+    x[2000:2040] = x[:40] + 0.01
+    df = spark.createDataFrame([(i, v.tolist(), 1, "", "") for i, v in enumerate(x)], VECTORS)
+    driver = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+    before = driver()
+    got = embeddings.near_duplicates(df, cell_rows=64).collect()
+    assert sum(r.n_links for r in got) == 80 and sum(r.kept for r in got) == 3960
+    assert 0 < driver() - before < 4 * x.nbytes
+
+
+def test_blocks_of_a_label_meet_without_a_shuffle(spark):
+    """Cells above the block's size, further labels of several blocks, copies, and doubles that single precision cannot tell."""
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(12, 8))
+    data = [(i, (base[i % 12] + 0.2 * rng.normal(size=8)).tolist(), i % 2, "", "") for i in range(600)]
+    data += [(600 + i, data[i % 5][1], data[i % 5][2], "", "") for i in range(100)]
+    data += [(700, [1.0] + [0.0] * 7, 0, "", ""), (701, [0.93 + 1e-9, (1 - 0.93**2) ** 0.5] + [0.0] * 6, 0, "", ""), (702, [0.93 - 1e-9, -((1 - 0.93**2) ** 0.5)] + [0.0] * 6, 0, "", "")]
+    links = brute(data)
+    count, want = Counter(x for e in links for x in e), components(links, [d[0] for d in data])
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = embeddings.near_duplicates(spark.createDataFrame(data, VECTORS.replace("float", "double")), cell_rows=100, block_rows=40).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert (700, 701) in [tuple(sorted(e)) for e in links] and (700, 702) not in [tuple(sorted(e)) for e in links]
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {i: (count[i], c, i == c) for i, c in want.items()}
+
+
 def test_embeddings_of_no_rows(spark):
     assert rows(embeddings.near_duplicates(spark.createDataFrame([], VECTORS))) == []
     got = embeddings.near_duplicates(spark.createDataFrame([(None, [1.0], 1, "", ""), (4, [1.0], 1, "", "")], VECTORS)).collect()
