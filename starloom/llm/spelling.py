@@ -181,7 +181,11 @@ def indexed(words: DataFrame, grams: Grams) -> DataFrame:
 def near_words(
     words: DataFrame, shortest: int = 2, longest: int = 6, over: int = 1000, entries: int = 20_000, list_rows: int = 512
 ) -> DataFrame:
-    """a, n_a, b, n_b: the pairs (each once) of words (word, n; distinct, of `shortest` letters or more) at one edit."""
+    """a, n_a, b, n_b: the pairs (each once) of words (word, n; distinct, of `shortest` letters or more) at one edit.
+
+    All joins merge: Spark takes the size of what explode() makes for that of the table before it, which holds a tenth of
+    the rows, and would gather that on the driver to broadcast it.
+    """
     lists = cut(indexed(words, dictionary(words, shortest, longest, over, entries)), "gram-lists")
     size = F.length("word")
     own = lists.select(F.xxhash64("gram", "at", size).alias("key"), F.col("word").alias("b"), F.col("n").alias("n_b"))
@@ -189,13 +193,13 @@ def near_words(
     probes = lists.select(F.explode(asked).alias("key"), F.col("word").alias("a"), F.col("n").alias("n_a"))
     hot = cut(own.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > list_rows).select("key"), "long-lists")
     near = (F.levenshtein("a", "b", 1) == 1) & ((F.length("a") < F.length("b")) | ((F.length("a") == F.length("b")) & (F.col("a") < F.col("b"))))
-    merged = own.join(hot, "key", "left_anti").join(probes, "key").where(near).select("a", "n_a", "b", "n_b")
+    merged = own.join(hot.hint("merge"), "key", "left_anti").join(probes.hint("merge"), "key").where(near).select("a", "n_a", "b", "n_b")
     bare = lists.where("not left").select(F.col("word").alias("a"), F.col("n").alias("n_a"))
-    bare = cut(bare.union(probes.join(hot, "key", "left_semi").select("a", "n_a")).distinct(), "bare-words")
+    bare = cut(bare.union(probes.join(hot.hint("merge"), "key", "left_semi").select("a", "n_a")).distinct(), "bare-words")
     without = F.transform(F.sequence(F.lit(1), F.length("a")), lambda i: F.concat(F.substring("a", F.lit(1), i - 1), F.substring("a", i + 1, F.length("a"))))
     keys = bare.select(F.explode(F.array_distinct(F.concat(F.array("a"), without))).alias("key"), "a", "n_a")
     others = keys.select("key", F.col("a").alias("b"), F.col("n_a").alias("n_b"))
-    paired = keys.join(others, "key").where(near).select("a", "n_a", "b", "n_b")
+    paired = keys.join(others.hint("merge"), "key").where(near).select("a", "n_a", "b", "n_b")
     return merged.union(paired).distinct()
 
 
@@ -204,7 +208,7 @@ def roots_of(forms: DataFrame) -> DataFrame:
     now = cut(forms.select("word", F.col("form").alias("root"), F.lit(True).alias("moved")), "roots")
     while now.where("moved").limit(1).count():
         far = now.select(F.col("word").alias("_of"), F.col("root").alias("_root"))
-        step = now.join(far, F.col("root") == F.col("_of"), "left")
+        step = now.join(far.hint("merge"), F.col("root") == F.col("_of"), "left")
         now = cut(step.select("word", F.coalesce("_root", "root").alias("root"), F.col("_root").isNotNull().alias("moved")), "roots", done=(now,))
     return now.select("word", "root")
 
@@ -233,11 +237,11 @@ def spelling_variants(
     both = pairs.union(pairs.select("b", "n_b", "a", "n_a")).toDF("word", "n", "other", "n_other")
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n_other")).alias("less"), "other")).alias("best"))
     told = cut(
-        words.join(best, "word", "left").select(
+        words.join(best.hint("merge"), "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"),
             F.when(-F.col("best.less") >= times * F.col("n"), F.struct(F.col("best.other").alias("form"), (-F.col("best.less")).alias("form_n"))).alias("f"),
         ),
         "forms",
     )
     roots = roots_of(told.where("f is not null").select("word", "f.form"))
-    return told.join(roots, "word", "left").select("word", "n", "n_near", "f.form", "f.form_n", F.coalesce("root", "word").alias("root"))
+    return told.join(roots.hint("merge"), "word", "left").select("word", "n", "n_near", "f.form", "f.form_n", F.coalesce("root", "word").alias("root"))

@@ -286,6 +286,20 @@ def test_variants_of_odd_rows(spark):
     assert spelling.spelling_variants(frame(spark, []).where("false")).collect() == []
 
 
+def test_words_are_never_gathered_for_a_broadcast(spark):
+    """Tables of words grow with the corpus; small ones are broadcast only if the joins let Spark choose."""
+    words = spark.createDataFrame([(w, 5 + i) for i, w in enumerate(["abcdef", "abcdeg", "abcde", "xbcdef", "bcdefg", "uvwxyz"])], "word string, n long")
+    pairs = spelling.near_words(words, over=1, list_rows=1)
+    forms = spelling.roots_of(spark.createDataFrame([("abcdeg", "abcdef"), ("abcdef", "abcde")], "word string, form string"))
+    all_ = spelling.spelling_variants(frame(spark, spelled(3)))
+    assert {(r.a, r.b) for r in pairs.collect()} == {("abcdef", "abcdeg"), ("abcde", "abcdef"), ("abcde", "abcdeg"), ("abcdef", "xbcdef")}
+    assert {(r.word, r.root) for r in forms.collect()} == {("abcdeg", "abcde"), ("abcdef", "abcde")}
+    assert all_.count()
+    for df in (pairs, forms, all_):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan, plan
+
+
 # ---- SQL
 
 
